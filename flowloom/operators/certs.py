@@ -73,11 +73,12 @@ def expand_chains(
 
 def leaf_with_root(
     ssl: DataFrame, x509: DataFrame, chain: str = "cert_chain_fuids", cert: str = "id",
-    root_columns: Sequence[str] = ROOT_COLUMNS,
+    root_columns: Sequence[str] = ROOT_COLUMNS, on: Sequence[str] = (),
 ) -> DataFrame:
     """Connections with a known leaf certificate, and the root's columns as ``root_*`` where known.
 
-    Both ends are read off the chain, so the middle of a chain is never unfolded.
+    Both ends are read off the chain, so the middle of a chain is never unfolded. ``on`` names further
+    shared columns, such as a slot.
     """
     links = ssl.where(F.size(chain) > 0).select(
         "*",
@@ -85,10 +86,11 @@ def leaf_with_root(
         F.get(chain, F.lit(0)).alias("cert_id"),
         F.get(chain, F.size(chain) - 1).alias("_root"),
     )
+    leaves = x509.withColumn("cert_id", F.col(cert))
     roots = x509.select(
-        F.col(cert).alias("_root"), *[F.col(c).alias(f"root_{c}") for c in root_columns if c in x509.columns]
+        *on, F.col(cert).alias("_root"), *[F.col(c).alias(f"root_{c}") for c in root_columns if c in x509.columns]
     )
-    return links.join(x509, F.col("cert_id") == F.col(cert)).join(roots, "_root", "left").drop("_root")
+    return links.join(leaves, ["cert_id", *on]).join(roots, ["_root", *on], "left").drop("_root")
 
 
 def issuer_ranking(

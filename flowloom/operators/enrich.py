@@ -46,24 +46,34 @@ def time_band_join(
     )
 
 
-def alert_match(alerts: DataFrame, conns: DataFrame, band: float = 300.0) -> DataFrame:
+def alert_match(alerts: DataFrame, conns: DataFrame, band: float = 300.0, on: Sequence[str] = ()) -> DataFrame:
     """Connections with an alert on the same endpoints (either way round) within the band.
 
-    ``rt`` of an alert that does not parse matches nothing; equal result rows are kept once.
+    ``rt`` of an alert that does not parse matches nothing; equal result rows are kept once. ``on`` names
+    further shared columns, such as a slot.
     """
     alerts = alerts.drop("_lpp_ver", "_lpp_plugin")
     timed = alerts.withColumn(
         "_rt", F.unix_timestamp(F.try_to_timestamp(F.col("rt"), F.lit(ALERT_TIME_FORMAT))).cast("double")
     )
     matched = time_band_join(
-        conns, both_directions(timed), list(ALERT_TO_CONN.values()), "ts", "_rt", band
+        conns, both_directions(timed), [*ALERT_TO_CONN.values(), *on], "ts", "_rt", band
     )
     return matched.drop("_rt").withColumn("fe_label", F.lit(1)).distinct()
 
 
-def with_connection(log: DataFrame, conn: DataFrame, columns: Sequence[str], key: str = "uid") -> DataFrame:
-    """Every log row with the named columns of its connection."""
-    return log.join(conn.select(key, *[c for c in columns if c != key]), key, "left")
+def with_connection(
+    log: DataFrame, conn: DataFrame, columns: Sequence[str], key: str = "uid", on: Sequence[str] = ()
+) -> DataFrame:
+    """Every log row with the named columns of its connection; ``on`` names further shared columns.
+
+    A column the log has too is taken from the log and, under ``conn_``, from the connection.
+    """
+    keys = [key, *on]
+    taken = [
+        F.col(c).alias(f"conn_{c}" if c in log.columns else c) for c in columns if c not in keys
+    ]
+    return log.join(conn.select(*keys, *taken), keys, "left")
 
 
 CONN_SUMMARY = ("proto", "service", "duration", "conn_state", "history")

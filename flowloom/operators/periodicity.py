@@ -53,15 +53,17 @@ def _with_fields(schema: T.StructType, fields) -> T.StructType:
 
 
 def with_spectrum(series: DataFrame, tdf: str = "tdf") -> DataFrame:
-    """Add the periodogram ``psd`` (index k is the frequency k/n)."""
+    """Add the periodogram ``psd`` (index k is the frequency k/n), its mean and its peak without k = 0."""
 
     def run(batches):
         for pdf in _chunks(batches):
             if len(pdf):
                 power = spectral.periodogram(np.stack(pdf[tdf].to_numpy()).astype(float))
-                yield pdf.assign(psd=list(power))
+                waves = power[:, 1:]
+                yield pdf.assign(psd=list(power), psd_mean=waves.mean(axis=1), psd_max=waves.max(axis=1))
 
-    return series.mapInPandas(run, _with_fields(series.schema, [("psd", T.ArrayType(T.DoubleType()))]))
+    added = [("psd", T.ArrayType(T.DoubleType())), ("psd_mean", T.DoubleType()), ("psd_max", T.DoubleType())]
+    return series.mapInPandas(run, _with_fields(series.schema, added))
 
 
 def with_autocorrelation(series: DataFrame, tdf: str = "tdf") -> DataFrame:
@@ -87,21 +89,24 @@ def with_peaks(series: DataFrame, tdf: str = "tdf") -> DataFrame:
     return series.mapInPandas(run, _with_fields(series.schema, [("autocorr_peaks", T.ArrayType(T.IntegerType()))]))
 
 
-def noise_threshold(psd: str | Column, confidence: float = spectral.CONFIDENCE) -> Column:
+def noise_threshold(
+    mean: str | Column = "psd_mean", confidence: float = spectral.CONFIDENCE, ordinates: int = spectral.ORDINATES
+) -> Column:
     """Peak power that white noise of the same mean power stays below: the analytic twin of permutation."""
-    psd = F.col(psd) if isinstance(psd, str) else psd
-    ordinates = F.size(psd) - 1
-    total = F.aggregate(F.slice(psd, F.lit(2), ordinates), F.lit(0.0), lambda a, x: a + x)
-    return -(total / ordinates) * F.log(1 - F.pow(F.lit(confidence), 1 / ordinates))
+    mean = F.col(mean) if isinstance(mean, str) else mean
+    return mean * F.lit(-math.log(1 - confidence ** (1 / ordinates)))
 
 
-def candidate_periods(spectra: DataFrame, keys: Sequence[str], bins: int = 1440) -> DataFrame:
+def candidate_periods(
+    spectra: DataFrame, keys: Sequence[str], confidence: float = spectral.CONFIDENCE, bins: int = 1440
+) -> DataFrame:
     """Frequencies whose power exceeds the analytic threshold, with period below 720."""
-    listed = spectra.select(
-        *keys, noise_threshold("psd").alias("threshold"), F.posexplode("psd").alias("k", "power")
+    limit = noise_threshold("psd_mean", confidence, bins // 2)
+    listed = spectra.where(F.col("psd_max") > limit).select(
+        *keys, "psd_mean", F.posexplode("psd").alias("k", "power")
     )
     return listed.where(
-        (F.col("k") > 0) & (F.col("power") > F.col("threshold")) & (bins / F.col("k") < spectral.LONGEST_PERIOD)
+        (F.col("k") > 0) & (F.col("power") > limit) & (bins / F.col("k") < spectral.LONGEST_PERIOD)
     ).withColumn("period", F.lit(float(bins)) / F.col("k"))
 
 

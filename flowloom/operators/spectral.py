@@ -12,6 +12,7 @@ import numpy as np
 PERMUTATIONS = 60
 CONFIDENCE = 0.95
 LONGEST_PERIOD = 720
+ORDINATES = 720
 PROMINENCE = 0.2
 PERIOD_TOLERANCE = 2
 FILTER_ORDER = 10

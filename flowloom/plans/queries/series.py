@@ -124,21 +124,21 @@ SPECTRUM = """psd AS (
 def periodogram(t: Tables):
     """Mean and peak power of every series with activity, and the noise threshold."""
     spectra = periodicity.with_spectrum(series.build_series(t.web()).where("ts_cnt > 0"))
-    total = F.aggregate(F.slice("psd", 2, 720), F.lit(0.0), lambda a, x: a + x)
     return spectra.select(
-        *KEYS, F.round(total / 720, 6).alias("mean_psd"), F.round(F.array_max(F.slice("psd", 2, 720)), 6).alias("max_psd"),
-        F.round(periodicity.noise_threshold("psd"), 6).alias("threshold"),
+        *KEYS, F.round("psd_mean", 6).alias("mean_psd"), F.round("psd_max", 6).alias("max_psd"),
+        F.round(periodicity.noise_threshold(), 6).alias("threshold"),
     )
 
 
 @query(
     "candidate_periods",
     f"""WITH {NAMED}, {_cells_sql()}, {SPECTRUM} SELECT day, host, CAST(k AS INTEGER) AS k, round(power, 6) AS power,
-      round(CAST(1440 AS DOUBLE) / k, 6) AS period FROM psd JOIN noise USING (day, host) WHERE power > threshold AND k > 2""",
+      round(CAST(1440 AS DOUBLE) / k, 6) AS period FROM psd JOIN noise USING (day, host) WHERE power > -mean * ln(1 - power(0.3, CAST(1 AS DOUBLE) / 720)) AND k > 2""",
 )
 def candidate_periods(t: Tables):
+    """Random events hardly pass 0.95, so 0.3 is asked for."""
     spectra = periodicity.with_spectrum(series.build_series(t.web()).where("ts_cnt > 0"))
-    found = periodicity.candidate_periods(spectra, KEYS)
+    found = periodicity.candidate_periods(spectra, KEYS, confidence=0.3)
     return found.select(*KEYS, "k", F.round("power", 6).alias("power"), F.round("period", 6).alias("period"))
 
 

@@ -37,7 +37,11 @@ class CsvLoader:
 
     def __init__(self, kind: str, schema: str | T.StructType | None = None):
         self.kind = kind
-        self.schema = as_schema(schema or FEED_SCHEMAS[kind])
+        self._schema = schema or FEED_SCHEMAS[kind]
+
+    @property
+    def schema(self) -> T.StructType:
+        return as_schema(self._schema)
 
     def path(self, root: str, slot: Slot) -> str:
         return f"{root}/{self.kind}/{slot[0]:%Y-%m-%d}/{self.kind}_{slot[0]:%Y-%m-%d}.csv"

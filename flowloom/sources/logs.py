@@ -94,9 +94,13 @@ class LogLoader:
 
     def __init__(self, kind: str, schema: str | T.StructType | None = None, subnets=SITE_SUBNETS):
         self.kind = kind
-        self.schema = as_schema(schema or LOG_SCHEMAS[log_type(kind)])
+        self._schema = schema or LOG_SCHEMAS[log_type(kind)]
         self.subnets = subnets
 
+    @property
+    def schema(self) -> T.StructType:
+        return as_schema(self._schema)
+
     def path(self, root: str, slot: Slot) -> str:
         start, end = slot
         name = f"anon.{self.kind}_{start:%Y%m%d}_{start:%H%M}-{end:%H%M}.log.gz"
@@ -106,9 +110,6 @@ class LogLoader:
         """Slot start of a row from its file name."""
         return F.to_timestamp(F.regexp_extract(source, r"_(\d{8}_\d{4})-\d{4}\.log", 1), "yyyyMMdd_HHmm")
 
-    def _finish(self, df: DataFrame) -> DataFrame:
-        return clean_log(df.drop("_source", "slot_start"), self.subnets)
-
     def read(self, spark: SparkSession, root: str, slots: list[Slot]) -> DataFrame:
         """Cleaned rows of the slots with their ``slot_start``."""
         raw = scan_json(spark, [self.path(root, s) for s in slots], self.schema)
