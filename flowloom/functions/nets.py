@@ -55,12 +55,8 @@ def is_ip(text: str | Column) -> Column:
 def ip_to_long(ip: str | Column) -> Column:
     """Integer value of a dotted IPv4 address, NULL when malformed."""
     ip = _col(ip)
-    octets = F.split(ip, r"\.")
-    value = sum(
-        (F.try_element_at(octets, F.lit(i + 1)).try_cast("long") * F.lit(256 ** (3 - i)) for i in range(4)),
-        F.lit(0),
-    )
-    return F.when(ip.rlike(IPV4_PATTERN), value)
+    octets = F.when(ip.rlike(IPV4_PATTERN), F.split(ip, r"\."))
+    return F.aggregate(octets, F.lit(0).cast("long"), lambda total, part: total * 256 + part.try_cast("long"))
 
 
 def subnet_index(ip: str | Column, subnets: tuple[str, ...] = SITE_SUBNETS) -> Column:
@@ -71,13 +67,17 @@ def subnet_index(ip: str | Column, subnets: tuple[str, ...] = SITE_SUBNETS) -> C
     if len(subnets) > MAX_LITERAL_SUBNETS:
         raise ValueError(f"{len(subnets)} subnets: use range_lookup with a table")
     blocks = [ipaddress.ip_network(s) for s in subnets]
-    address = ip_to_long(ip)
-    found = F.lit(-1)
-    # Later blocks win, so they are asked first.
-    for i, block in enumerate(blocks):
-        low, high = int(block.network_address), int(block.broadcast_address)
-        found = F.when(address.between(low, high), F.lit(i)).otherwise(found)
-    return found
+
+    def last_holding(address: Column) -> Column:
+        found = F.lit(-1)
+        # Later blocks win, so they are asked first.
+        for i, block in enumerate(blocks):
+            low, high = int(block.network_address), int(block.broadcast_address)
+            found = F.when(address.between(low, high), F.lit(i)).otherwise(found)
+        return found
+
+    # The one-element array binds the address, which is then worked out once and not per block.
+    return F.get(F.transform(F.array(ip_to_long(ip)), last_holding), F.lit(0))
 
 
 def internal_ip(anon_orig: str | Column, orig: str | Column, resp: str | Column) -> Column:

@@ -120,10 +120,14 @@ def parse_names(x509: DataFrame, issuer: str = "certificate_issuer", subject: st
 def cert_inventory(x509: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct certificates with parsed names, epoch validity and a key.
 
-    The key is a function of (serial, issuer, subject), so one pass removes both kinds of copies.
+    Copies of a certificate go first, on the raw columns, so that names are parsed once per certificate;
+    then one row is kept per key.
     """
     before, after = "certificate_not_valid_before", "certificate_not_valid_after"
-    full = parse_names(x509).withColumns(
+    raw_names = ["certificate_serial", "certificate_issuer", "certificate_subject"]
+    raw = [c for c in (*raw_names, *INVENTORY_COLUMNS, before, after, "san_dns") if c in x509.columns]
+    single = keep_one(x509.select(*by, *dict.fromkeys(raw)), [*by, *raw_names])
+    full = parse_names(single).withColumns(
         {
             f"{before}_ts": F.unix_timestamp(before),
             f"{after}_ts": F.unix_timestamp(after),

@@ -34,12 +34,15 @@ DETECTED = (
 )
 
 
-def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _spread(df: DataFrame, by: str) -> DataFrame:
+    """Even work over all tasks. ``by`` is a hash of the key and not the key itself: a frame that is already
+    partitioned by the key would keep its partitions, which may have been coalesced to a few by their bytes.
+    """
     session = df.sparkSession
     tasks = max(
         session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
     )
-    return df.repartition(tasks, *keys)
+    return df.repartition(tasks, by)
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,7 +131,7 @@ def detect_periodicity(series: DataFrame, keys: Sequence[str], tdf: str = "tdf",
             ]
             yield pd.DataFrame(rows, columns=names)
 
-    return _spread(active, keys).mapInPandas(run, schema)
+    return _spread(active, "_seed").mapInPandas(run, schema)
 
 
 def _detect(tdf, seed: int) -> dict | None:

@@ -45,15 +45,17 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def web(self) -> DataFrame:
-        k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-        return self.table("events").select(
+        # k has a step of its own: it is used several times and parsed once.
+        parsed = self.table("events").withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int"))
+        k = F.col("k")
+        return parsed.select(
             "event_id",
             F.col("ts").cast("timestamp").alias("ts"),
             F.col("ts").cast("date").alias("day"),
             F.col("user_id").alias("id_orig_h"),
             F.col("event_type").alias("user_agent"),
             "value",
-            k.alias("k"),
+            "k",
             F.floor(F.col("event_id") / 2).alias("uid"),
             F.when(k % 10 == 0, "").otherwise(F.concat(F.lit("h"), k % 40, F.lit(".example.com"))).alias("host"),
             F.concat(F.lit("10.0."), k % 7, F.lit("."), k).alias("id_resp_h"),
@@ -63,7 +65,7 @@ class Tables:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("uid"),
             F.col("l_shipdate").cast("timestamp").alias("ts"),
-            (F.col("l_partkey") % 50).alias("id_orig_h"),
+            (F.col("l_partkey") % 400).alias("id_orig_h"),
             F.col("l_suppkey").alias("id_resp_h"),
             F.when(F.col("l_suppkey") % 2 == 0, 443).otherwise(80).alias("id_resp_p"),
             F.when(F.col("l_returnflag") == "A", "SF").when(F.col("l_returnflag") == "N", "S1")
@@ -129,7 +131,7 @@ NAMED = WEB + """, named AS (
   FROM web)"""
 
 CONN = """conn AS (
-  SELECT l_orderkey AS uid, l_shipdate AS ts, l_partkey % 50 AS id_orig_h, l_suppkey AS id_resp_h,
+  SELECT l_orderkey AS uid, l_shipdate AS ts, l_partkey % 400 AS id_orig_h, l_suppkey AS id_resp_h,
          CASE WHEN l_suppkey % 2 = 0 THEN 443 ELSE 80 END AS id_resp_p,
          CASE l_returnflag WHEN 'A' THEN 'SF' WHEN 'N' THEN 'S1' ELSE 'RSTOS0' END AS conn_state,
          l_quantity AS duration, l_extendedprice AS orig_bytes,
