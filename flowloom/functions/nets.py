@@ -66,7 +66,8 @@ def subnet_index(ip: str | Column, subnets: tuple[str, ...] = SITE_SUBNETS) -> C
     """
     if len(subnets) > MAX_LITERAL_SUBNETS:
         raise ValueError(f"{len(subnets)} subnets: use range_lookup with a table")
-    blocks = [ipaddress.ip_network(s) for s in subnets]
+    # A block may be written with host bits set; its prefix counts.
+    blocks = [ipaddress.ip_network(s, strict=False) for s in subnets]
 
     def last_holding(address: Column) -> Column:
         found = F.lit(-1)
