@@ -88,7 +88,8 @@ def history_replay(
     per_key = Window.partitionBy(*keys).orderBy(day)
     days = seen.select(*keys, day).distinct()
     # One row per calendar day with input: its number, and the number of the first day that would expire it.
-    calendar = _numbered_days(days, day, expiry)
+    # The calendar bounds its size, so it is broadcast and nothing is shuffled on the few days.
+    calendar = F.broadcast(_numbered_days(days, day, expiry))
     runs = (
         days.join(calendar, day)
         .withColumn("_next", F.lead("_no").over(per_key))
@@ -103,7 +104,7 @@ def history_replay(
         *keys, "_run", F.col(day).alias("lastseen_date"),
         F.explode(F.sequence(F.col("_no"), F.col("_until") - 1)).alias("_no"),
     )
-    dated = shown.join(calendar.select("_no", day), "_no")
+    dated = shown.join(F.broadcast(calendar.select("_no", day)), "_no")
     host_days = seen.select(host, day).distinct().withColumn("_host_seen", F.lit(1))
     in_run = Window.partitionBy(*keys, "_run").orderBy(day)
     counted = (

@@ -78,17 +78,18 @@ def _popularity(reg: Registry) -> None:
     for site in ("", "_vt"):
         ends = ("id_orig_h", "id_resp_h")
         _daily(reg, f"popularity_host{site}", [_log(f"http{site}", "host", *ends)],
-               lambda ctx, http: popularity.host_popularity(http, "host", by=BY),
+               lambda ctx, http: popularity.host_popularity(http, "host", by=BY, slots=len(ctx.slots)),
                description="Clients and logs per host")
         _daily(reg, f"ssl_popularity_host{site}", [_log(f"ssl{site}", "server_name", *ends)],
-               lambda ctx, ssl: popularity.host_popularity(ssl, "server_name", by=BY))
+               lambda ctx, ssl: popularity.host_popularity(ssl, "server_name", by=BY, slots=len(ctx.slots)))
         _daily(reg, f"httpssl_popularity_host{site}",
                [_log(f"ssl{site}", "server_name", *ends, on_missing=EMPTY), _log(f"http{site}", "host", *ends, on_missing=EMPTY)],
-               lambda ctx, ssl, http: popularity.multi_host_popularity((ssl, "server_name"), (http, "host"), by=BY))
+               lambda ctx, ssl, http: popularity.multi_host_popularity(
+                   (ssl, "server_name"), (http, "host"), by=BY, slots=len(ctx.slots)))
     _daily(reg, "popularity_ua", [_log("http", "id_orig_h", "user_agent")],
-           lambda ctx, http: popularity.agent_popularity(http, by=BY))
+           lambda ctx, http: popularity.agent_popularity(http, by=BY, slots=len(ctx.slots)))
     _daily(reg, "popularity_uri", [_log("http", "id_orig_h", "uri")],
-           lambda ctx, http: popularity.uri_popularity(http, by=BY))
+           lambda ctx, http: popularity.uri_popularity(http, by=BY, slots=len(ctx.slots)))
     for name, key, measures in (
         ("popularity_host", "host", popularity.HOST_MEASURES),
         ("popularity_ua", "user_agent", popularity.AGENT_MEASURES),

@@ -185,16 +185,15 @@ def host_domain(t: Tables):
 
 @query(
     "san_domains",
-    f"""WITH {HOSTS} SELECT page_id % 25 AS cert, CAST(count(DISTINCT domain || '.' || suffix) AS INTEGER) AS n,
-        array_to_string(list_sort(list_distinct(list(domain || '.' || suffix))), ',') AS names
-    FROM split GROUP BY ALL""",
+    f"""WITH {HOSTS} SELECT page_id, array_to_string(list_sort(list_distinct([domain || '.' || suffix,
+        CASE WHEN take = 3 AND n = 3 THEN 'cdn.' || suffix ELSE domain || '.' || suffix END, 'example.com'])), ',') AS names
+    FROM split JOIN labelled USING (page_id, host)""",
 )
 def san_domains(t: Tables):
-    """Pages with the same key share a certificate that names their hosts."""
-    lists = t.table("pages").groupBy((F.col("page_id") % 25).alias("cert")).agg(
-        F.array_sort(F.collect_set(request_host("url"))).alias("san_dns")
+    """Each page's certificate names its host, a delivery host below it and a shared one."""
+    host = request_host("url")
+    lists = t.table("pages").select(
+        "page_id", F.array(host, F.concat(F.lit("cdn."), host), F.lit("static.example.com")).alias("san_dns")
     )
     out = domains.with_registered_domains(lists, "san_dns", _suffixes(t))
-    return out.select(
-        "cert", F.size("domain_suffix_from_sandns").alias("n"), F.concat_ws(",", "domain_suffix_from_sandns").alias("names")
-    )
+    return out.select("page_id", F.concat_ws(",", "domain_suffix_from_sandns").alias("names"))

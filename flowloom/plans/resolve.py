@@ -14,6 +14,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowloom.operators.tables import concat_common, trim_columns
 from flowloom.plans.registry import EMPTY, ERROR, Feature, Input, MissingInput, Registry
@@ -72,6 +73,7 @@ class Resolver:
         self.raw_root = (raw_root or root).rstrip("/")
         self.settings = settings or Settings()
         self.store = SlotStore(spark, self.root)
+        self._schemas: dict[str, T.StructType] = {}
 
     # -- public ------------------------------------------------------------------------------------
 
@@ -148,7 +150,7 @@ class Resolver:
                     target = SlotStore(self.spark, save_dir) if save_dir else self.store
                     if target.root == self.store.root:
                         if not feature.carry:  # a carried feature has stored every step
-                            target.write(feature.name, frame, done)
+                            target.write(feature.name, frame, done, rebalance=not feature.loader)
                     else:
                         self._save_elsewhere(feature, frame, done, save_dir)
                     frame = target.read(feature.name, done, columns)
@@ -189,7 +191,7 @@ class Resolver:
             return self._carried(feature, slots)
         lacking: dict[Slot, frozenset[str]] = {}
         skipped: set[Slot] = set()
-        gathered = [self._input(i, slots) for i in feature.inputs]
+        gathered = self._inputs(feature.inputs, slots)
         for slot in slots:
             for need, (found, tiles) in zip(feature.inputs, gathered):
                 paths, none = self._verdict(slot, found, tiles)
@@ -207,12 +209,23 @@ class Resolver:
         frame = feature.compute(Context(self.spark, self.settings, good), *frames)
         return Found(frame, set(good), lacking, skipped)
 
-    def _input(self, need: Input, slots: list[Slot]) -> tuple[Found, dict[Slot, list[Slot]]]:
-        """An input over everything the slots need, and which of its slots each one needs."""
-        wanted = self.registry[need.feature]
-        tiles = {s: tile(s[0] + need.offset, s[1] + need.offset, wanted.timescale) for s in slots}
-        every = sorted({t for ts in tiles.values() for t in ts})
-        return self._slots(wanted, every, need.columns), tiles
+    def _inputs(self, needs: Sequence[Input], slots: list[Slot]) -> list[tuple[Found, dict[Slot, list[Slot]]]]:
+        """Each input over everything the slots need, and which of its slots each slot needs.
+
+        Inputs that read the same feature at several offsets are resolved together, in one plan.
+        """
+        tiles = [
+            {s: tile(s[0] + i.offset, s[1] + i.offset, self.registry[i.feature].timescale) for s in slots} for i in needs
+        ]
+        found: dict[str, Found] = {}
+        for name in dict.fromkeys(i.feature for i in needs):
+            same = [(i, ts) for i, ts in zip(needs, tiles) if i.feature == name]
+            every = sorted({t for _, ts in same for some in ts.values() for t in some})
+            columns = None
+            if all(i.columns is not None for i, _ in same):
+                columns = list(dict.fromkeys(c for i, _ in same for c in i.columns))
+            found[name] = self._slots(self.registry[name], every, columns)
+        return [(found[i.feature], ts) for i, ts in zip(needs, tiles)]
 
     @staticmethod
     def _verdict(slot: Slot, found: Found, tiles: dict[Slot, list[Slot]]) -> tuple[frozenset[str], bool]:
@@ -226,7 +239,10 @@ class Resolver:
             return self._empty(self.registry[need.feature], need.columns)
         pairs = [(t[0], s[0]) for s in good for t in tiles[s] if t in found.done]
         consumer = step_of(good[0])
-        renamed = found.frame.withColumnRenamed("slot_start", "_input_slot").where(
+        frame = found.frame
+        if need.columns is not None:
+            frame = trim_columns(frame, [*need.columns, "slot_start"])
+        renamed = frame.withColumnRenamed("slot_start", "_input_slot").where(
             in_runs("_input_slot", sorted({t for s in good for t in tiles[s] if t in found.done}))
         )
         if all(floor_to(a - need.offset, consumer) == b for a, b in pairs):
@@ -252,7 +268,7 @@ class Resolver:
         for slot in sorted(slots):
             before = tile(slot[0] + own[0].offset, slot[1] + own[0].offset, feature.timescale)
             history = self.store.read(feature.name, before)
-            gathered = [self._input(i, [slot]) for i in others]
+            gathered = self._inputs(others, [slot])
             verdicts = [self._verdict(slot, found, tiles) for found, tiles in gathered]
             failed = [paths for need, (paths, _) in zip(others, verdicts) if need.on_missing == ERROR and paths]
             if failed:
@@ -273,18 +289,21 @@ class Resolver:
 
     def _empty(self, feature: Feature, columns: Sequence[str] | None = None) -> DataFrame:
         """A table of the feature's columns without rows."""
-        if feature.loader:
-            frame = feature.loader.empty(self.spark)
-        else:
-            inputs = [
-                None if i.feature == feature.name else self._empty(self.registry[i.feature], i.columns)
-                for i in feature.inputs
-            ]
-            day = (datetime(1970, 1, 1), datetime(1970, 1, 2))
-            frame = feature.compute(Context(self.spark, self.settings, [day]), *inputs)
-            if "slot_start" not in frame.columns:
-                frame = frame.withColumn("slot_start", F.lit(None).cast("timestamp"))
-            frame = frame.where(F.lit(False))
+        if feature.name not in self._schemas:
+            if feature.loader:
+                frame = feature.loader.empty(self.spark)
+            else:
+                inputs = [
+                    None if i.feature == feature.name else self._empty(self.registry[i.feature], i.columns)
+                    for i in feature.inputs
+                ]
+                day = (datetime(1970, 1, 1), datetime(1970, 1, 2))
+                frame = feature.compute(Context(self.spark, self.settings, [day]), *inputs)
+            schema = frame.schema
+            if "slot_start" not in schema.names:
+                schema = schema.add("slot_start", "timestamp")
+            self._schemas[feature.name] = schema
+        frame = self.spark.createDataFrame([], self._schemas[feature.name])
         return frame if columns is None else trim_columns(frame, [*columns, "slot_start"])
 
 

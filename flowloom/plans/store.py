@@ -86,14 +86,17 @@ class SlotStore:
             df = self.spark.createDataFrame([], schema).withColumn("slot_start", F.lit(None).cast("timestamp"))
         return df if columns is None else trim_columns(df, [*columns, "slot_start"])
 
-    def write(self, name: str, df: DataFrame, slots: Sequence[Slot]) -> None:
+    def write(self, name: str, df: DataFrame, slots: Sequence[Slot], rebalance: bool = True) -> None:
         """Store the rows of the slots, then declare them complete. ``df`` has ``slot_start``.
 
-        Rebalancing keeps files of even size and splits a hot slot over several tasks.
+        Rebalancing keeps files of even size and splits a hot slot over several tasks; raw logs, read file
+        by file, are in slots already and go without that shuffle.
         """
         if not slots:
             return
-        body = df.withColumn("slot", F.date_format("slot_start", STAMP)).drop("slot_start").hint("rebalance", "slot")
+        body = df.withColumn("slot", F.date_format("slot_start", STAMP)).drop("slot_start")
+        if rebalance:
+            body = body.hint("rebalance", "slot")
         (
             body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("slot").parquet(self.path(name))
