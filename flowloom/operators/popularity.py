@@ -32,8 +32,8 @@ def _attach_totals(df: DataFrame, totals: DataFrame, by: Sequence[str], slots: i
     """
     if by:
         return df.join(F.broadcast(totals) if slots is not None and slots <= MAX_BROADCAST_SLOTS else totals, list(by))
-    names = totals.columns
-    return df.withColumns({c: totals.select(c).scalar() for c in names})
+    row = totals.select(F.struct(*totals.columns)).scalar()
+    return df.withColumns({c: row[c] for c in totals.columns})
 
 
 def client_cells(df: DataFrame, keys: Sequence[str], client: str) -> DataFrame:
@@ -89,14 +89,12 @@ def agent_popularity(
 ) -> DataFrame:
     """Distinct clients and share of all clients per user agent."""
     cells = client_cells(df.where(F.col(agent).isNotNull()), [*by, agent], client)
-    per_agent = cells.groupBy(*by, agent).agg(
-        F.count(client).alias("cnt_distinct_hosts"), F.sum("_rows").alias("_logs")
-    )
+    per_agent = _same_cells(cells).groupBy(*by, agent).agg(F.count(client).alias("cnt_distinct_hosts"))
     totals = _same_cells(cells).groupBy(*by).agg(_distinct_clients(client).alias("_clients"))
     return (
         _attach_totals(per_agent, totals, by, slots)
         .withColumn("ua_norm", F.col("cnt_distinct_hosts") / F.col("_clients"))
-        .drop("_clients", "_logs")
+        .drop("_clients")
     )
 
 
@@ -149,7 +147,7 @@ def uri_popularity(
         _same_cells(cells)
         .select(*by, uri)
         .distinct()
-        .select(*by, uri, F.explode(F.array_distinct(uri_tokens(uri))).alias("uri_token"))
+        .select(*by, uri, F.explode(uri_tokens(uri)).alias("uri_token"))
         .where(F.col("uri_token") != "")
     )
     measures = ["cnt_distinct_ip_uri_token", "cnt_log_uri_token", "ip_uri_token_freq", "log_uri_token_freq"]

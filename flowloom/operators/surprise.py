@@ -14,17 +14,21 @@ PREFIX = "scored_"
 
 
 def discrete_score(
-    df: DataFrame, field: str, group: Sequence[str], out: str | None = None
+    df: DataFrame, field: str, group: Sequence[str], out: str | None = None, source: DataFrame | None = None
 ) -> DataFrame:
-    """-ln of the Laplace-smoothed frequency within the group, over its mean; NULL counts as unseen."""
+    """-ln of the Laplace-smoothed frequency within the group, over its mean; NULL counts as unseen.
+
+    ``source`` has the rows to count, if ``df`` is a costlier form of them.
+    """
     out = out or f"{PREFIX}{field}"
     keys = [f"_g{i}" for i in range(len(group))]
-    named = df.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(field).alias("_v"))
+    named = (df if source is None else source).select(
+        *[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(field).alias("_v")
+    )
     cells = named.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_rows"))
     sizes = cells.groupBy(*keys).agg(
         F.sum("_rows").alias("_total"), F.count("_v").alias("_distinct"),
-        F.sum(F.when(F.col("_v").isNull(), F.col("_rows"))).alias("_nulls"),
-        # sum of rows * ln(rows + 1) gives the group's mean score without a second pass
+        # The sum of rows * ln(rows + 1) gives the group's mean score without a second pass.
         F.sum(F.when(F.col("_v").isNotNull(), F.col("_rows") * F.log(F.col("_rows") + 1))).alias("_logs"),
     )
     spread = F.log(F.col("_total") + F.col("_distinct"))
@@ -39,37 +43,44 @@ def discrete_score(
     return df.join(scored, _all(back), "left").drop(*keys, "_v")
 
 
-def continuous_score(
-    df: DataFrame, field: str, group: Sequence[str], out: str | None = None, log_residual: bool = True
+def continuous_scores(
+    df: DataFrame, fields: dict[str, str], group: Sequence[str], log_residual: bool = True,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Normal negative log-likelihood of ln(1+x) within the group, over its mean; 1.0 without variance.
 
-    With ``log_residual`` false the residual is taken from the raw value.
+    ``fields`` names each field's output; they share one aggregate and one join. With ``log_residual``
+    false the residual is taken from the raw value.
     """
-    out = out or f"{PREFIX}{field}"
     keys = [f"_g{i}" for i in range(len(group))]
-    x = F.col(field).cast("double")
-    logs = F.log1p(x)
-    stats = df.groupBy(*[F.col(g).alias(k) for g, k in zip(group, keys)]).agg(
-        F.avg(logs).alias("_mean"), F.var_pop(logs).alias("_var"),
-        F.avg(x).alias("_raw_mean"), F.var_pop(x).alias("_raw_var"),
-    )
-    base = 0.5 * F.log(2 * F.pi() * F.col("_var"))
-    if log_residual:
-        squares, mean_squares = F.pow(logs - F.col("_mean"), 2), F.col("_var")
-    else:
-        squares = F.pow(x - F.col("_mean"), 2)
-        mean_squares = F.col("_raw_var") + F.pow(F.col("_raw_mean") - F.col("_mean"), 2)
-    score = F.try_divide(
-        F.try_divide(squares * 0.5, F.col("_var")) + base,
-        F.try_divide(mean_squares * 0.5, F.col("_var")) + base,
-    )
-    back = [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group, keys)]
-    return (
-        df.join(stats, _all(back), "left")
-        .withColumn(out, F.when(F.col("_var") > 0, score).otherwise(F.lit(1.0)))
-        .drop(*keys, "_mean", "_var", "_raw_mean", "_raw_var")
-    )
+    aggs = []
+    for i, field in enumerate(fields):
+        x = F.col(field).cast("double")
+        aggs += [F.avg(F.log1p(x)).alias(f"_mean{i}"), F.var_pop(F.log1p(x)).alias(f"_var{i}")]
+        if not log_residual:
+            aggs += [F.avg(x).alias(f"_raw_mean{i}"), F.var_pop(x).alias(f"_raw_var{i}")]
+    stats = (df if source is None else source).groupBy(*[F.col(g).alias(k) for g, k in zip(group, keys)]).agg(*aggs)
+    joined = df.join(stats, _all([F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group, keys)]), "left")
+    for i, (field, out) in enumerate(fields.items()):
+        x, mean, var = F.col(field).cast("double"), F.col(f"_mean{i}"), F.col(f"_var{i}")
+        base = 0.5 * F.log(2 * F.pi() * var)
+        if log_residual:
+            squares, mean_squares = F.pow(F.log1p(x) - mean, 2), var
+        else:
+            squares = F.pow(x - mean, 2)
+            mean_squares = F.col(f"_raw_var{i}") + F.pow(F.col(f"_raw_mean{i}") - mean, 2)
+        score = F.try_divide(
+            F.try_divide(squares * 0.5, var) + base, F.try_divide(mean_squares * 0.5, var) + base
+        )
+        joined = joined.withColumn(out, F.when(var > 0, score).otherwise(F.lit(1.0)))
+    return joined.drop(*stats.columns)
+
+
+def continuous_score(
+    df: DataFrame, field: str, group: Sequence[str], out: str | None = None, log_residual: bool = True
+) -> DataFrame:
+    """:func:`continuous_scores` of one field."""
+    return continuous_scores(df, {field: out or f"{PREFIX}{field}"}, group, log_residual)
 
 
 def score_groups(
@@ -77,18 +88,17 @@ def score_groups(
     description: str = "", keep_columns: bool = True, log_residual: bool = True,
 ) -> DataFrame:
     """Score several fields per group as ``scored_<description><field>``."""
-    skip = lambda f: f in group or f.startswith(PREFIX)
-    added = []
+    wanted = lambda fields: {
+        f: f"{PREFIX}{description}{f}" for f in fields if f not in group and not f.startswith(PREFIX)
+    }
     result = df
-    for field in discrete:
-        if not skip(field):
-            added.append(f"{PREFIX}{description}{field}")
-            result = discrete_score(result, field, group, added[-1])
-    for field in continuous:
-        if not skip(field):
-            added.append(f"{PREFIX}{description}{field}")
-            result = continuous_score(result, field, group, added[-1], log_residual)
-    return result if keep_columns else result.select(*group, *added)
+    for field, out in wanted(discrete).items():
+        result = discrete_score(result, field, group, out, source=df)
+    if wanted(continuous):
+        result = continuous_scores(result, wanted(continuous), group, log_residual, source=df)
+    if keep_columns:
+        return result
+    return result.select(*group, *wanted(discrete).values(), *wanted(continuous).values())
 
 
 def _all(conditions):

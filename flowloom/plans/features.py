@@ -10,7 +10,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from flowloom.operators import certs, conn_stats, domains, enrich, history, labels, periodicity, popularity, series
-from flowloom.plans.registry import EMPTY, ERROR, SKIP, Feature, Input, Registry
+from flowloom.plans.registry import EMPTY, ERROR, PARTIAL, SKIP, Feature, Input, Registry
 from flowloom.plans.slots import DAY, HALF_HOUR, MONTH, YEAR
 from flowloom.sources.feeds import CsvLoader
 from flowloom.sources.logs import AlertLoader, LogLoader
@@ -71,7 +71,7 @@ def _log(name: str, *columns: str, on_missing: str = SKIP) -> Input:
 
 
 def _days_before(name: str, days: int = 5):
-    return [Input(name, offset=timedelta(days=-i - 1)) for i in range(days)]
+    return [Input(name, offset=timedelta(days=-i - 1), on_missing=PARTIAL) for i in range(days)]
 
 
 def _popularity(reg: Registry) -> None:

@@ -9,10 +9,12 @@ from typing import Any
 
 from flowloom.plans.slots import HALF_HOUR, Timescale
 
-# What a feature does about a slot without one of its inputs.
-ERROR = "error"  # the slot cannot be computed
-SKIP = "skip"    # the slot has no result
-EMPTY = "empty"  # the input counts as an empty table
+# What a feature does about a slot whose input has missing files, or no table at all. A slot none of
+# whose inputs has a table never has a result.
+ERROR = "error"      # missing files: the slot cannot be computed; no table: it has no result
+PARTIAL = "partial"  # missing files: the slot cannot be computed; no table: the input is empty
+SKIP = "skip"        # what is there is used; no table: the slot has no result
+EMPTY = "empty"      # what is there is used; no table: the input is empty
 
 
 class MissingInput(Exception):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowloom.operators.tables import concat_common, trim_columns
-from flowloom.plans.registry import EMPTY, ERROR, Feature, Input, MissingInput, Registry
+from flowloom.plans.registry import ERROR, PARTIAL, SKIP, Feature, Input, MissingInput, Registry
 from flowloom.plans.slots import MONTH, YEAR, Slot, Timescale, epoch, floor_to, is_slot, moment_lit, tile
 from flowloom.plans.store import SlotStore
 from flowloom.session import configure
@@ -193,12 +193,14 @@ class Resolver:
         skipped: set[Slot] = set()
         gathered = self._inputs(feature.inputs, slots)
         for slot in slots:
-            for need, (found, tiles) in zip(feature.inputs, gathered):
-                paths, none = self._verdict(slot, found, tiles)
-                if need.on_missing == ERROR and paths:
+            verdicts = [self._verdict(slot, found, tiles) for found, tiles in gathered]
+            for need, (paths, none) in zip(feature.inputs, verdicts):
+                if need.on_missing in (ERROR, PARTIAL) and paths:
                     lacking[slot] = lacking.get(slot, frozenset()) | paths
-                elif need.on_missing != EMPTY and none:
+                elif need.on_missing in (ERROR, SKIP) and none:
                     skipped.add(slot)
+            if verdicts and all(none for _, none in verdicts):
+                skipped.add(slot)
         skipped -= set(lacking)
         good = [s for s in slots if s not in lacking and s not in skipped]
         if not good:
@@ -270,7 +272,7 @@ class Resolver:
             history = self.store.read(feature.name, before)
             gathered = self._inputs(others, [slot])
             verdicts = [self._verdict(slot, found, tiles) for found, tiles in gathered]
-            failed = [paths for need, (paths, _) in zip(others, verdicts) if need.on_missing == ERROR and paths]
+            failed = [paths for need, (paths, _) in zip(others, verdicts) if need.on_missing in (ERROR, PARTIAL) and paths]
             if failed:
                 lacking[slot] = frozenset().union(*failed)
                 continue

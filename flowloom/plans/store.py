@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowloom.operators.tables import trim_columns
-from flowloom.plans.slots import STAMP, Slot, epoch, from_epoch, stamp
+from flowloom.plans.slots import STAMP, Slot, Timescale, epoch, from_epoch, moment_lit, stamp, tile
 from flowloom.sources.files import exists, modified
 
 MANIFEST = "slot string, start_epoch long, end_epoch long, rows long, written_at timestamp, schema string"
@@ -109,6 +110,11 @@ class SlotStore:
         body.write.mode("append").partitionBy("slot").parquet(self.path(name))
         self._declare(name, slots, body.drop("slot").schema)
 
+    def append_moment(self, name: str, df: DataFrame, start: datetime, end: datetime, step: Timescale) -> None:
+        """Add rows to the slot a short range lies in."""
+        slot = tile(start, end, step)[0]
+        self.append(name, df.withColumn("slot_start", moment_lit(slot[0])), [slot])
+
     def _declare(self, name: str, slots: Sequence[Slot], schema: T.StructType) -> None:
         rows = self._row_counts(name, slots)
         text = schema.json()
