@@ -20,7 +20,7 @@ from flowloom.plans.coverage import coverage_ranges
 from flowloom.plans.features import build_registry
 from flowloom.plans.resolve import Resolver, Settings
 from flowloom.plans.slots import epoch, parse_moment
-from flowloom.session import configure
+from flowloom.session import configure, ship_package
 from flowloom.sources.feeds import read_ca_lists, read_rank_list
 
 
@@ -119,6 +119,7 @@ def topk(resolver: Resolver, args) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName("flowloom").getOrCreate())
+    ship_package(spark)
     registry = build_registry()
     if args.command == "deps":
         print("\n".join(registry.closure(args.features)))

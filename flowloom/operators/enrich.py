@@ -20,9 +20,10 @@ def both_directions(
 ) -> DataFrame:
     """Alerts under connection column names, once as they are and once with swapped endpoints."""
     rest = [c for c in alerts.columns if c not in mapping]
-    direct = alerts.select(*rest, *[F.col(a).alias(c) for a, c in mapping.items()])
-    reverse = alerts.select(*rest, *[F.col(swapped[a]).alias(c) for a, c in mapping.items()])
-    return direct.unionByName(reverse)
+    direct = F.struct(*[F.col(a).alias(c) for a, c in mapping.items()])
+    reverse = F.struct(*[F.col(swapped[a]).alias(c) for a, c in mapping.items()])
+    # Unfolding reads the alerts once where a union would read them twice.
+    return alerts.select(*rest, F.inline(F.array(direct, reverse)))
 
 
 def time_band_join(

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.session import configure
+from flowloom.session import configure, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return fn(Tables(configure(spark), sf_dir))
 
         run.__name__ = name

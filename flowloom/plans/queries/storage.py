@@ -103,8 +103,8 @@ def resolve_series(t: Tables):
 
 @query(
     "slot_store",
-    f"WITH {WEB} SELECT day, host, count(*) AS n, sum(k) AS total FROM web GROUP BY ALL UNION ALL "
-    f"SELECT day, host, count(*), sum(k) FROM web WHERE user_agent = 'error' GROUP BY ALL",
+    f"WITH {WEB} SELECT day, host, count(*) AS n, CAST(sum(k) AS BIGINT) AS total FROM web GROUP BY ALL UNION ALL "
+    f"SELECT day, host, count(*), CAST(sum(k) AS BIGINT) FROM web WHERE user_agent = 'error' GROUP BY ALL",
 )
 def slot_store(t: Tables):
     """Days are written, written again, appended to, and read back by slot with two of three columns."""

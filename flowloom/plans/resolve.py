@@ -72,7 +72,7 @@ class Resolver:
         self.root = root.rstrip("/")
         self.raw_root = (raw_root or root).rstrip("/")
         self.settings = settings or Settings()
-        self.store = SlotStore(spark, self.root)
+        self.store = SlotStore(spark, store_root(self.root))
         self._schemas: dict[str, T.StructType] = {}
 
     # -- public ------------------------------------------------------------------------------------
@@ -147,7 +147,7 @@ class Resolver:
                 done = sorted(fresh.done)
                 frame = fresh.frame
                 if save_dir or feature.memoize:
-                    target = SlotStore(self.spark, save_dir) if save_dir else self.store
+                    target = SlotStore(self.spark, store_root(save_dir)) if save_dir else self.store
                     if target.root == self.store.root:
                         if not feature.carry:  # a carried feature has stored every step
                             target.write(feature.name, frame, done, rebalance=not feature.loader)
@@ -164,7 +164,7 @@ class Resolver:
         return found
 
     def _save_elsewhere(self, feature: Feature, frame: DataFrame | None, slots: list[Slot], save_dir: str) -> None:
-        target = SlotStore(self.spark, save_dir)
+        target = SlotStore(self.spark, store_root(save_dir))
         if target.root == self.store.root or frame is None:
             return
         have = target.present(feature.name, slots)
@@ -309,6 +309,11 @@ class Resolver:
         return frame if columns is None else trim_columns(frame, [*columns, "slot_start"])
 
 
+def store_root(root: str) -> str:
+    """Folder of stored features; raw logs of the same names lie beside it and are never written to."""
+    return f"{root.rstrip('/')}/features"
+
+
 def step_of(slot: Slot) -> Timescale:
     """Timescale of an aligned slot."""
     for unit in (MONTH, YEAR):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,7 +53,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        import tempfile
-
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base.rstrip('/')}/flowloom-{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, as ``--py-files`` would; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):  # a package inside a zip was shipped already
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        archive = shutil.make_archive(
+            f"{folder}/flowloom", "zip", os.path.dirname(package), os.path.basename(package)
+        )
+        spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,10 +56,19 @@ class CsvLoader:
 
 
 def read_rank_list(spark: SparkSession, path: str, host: str = "host") -> DataFrame:
-    """Rank list with one host per line below a header; ``rank`` is the position in the list, from 0."""
-    lines = spark.read.option("header", True).csv(path).select(F.col(host))
-    ranked = lines.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    return spark.createDataFrame(ranked, "host string, rank long")
+    """Rank list with one host per line below a header; ``rank`` is the position in the list, from 0.
+
+    The position is the row's place in its split plus the rows of the splits before; only the latter, one
+    row per split of the file, is gathered in one place.
+    """
+    row = F.monotonically_increasing_id()
+    lines = spark.read.option("header", True).csv(path).select(
+        F.col(host).alias("host"), F.shiftright(row, 33).alias("_split"), row.bitwiseAND((1 << 33) - 1).alias("_row")
+    )
+    sizes = lines.groupBy("_split").agg((F.max("_row") + 1).alias("_rows"))
+    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    return lines.join(offsets, "_split").select("host", (F.col("_offset") + F.col("_row")).alias("rank"))
 
 
 def read_ca_lists(spark: SparkSession, lists: dict[str, str]) -> DataFrame:

@@ -13,7 +13,7 @@ from flowloom.plans import slots
 from flowloom.plans.features import build_registry
 from flowloom.plans.queries import QUERIES
 from flowloom.plans.registry import Feature, Input, MissingInput, Registry
-from flowloom.plans.resolve import Resolver, Settings
+from flowloom.plans.resolve import Resolver, Settings, store_root
 from flowloom.plans.slots import DAY, HALF_HOUR, MONTH, YEAR, is_slot, tile
 from flowloom.plans.store import SlotStore
 
@@ -208,6 +208,22 @@ def test_matches_labels_and_chains_over_files(spark, tmp_path):
     assert [(r.host, r.cnt_logs) for r in merged.collect()] == [("h.com", 2)]
 
 
+def test_rank_lists_count_from_the_top(spark, tmp_path):
+    from flowloom.sources.feeds import read_ca_lists, read_rank_list
+
+    (tmp_path / "ranks.csv").write_text("host\n" + "".join(f"h{i}.com\n" for i in range(5000)))
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        ranks = read_rank_list(spark, str(tmp_path / "ranks.csv"))
+        assert [r.host for r in ranks.orderBy("rank").collect()] == [f"h{i}.com" for i in range(5000)]
+        assert [r.rank for r in ranks.orderBy("rank").collect()] == list(range(5000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+    (tmp_path / "pub.csv").write_text("issuer_name\nBig\n")
+    assert read_ca_lists(spark, {"public": str(tmp_path / "pub.csv")}).first().category == "public"
+
+
 def test_ssh_blacklist_days(spark, tmp_path):
     root = tmp_path / "raw"
     put_log(root, "ssh", D, [{"uid": "u", "id.orig_h": "6.6.6.6", "id.resp_h": "10.0.0.1", "auth_attempts": 9, "auth_success": True}])
@@ -254,8 +270,8 @@ def test_save_dir_and_backfill(spark, site, tmp_path):
     resolver = Resolver(spark, build_registry(), str(site))
     elsewhere = str(tmp_path / "saved")
     resolver.get("popularity_ua", D, D + DAY, save_dir=elsewhere)
-    assert SlotStore(spark, elsewhere).slots_of("popularity_ua") == [(D, D + DAY)]
-    assert SlotStore(spark, str(site)).slots_of("popularity_ua") == []
+    assert SlotStore(spark, store_root(elsewhere)).slots_of("popularity_ua") == [(D, D + DAY)]
+    assert SlotStore(spark, store_root(str(site))).slots_of("popularity_ua") == []
     report = resolver.backfill(["popularity_uri", "http_cnt_respIP", "renisac"], D, D + DAY)
     assert report["popularity_uri"].startswith("1 slots") and "missing" in report["renisac"]
 
