@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,15 +41,22 @@ def ssl_mismatch_label(
     tls = conn.where(on_port & is_established(state)).select(*by, ts, uid, *keys)
     facts = ssl.select(*by, uid, as_flag(established).alias("_ok"), F.lit(True).alias("_ssl"))
     pairs = tls.join(facts, [*by, uid], "left")
+    # Tuples without TLS may stay or go. The test keeps the time in use, so that both uses of the pairs are
+    # alike and share the exchanges below their join.
+    shared = [*by, *keys]
     siblings = (
-        pairs.where("_ssl").groupBy(*by, *keys).agg(F.max("_ssl").alias("_any_ssl"), F.max("_ok").alias("_any_ok"))
+        pairs.groupBy(*[F.col(k).alias(f"_{k}") for k in shared])
+        .agg(F.max("_ssl").alias("_any_ssl"), F.max("_ok").alias("_any_ok"), F.max(ts).alias("_last"))
+        .where(F.col("_any_ssl") | F.col("_last").isNotNull())
+        .drop("_last")
     )
     label = (
         F.when(F.col("_ssl").isNull(), F.when(F.col("_any_ssl"), 4).otherwise(5))
         .when(F.col("_ok"), 1)
         .when(~F.col("_ok"), F.when(F.col("_any_ok"), 2).otherwise(3))
     )
-    labelled = pairs.join(siblings, [*by, *keys], "left").select(*by, ts, uid, label.alias("label"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in shared])
+    labelled = pairs.join(siblings, same, "left").select(*by, ts, uid, label.alias("label"))
     return other_port.unionByName(labelled.where(F.col("label").isNotNull()))
 
 

@@ -11,7 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from flowloom.session import local_session
 
-    return local_session(4, memory="6g", app="tests")
+    session = local_session(4, memory="6g", app="tests")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    return session
 
 
 @pytest.fixture
