@@ -135,9 +135,9 @@ class Resolver:
     def _slots(
         self, feature: Feature, slots: Sequence[Slot], columns: Sequence[str] | None, save_dir: str | None = None
     ) -> Found:
-        stored = self.store.present(feature.name, slots)
+        stored = self.store.entries(feature.name, slots)
         absent = [s for s in slots if s not in stored]
-        frames = [self.store.read(feature.name, sorted(stored), columns)] if stored else []
+        frames = [self.store.read(feature.name, sorted(stored), columns, stored)] if stored else []
         if save_dir and stored:
             self._save_elsewhere(feature, self.store.read(feature.name, sorted(stored)), sorted(stored), save_dir)
         found = Found(None, set(stored), {}, set())

@@ -54,23 +54,28 @@ class SlotStore:
         return newest.select("e.*")
 
     def entries(self, name: str, slots: Sequence[Slot]) -> dict[Slot, T.Row]:
-        """Manifest entries of the slots; at most as many as were asked for."""
-        if not slots:
+        """Newest manifest entries of the slots: a filtered scan of small files without a shuffle."""
+        path = self._manifest_path(name)
+        if not slots or not exists(self.spark, path):
             return {}
         wanted = {(epoch(s), epoch(e)): (s, e) for s, e in slots}
         low, high = min(k[0] for k in wanted), max(k[0] for k in wanted)
-        rows = self.manifest(name).where(F.col("start_epoch").between(low, high)).collect()
+        rows = self.spark.read.schema(MANIFEST).parquet(path).where(F.col("start_epoch").between(low, high)).collect()
+        rows.sort(key=lambda r: r.written_at)
         return {wanted[(r.start_epoch, r.end_epoch)]: r for r in rows if (r.start_epoch, r.end_epoch) in wanted}
 
     def present(self, name: str, slots: Sequence[Slot]) -> set[Slot]:
         return set(self.entries(name, slots))
 
-    def read(self, name: str, slots: Sequence[Slot], columns: Sequence[str] | None = None) -> DataFrame | None:
+    def read(
+        self, name: str, slots: Sequence[Slot], columns: Sequence[str] | None = None,
+        entries: dict[Slot, T.Row] | None = None,
+    ) -> DataFrame | None:
         """Rows of the complete ones among the slots with ``slot_start``; None if there is none.
 
-        The slots become a partition predicate and the columns a pruned scan.
+        The slots become paths and the columns a pruned scan. ``entries`` are theirs, if known already.
         """
-        found = self.entries(name, slots)
+        found = self.entries(name, slots) if entries is None else entries
         if not found:
             return None
         schema = _merged_schema(found.values())
