@@ -261,3 +261,21 @@ def test_reports(spark):
 def test_sections_without_detections_are_zero(spark):
     df = spark.createDataFrame([("s", 1, 4), ("s", 2, 4), ("t", None, 5)], "k string, positives int, total int")
     assert rows(reports.section_average(df, ["k"])) == [("s", 1.5, 4.0), ("t", 0.0, 0.0)]
+
+
+def test_a_hot_key_keeps_results_whole(spark):
+    """A third of the rows under one host, in many small partitions."""
+    rows_in = [("hot" if i % 3 == 0 else f"h{i % 50}", f"c{i % 97}", "1.1.1.1", float(i)) for i in range(6000)]
+    df = spark.createDataFrame(rows_in, "host string, id_orig_h string, id_resp_h string, ts double").repartition(12)
+    got = {r.host: (r.cnt_distinct_hosts, r.cnt_logs) for r in popularity.host_popularity(df).collect()}
+    clients, logs = {}, {}
+    for h, c, _, _ in rows_in:
+        clients.setdefault(h, set()).add(c)
+        logs[h] = logs.get(h, 0) + 1
+    assert got == {h: (len(clients[h]), logs[h]) for h in logs}
+    kept = {r.host: r.ts for r in tables.keep_one(df, ["host"], ["ts"]).collect()}
+    assert kept == {h: min(t for x, _, _, t in rows_in if x == h) for h in logs}
+    alerts = df.where("ts % 500 = 0").select("host", F.col("ts").alias("rt"), F.col("ts").alias("a"))
+    pairs = enrich.time_band_join(df, alerts, ["host"], "ts", "rt", 6.0)
+    want = [(h, t, a) for h, _, _, t in rows_in for g, _, _, a in rows_in if a % 500 == 0 and g == h and abs(t - a) <= 6]
+    assert rows(pairs, "host", "ts", "a") == sorted(want, key=str)
