@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, line_dedup, mixing, near_dedup
+from flowloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality, toxicity
 from flowloom.session import configure, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,23 @@ SELECT doc_id, domain, lang, source, n_tokens, copies FROM counted WHERE copies
 def op6(table):
     """The documents, and how often each, that fill the budgets of domains, languages and sources."""
     return mixing.selection(table("documents"), MIX_WEIGHTS, mix_domain(), percent=MIX_PERCENT, seed=MIX_SEED)
+
+
+def held_out_scores(docs, labels, module, label: str, modulus: int, fold: int, threshold: float = 0.3) -> DataFrame:
+    """Scores of all documents by a model that learns from the rows outside the fold."""
+    model = module.train(docs, labels, label, quality.remainder(F.col("doc_id"), modulus) != fold)
+    held_out = F.coalesce(quality.remainder(F.col("doc_id"), modulus) == fold, F.lit(True))
+    scored = docs.select("doc_id", held_out.alias("held_out"), module.score_column(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+@query("op3_quality_classifier")
+def op3(table):
+    """The quality of every document."""
+    return held_out_scores(table("documents"), table("labels"), quality, "quality", 5, 0)
+
+
+@query("op7_toxicity")
+def op7(table):
+    """The toxicity of every document."""
+    return held_out_scores(table("documents"), table("labels"), toxicity, "toxic", 4, 2)
