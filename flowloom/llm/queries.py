@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality, toxicity
+from flowloom.llm import decontaminate, line_dedup, mixing, near_dedup, outliers, pseudonyms, quality, secret_scan, templates, toxicity
 from flowloom.session import configure, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,30 @@ def op3(table):
 def op7(table):
     """The toxicity of every document."""
     return held_out_scores(table("documents"), table("labels"), toxicity, "toxic", 4, 2)
+
+
+@query("op4_secret_scan")
+def op4(table):
+    """Every candidate for a secret with the forest's verdict; values as hashes."""
+    fit_rows = F.coalesce(quality.remainder(F.col("doc_id"), 5) != 0, F.lit(False))
+    found = secret_scan.scan(table("documents"), fit_rows)
+    return found.select("doc_id", "start", F.length("value").cast("long").alias("n_chars"), F.sha2("value", 256).alias("value_sha256"), (~fit_rows).alias("held_out"), "score", "predicted")
+
+
+@query("op8_pii_pseudonyms")
+def op8(table):
+    """Every document with its personal data replaced by pseudonyms."""
+    done = pseudonyms.pseudonymised(table("documents").select("doc_id", "text"), key="flowloom")
+    return done.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+@query("op9_quality_rules")
+def op9(table):
+    """The statistics of every document and whether rules and outlier test keep it."""
+    return outliers.judged(table("documents"))
+
+
+@query("op10_html_extraction")
+def op10(table):
+    """The main text of every page."""
+    return templates.main_texts(table("pages"))
