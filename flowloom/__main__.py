@@ -1,9 +1,9 @@
 """Command line, for spark-submit or ``python -m flowloom``.
 
-compute  compute and store features over a range, inputs first
+compute  compute and store tables over a range, inputs first
 ls       stored or missing slots as ranges, paths, columns or options
 topk     the rows of a feature with the highest score
-deps     features and everything they need
+deps     tables and everything they need
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from flowloom.operators.tables import top_k
 from flowloom.plans.coverage import coverage_ranges
-from flowloom.plans.features import build_registry
+from flowloom.plans.catalog import build_registry
 from flowloom.plans.resolve import Resolver, Settings
 from flowloom.plans.slots import epoch, parse_moment
 from flowloom.session import configure, ship_package
@@ -28,7 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="flowloom", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     commands = parser.add_subparsers(dest="command", required=True)
     shared = argparse.ArgumentParser(add_help=False)
-    shared.add_argument("--root_dir", required=True, help="folder of raw logs, feeds and stored features")
+    shared.add_argument("--seed", choices=["empty"], help="start histories without an earlier day from nothing")
+    shared.add_argument("--root_dir", required=True, help="folder of raw logs, feeds and stored tables")
     shared.add_argument("--start_time", required=True, type=parse_moment, help="YYYY-MM-DD[ HH:MM:SS]")
     shared.add_argument("--end_time", default=datetime.now().strftime("%Y-%m-%d"), type=parse_moment)
     shared.add_argument("--home_site", default="home", help="site tag of the originating site")
@@ -37,12 +38,12 @@ def _parser() -> argparse.ArgumentParser:
     shared.add_argument("--ca_list", action="append", default=[], metavar="CATEGORY=PATH")
 
     compute = commands.add_parser("compute", parents=[shared])
-    compute.add_argument("features", nargs="*", help="all features if none is named")
+    compute.add_argument("names", nargs="*", help="all tables if none is named")
     compute.add_argument("--save_dir")
     compute.add_argument("--pick-one-random", action="store_true", help="only one missing slot of each feature")
 
     ls = commands.add_parser("ls", parents=[shared])
-    ls.add_argument("features", nargs="*")
+    ls.add_argument("names", nargs="*")
     ls.add_argument("--output_format", default="ranges", choices=["ranges", "paths", "columns", "options"])
     ls.add_argument("--missing", action="store_true", help="missing instead of existing slots")
 
@@ -53,7 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     topk.add_argument("--k", type=int, default=42)
 
     deps = commands.add_parser("deps")
-    deps.add_argument("features", nargs="+")
+    deps.add_argument("names", nargs="+")
     return parser
 
 
@@ -66,11 +67,11 @@ def _settings(spark: SparkSession, args) -> Settings:
     if args.ca_list:
         lists = dict(item.split("=", 1) for item in args.ca_list)
         tables["ca_issuers"] = lambda s: read_ca_lists(s, lists)
-    return Settings(home_site=args.home_site, tables=tables)
+    return Settings(home_site=args.home_site, tables=tables, seed=args.seed)
 
 
 def compute(resolver: Resolver, args) -> None:
-    names = args.features or list(resolver.registry)
+    names = args.names or list(resolver.registry)
     if not args.pick_one_random:
         for name, outcome in resolver.backfill(names, args.start_time, args.end_time, args.save_dir).items():
             print(f"{name}: {outcome}")
@@ -83,7 +84,7 @@ def compute(resolver: Resolver, args) -> None:
 
 
 def ls(resolver: Resolver, args) -> None:
-    names = args.features or [n for n in resolver.registry if resolver.store.slots_of(n)]
+    names = args.names or [n for n in resolver.registry if resolver.store.slots_of(n)]
     for name in names:
         wanted = [s for s, there in resolver.status(name, args.start_time, args.end_time) if there != args.missing]
         if args.output_format == "ranges":
@@ -122,7 +123,7 @@ def main(argv: list[str] | None = None) -> None:
     ship_package(spark)
     registry = build_registry()
     if args.command == "deps":
-        print("\n".join(registry.closure(args.features)))
+        print("\n".join(registry.closure(args.names)))
         return
     resolver = Resolver(spark, registry, args.root_dir, settings=_settings(spark, args))
     {"compute": compute, "ls": ls, "topk": topk}[args.command](resolver, args)

@@ -9,8 +9,9 @@ from flowloom.functions.text import _col
 
 
 def to_time(c: str | Column) -> Column:
-    """Timestamp, NULL for text that is none (a plain cast would fail under ANSI)."""
-    return _col(c).try_cast("timestamp")
+    """Timestamp of a time, epoch seconds or text of either; NULL for text that is none (a plain cast would fail under ANSI)."""
+    seconds = _col(c).cast("string").try_cast("double")
+    return F.coalesce(seconds.try_cast("timestamp"), _col(c).try_cast("timestamp"))
 
 
 def epoch_seconds(c: str | Column, digits: int = 6) -> Column:

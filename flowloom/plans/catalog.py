@@ -1,4 +1,4 @@
-"""The registered features: 17 raw logs and feeds, 59 derived tables.
+"""The registered tables: 17 raw logs and feeds, 59 derived tables.
 
 A name ending in ``_vt`` reads the second site's copy of a log.
 """

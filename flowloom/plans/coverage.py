@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from flowloom.plans.slots import slot_rows
 
 
-def mark_slots(features: DataFrame, start: Column, end: Column, seconds: int, present: DataFrame) -> DataFrame:
+def mark_slots(names: DataFrame, start: Column, end: Column, seconds: int, present: DataFrame) -> DataFrame:
     """Every slot of every feature with ``slot_end`` and whether it is in ``present`` (feature, slot_start)."""
-    wanted = slot_rows(features, start, end, seconds)
+    wanted = slot_rows(names, start, end, seconds)
     flagged = present.select("feature", "slot_start").distinct().withColumn("present", F.lit(True))
     return (
         wanted.join(flagged, ["feature", "slot_start"], "left")

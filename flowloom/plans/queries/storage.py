@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowloom.operators.cleaning import clean_log
 from flowloom.operators.popularity import HOST_MEASURES
-from flowloom.plans.features import build_registry
+from flowloom.plans.catalog import build_registry
 from flowloom.plans.queries.bindings import NAMED, WEB, Tables, query
 from flowloom.plans.queries.popularity import DAILY_HOST, _extreme_sql
 from flowloom.plans.queries.tables import _report_lines
@@ -49,7 +49,7 @@ class TableLoader:
 def _resolver(t: Tables) -> tuple[Resolver, datetime, datetime]:
     web = t.web()
     registry = build_registry()
-    registry.features["http"] = Feature("http", HALF_HOUR, loader=TableLoader(web))
+    registry.entries["http"] = Feature("http", HALF_HOUR, loader=TableLoader(web))
     low, high = web.agg(F.unix_timestamp(F.min("ts")), F.unix_timestamp(F.max("ts"))).first()
     first = from_epoch(low // DAY_SECONDS * DAY_SECONDS)
     last = from_epoch(high // DAY_SECONDS * DAY_SECONDS + DAY_SECONDS)
@@ -89,11 +89,11 @@ def resolve_series(t: Tables):
     """Which hosts have a stored series on which day."""
     resolver, first, last = _resolver(t)
     registry = resolver.registry
-    registry.features["http"] = Feature(
+    registry.entries["http"] = Feature(
         "http", HALF_HOUR, loader=TableLoader(t.web().withColumn("seconds", F.col("ts").cast("double")))
     )
     inner = registry["http_ts"]
-    registry.features["http_ts"] = inner.also(
+    registry.entries["http_ts"] = inner.also(
         inputs=(inner.inputs[0].__class__("http", ("uid", "seconds", "id_resp_h", "host")),),
         compute=lambda ctx, log: inner.compute(ctx, log.withColumnRenamed("seconds", "ts")),
     )

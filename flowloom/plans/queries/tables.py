@@ -127,9 +127,9 @@ def coverage(t: Tables):
     present = web.select(
         F.col("user_agent").alias("feature"), F.window("ts", "30 minutes")["start"].alias("slot_start")
     ).distinct()
-    features = present.select("feature").distinct()
+    names = present.select("feature").distinct()
     lo, hi = [moment_lit(m) for m in _bounds(web)]
-    marked = mark_slots(features, lo, hi, 1800, present)
+    marked = mark_slots(names, lo, hi, 1800, present)
     ranges = coverage_ranges(marked)
     return ranges.select(
         "feature", "present", F.unix_timestamp("range_start").alias("start_epoch"),

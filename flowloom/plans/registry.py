@@ -1,4 +1,4 @@
-"""Named features: what they need, how often, and how they are computed."""
+"""Named tables: what they need, how often, and how they are computed."""
 
 from __future__ import annotations
 
@@ -62,12 +62,12 @@ class Feature:
 
 @dataclass
 class Registry:
-    features: dict[str, Feature] = field(default_factory=dict)
+    entries: dict[str, Feature] = field(default_factory=dict)
 
     def add(self, feature: Feature) -> Feature:
-        if feature.name in self.features:
+        if feature.name in self.entries:
             raise ValueError(f"feature {feature.name} is defined twice")
-        self.features[feature.name] = feature
+        self.entries[feature.name] = feature
         return feature
 
     def feature(self, *inputs: Input, name: str | None = None, **settings):
@@ -80,18 +80,18 @@ class Registry:
         return register
 
     def __getitem__(self, name: str) -> Feature:
-        if name not in self.features:
-            raise KeyError(f"feature {name} is not registered; there are {sorted(self.features)}")
-        return self.features[name]
+        if name not in self.entries:
+            raise KeyError(f"feature {name} is not registered; there are {sorted(self.entries)}")
+        return self.entries[name]
 
     def __contains__(self, name: str) -> bool:
-        return name in self.features
+        return name in self.entries
 
     def __iter__(self):
-        return iter(self.features)
+        return iter(self.entries)
 
     def closure(self, names: Sequence[str]) -> list[str]:
-        """The features and everything they need, inputs first; a feature may need itself."""
+        """The named tables and everything they need, inputs first; a feature may need itself."""
         order: list[str] = []
         open_names: set[str] = set()
 

@@ -1,6 +1,6 @@
 """Resolve a named feature over a time range: read what is stored, compute and store the rest.
 
-The absent slots of a feature are computed by one plan with the slot as a grouping column; only features
+The absent slots of a feature are computed by one plan with the slot as a grouping column; only tables
 that carry state from slot to slot are stepped through in time order.
 """
 
@@ -35,6 +35,8 @@ class Settings:
     zone: str = "America/New_York"
     expiry_days: int = 30
     match_band: float = 300.0
+    # What a history without any stored day before it starts from: "empty", or None to refuse.
+    seed: str | None = None
     # Lookup tables by name: a DataFrame, or a function of the session that gives one.
     tables: dict[str, DataFrame | Callable[[SparkSession], DataFrame]] = field(default_factory=dict)
 
@@ -113,7 +115,7 @@ class Resolver:
     def backfill(
         self, names: Sequence[str], start: datetime, end: datetime, save_dir: str | None = None
     ) -> dict[str, str]:
-        """Compute and store several features, inputs first; all of them if no name is given.
+        """Compute and store several tables, inputs first; all of them if no name is given.
 
         A feature with missing inputs does not keep the others from being computed.
         """
@@ -260,16 +262,28 @@ class Resolver:
     def _carried(self, feature: Feature, slots: list[Slot]) -> Found:
         """Step through the slots in time order, each from the stored one before it.
 
-        Every step is stored, which also cuts the lineage. Without a stored predecessor the first slot
-        starts from nothing.
+        Every step is stored, which also cuts the lineage. Slots between the nearest stored one and those asked for
+        are computed as well. Without any stored slot before it a history starts from nothing only if the settings'
+        ``seed`` is "empty"; else it is an error, as all earlier state would be lost.
         """
         own = [i for i in feature.inputs if i.feature == feature.name]
         others = [i for i in feature.inputs if i.feature != feature.name]
         done: set[Slot] = set()
         lacking: dict[Slot, frozenset[str]] = {}
-        for slot in sorted(slots):
+        first, last = min(slots), max(slots)
+        stored = self.store.slots_of(feature.name)
+        earlier = [s for s in stored if s < first]
+        if not earlier and self.settings.seed != "empty":
+            raise ValueError(f'{feature.name} has no stored slot before {first[0]}: set seed="empty" to start it there')
+        # What lies between is missing state, not an empty one.
+        between = tile(max(earlier)[1], last[1], feature.timescale) if earlier else tile(first[0], last[1], feature.timescale)
+        for slot in sorted({*between, *slots} - set(stored)):
             before = tile(slot[0] + own[0].offset, slot[1] + own[0].offset, feature.timescale)
             history = self.store.read(feature.name, before)
+            if history is None and (earlier or done):
+                # The day before could not be computed, so neither can this one.
+                lacking[slot] = frozenset({self.store.slot_path(feature.name, before[0])})
+                continue
             gathered = self._inputs(others, [slot])
             verdicts = [self._verdict(slot, found, tiles) for found, tiles in gathered]
             failed = [paths for need, (paths, _) in zip(others, verdicts) if need.on_missing in (ERROR, PARTIAL) and paths]
@@ -287,7 +301,8 @@ class Resolver:
             start = F.timestamp_seconds(F.lit(epoch(slot[0])))
             self.store.write(feature.name, frame.withColumn("slot_start", start), [slot])
             done.add(slot)
-        return Found(self.store.read(feature.name, sorted(done)), done, lacking, set())
+        done &= set(slots)
+        return Found(self.store.read(feature.name, sorted(done)) if done else None, done, {s: p for s, p in lacking.items() if s in set(slots)}, set())
 
     def _empty(self, feature: Feature, columns: Sequence[str] | None = None) -> DataFrame:
         """A table of the feature's columns without rows."""
@@ -310,8 +325,8 @@ class Resolver:
 
 
 def store_root(root: str) -> str:
-    """Folder of stored features; raw logs of the same names lie beside it and are never written to."""
-    return f"{root.rstrip('/')}/features"
+    """Folder of stored tables; raw logs of the same names lie beside it and are never written to."""
+    return f"{root.rstrip("/")}/derived"
 
 
 def step_of(slot: Slot) -> Timescale:

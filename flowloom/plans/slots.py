@@ -97,8 +97,8 @@ def _calendar_tiles(start: datetime, end: datetime, step: str) -> list[Slot]:
     first, last = floor_to(start, step), floor_to(end, step)
     if first == last:
         return [(first, next_start(first, step))]
-    if next_start(first, step) == last and end != last:
-        raise ValueError(f"a range into the next {step} must end on its first moment")
+    if end != last:
+        raise ValueError(f"a range over several units must end on the first moment of a {step}")
     return _steps(first, last, step)
 
 

@@ -10,13 +10,13 @@ import json
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowloom.operators.tables import trim_columns
 from flowloom.plans.slots import STAMP, Slot, Timescale, epoch, from_epoch, moment_lit, stamp, tile
-from flowloom.sources.files import exists, modified
+from flowloom.sources.files import exists, modified, remove
 
 MANIFEST = "slot string, start_epoch long, end_epoch long, rows long, written_at timestamp, schema string"
 
@@ -103,10 +103,16 @@ class SlotStore:
         body = df.withColumn("slot", F.date_format("slot_start", STAMP)).drop("slot_start")
         if rebalance:
             body = body.hint("rebalance", "slot")
+        seen = Observation()
         (
-            body.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("slot").parquet(self.path(name))
+            body.observe(seen, F.collect_set("slot").alias("slots")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(self.path(name))
         )
+        # The writer leaves slots without rows as they were; rows of an earlier write must go.
+        written = set(seen.get["slots"] or ())
+        for slot in slots:
+            if stamp(slot[0]) not in written:
+                remove(self.spark, f"{self.path(name)}/slot={stamp(slot[0])}")
         self._declare(name, slots, body.drop("slot").schema)
 
     def append(self, name: str, df: DataFrame, slots: Sequence[Slot]) -> None:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,12 +21,31 @@ FEED_SCHEMAS = {
 }
 
 
+def _headers(spark: SparkSession, paths: list[str] | str) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header. Only first lines reach the driver, one per file."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), place.alias("place"), "value")
+    first = lines.where("place.block = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    files: dict[tuple[str, ...], list[str]] = {}
+    for path, header in sorted(tuple(r) for r in first.collect()):
+        names = tuple(name.strip() for name in next(csv.reader([header.lstrip("\ufeff")])))
+        files.setdefault(names, []).append(unquote(path))
+    return files
+
+
 def scan_csv(spark: SparkSession, paths: list[str] | str, schema: str | T.StructType | None = None) -> DataFrame:
-    """CSV with a header row, columns matched by name; without a schema every column is text.
+    """CSV with a header row, columns matched by the names in each file's own header; without a schema every column is text.
 
-    Reading never infers types, which would cost a second pass.
+    Files of one header are one scan. Reading never infers types, which would cost a second pass.
     """
-    raw = spark.read.option("header", True).csv(paths).withColumn("_source", F.col("_metadata.file_path"))
+    parts = []
+    for names, files in _headers(spark, paths).items():
+        text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        part = spark.read.schema(text).option("header", True).option("enforceSchema", True).csv(files)
+        parts.append(part.withColumn("_source", F.col("_metadata.file_path")))
+    if not parts:
+        parts = [spark.createDataFrame([], "_source string")]
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if schema is None:
         return raw
     wanted = [
@@ -58,17 +81,17 @@ class CsvLoader:
 def read_rank_list(spark: SparkSession, path: str, host: str = "host") -> DataFrame:
     """Rank list with one host per line below a header; ``rank`` is the position in the list, from 0.
 
-    The position is the row's place in its split plus the rows of the splits before; only the latter, one
-    row per split of the file, is gathered in one place.
+    Files count in the order of their names. The position is the row's place in its block of a file plus the rows of the
+    blocks before; only the latter, one row per block, is gathered in one place.
     """
     row = F.monotonically_increasing_id()
     lines = spark.read.option("header", True).csv(path).select(
-        F.col(host).alias("host"), F.shiftright(row, 33).alias("_split"), row.bitwiseAND((1 << 33) - 1).alias("_row")
+        F.col(host).alias("host"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), row.alias("_row")
     )
-    sizes = lines.groupBy("_split").agg((F.max("_row") + 1).alias("_rows"))
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_split", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    return lines.join(offsets, "_split").select("host", (F.col("_offset") + F.col("_row")).alias("rank"))
+    sizes = lines.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", "_block", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
+    return lines.join(offsets, ["_file", "_block"]).select("host", (F.col("_offset") + F.col("_row")).alias("rank"))
 
 
 def read_ca_lists(spark: SparkSession, lists: dict[str, str]) -> DataFrame:

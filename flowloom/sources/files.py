@@ -45,3 +45,9 @@ def modified(spark: SparkSession, path: str) -> int:
     """Modification time in epoch milliseconds."""
     target = _path(spark, path)
     return _fs(spark, target).getFileStatus(target).getModificationTime()
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all it holds, if it exists."""
+    target = _path(spark, folder)
+    _fs(spark, target).delete(target, True)

@@ -12,7 +12,8 @@ from flowloom.functions.nets import SITE_SUBNETS
 from flowloom.operators.cleaning import clean_log
 from flowloom.plans.slots import Slot
 
-_ENDS = "uid string, ts double, `id.orig_h` string, `id.resp_h` string, `id.orig_p` int, `id.resp_p` int"
+# Times come as epoch seconds or as text, so they are read as text.
+_ENDS = "uid string, ts string, `id.orig_h` string, `id.resp_h` string, `id.orig_p` int, `id.resp_p` int"
 _SITES = "anon_orig string, anon_resp string"
 _FILES = (
     "tunnel_parents array<string>, analyzers array<string>, resp_mime_types array<string>, "

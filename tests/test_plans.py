@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flowloom.plans import slots
-from flowloom.plans.features import build_registry
+from flowloom.plans.catalog import build_registry
 from flowloom.plans.queries import QUERIES
 from flowloom.plans.registry import Feature, Input, MissingInput, Registry
 from flowloom.plans.resolve import Resolver, Settings, store_root
@@ -48,6 +48,8 @@ def test_calendar_tiles():
     assert len(tile(datetime(2023, 11, 1), datetime(2024, 11, 1), MONTH)) == 12  # same month, another year
     with pytest.raises(ValueError):
         tile(datetime(2024, 1, 1), datetime(2024, 2, 2), MONTH)
+    with pytest.raises(ValueError):
+        tile(datetime(2024, 1, 15), datetime(2024, 4, 20), MONTH)
     assert tile(datetime(2023, 3, 1), datetime(2023, 4, 1), YEAR) == [(datetime(2023, 1, 1), datetime(2024, 1, 1))]
     with pytest.raises(ValueError):
         tile(D, datetime(2024, 2, 1), "week")
@@ -58,7 +60,7 @@ def test_calendar_tiles():
 
 def test_registry():
     reg = build_registry()
-    assert len(reg.features) == 76 and sum(f.loader is not None for f in reg.features.values()) == 17
+    assert len(reg.entries) == 76 and sum(f.loader is not None for f in reg.entries.values()) == 17
     assert reg.closure(["fiveday_popularity_ua"]) == ["http", "popularity_ua", "fiveday_popularity_ua"]
     assert reg.closure(["http_domain_history"]) == ["http", "http_domain_history"]
     with pytest.raises(ValueError):
@@ -161,13 +163,56 @@ def test_history_is_carried_over_a_day_without_logs(spark, tmp_path):
     root = tmp_path / "raw"
     for day in (0, 1, 3):
         put_log(root, "http", D + day * DAY, [http("u", D + day * DAY, "c", f"h{day % 2}.com")])
-    resolver = Resolver(spark, build_registry(), str(root))
+    resolver = Resolver(spark, build_registry(), str(root), settings=Settings(seed="empty"))
     out = resolver.get("http_domain_history", D, D + 4 * DAY, keep_slot=True)
     got = sorted((r.slot_start.day, r.host, r.count_since_firstseen, r.days_since_lastseen) for r in out.collect())
     assert got == [(1, "h0.com", 1, 0), (2, "h0.com", 1, 1), (2, "h1.com", 1, 0), (3, "h0.com", 1, 1), (3, "h1.com", 1, 0),
                    (4, "h0.com", 1, 3), (4, "h1.com", 2, 0)]
 
 
+def test_history_never_restarts_silently(spark, tmp_path):
+    root = tmp_path / "raw"
+    for day in range(4):
+        put_log(root, "http", D + day * DAY, [http("u", D + day * DAY, "c", "h.com")])
+    strict = Resolver(spark, build_registry(), str(root))
+    with pytest.raises(ValueError, match="no stored slot before"):
+        strict.get("http_domain_history", D, D + 2 * DAY)
+    Resolver(spark, build_registry(), str(root), settings=Settings(seed="empty")).get("http_domain_history", D, D + 2 * DAY)
+    last = strict.get("http_domain_history", D + 3 * DAY, D + 4 * DAY).collect()  # the third day is computed on the way
+    assert [(str(r.firstseen_date), r.count_since_firstseen) for r in last] == [("2024-01-01", 4)]
+
+
+def test_feeds_by_their_own_headers_and_rank_list_by_file_order(spark, tmp_path):
+    from flowloom.sources.feeds import read_rank_list, scan_csv
+
+    (tmp_path / "a.csv").write_text("indicator,description\n1.1.1.1,bad\n")
+    (tmp_path / "b.csv").write_text("description,indicator,extra\nworse,2.2.2.2,x\n")
+    rows = scan_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], "indicator string, description string").collect()
+    assert sorted((r.indicator, r.description) for r in rows) == [("1.1.1.1", "bad"), ("2.2.2.2", "worse")]
+    ranks = tmp_path / "ranks"
+    ranks.mkdir()
+    (ranks / "part-0.csv").write_text("host\ntop0\ntop1\n")
+    (ranks / "part-1.csv").write_text("host\n" + "".join(f"low{i}\n" for i in range(500)))
+    got = {r.host: r["rank"] for r in read_rank_list(spark, str(ranks)).collect()}
+    assert (got["top0"], got["top1"], got["low0"], got["low499"]) == (0, 1, 2, 501)
+
+
+def test_rewriting_a_slot_without_rows_clears_it(spark, tmp_path):
+    from flowloom.plans.store import SlotStore
+
+    store = SlotStore(spark, str(tmp_path / "store"))
+    df = spark.createDataFrame([(D, 1), (D, 2)], "slot_start timestamp, x int")
+    store.write("t", df, [(D, D + DAY)])
+    store.write("t", df.where("x > 9"), [(D, D + DAY)])
+    assert store.read("t", [(D, D + DAY)]).count() == 0
+
+
+def test_times_in_both_spellings(spark, values):
+    from flowloom.functions.times import epoch_seconds
+
+    assert values("ts string", [("2024-01-01 00:05:00.25",), ("1704067500.25",), ("x",)], epoch_seconds("ts")) == [1704067500.25, 1704067500.25, 0.0]
+
+
 def test_matches_labels_and_chains_over_files(spark, tmp_path):
     root = tmp_path / "raw"
     at = D + timedelta(hours=3)
@@ -189,7 +234,7 @@ def test_matches_labels_and_chains_over_files(spark, tmp_path):
         "ca_issuers": spark.createDataFrame([("Big", "public")], "issuer_name string, category string"),
         "rank_list": spark.createDataFrame([("h.com", 4)], "host string, rank long"),
     }
-    resolver = Resolver(spark, build_registry(), str(root), settings=Settings(tables=tables))
+    resolver = Resolver(spark, build_registry(), str(root), settings=Settings(tables=tables, seed="empty"))
     one = (at, at + HALF_HOUR)
     assert [(r.host, r.fe_score) for r in resolver.get("fireeye_score_v2", D, D + DAY).collect()] == [("h.com", 1.0)]
     assert [(r.host, r.fe_score) for r in resolver.get("fireeye_score_v1", D, datetime(2024, 2, 1)).collect()] == [("h.com", 1.0)]
@@ -231,7 +276,7 @@ def test_ssh_blacklist_days(spark, tmp_path):
         folder = root / "honeypot" / f"{D + day * DAY:%Y-%m-%d}"
         folder.mkdir(parents=True)
         (folder / f"honeypot_{D + day * DAY:%Y-%m-%d}.csv").write_text(f"indicator,description\n{ip},x\n")
-    resolver = Resolver(spark, build_registry(), str(root))
+    resolver = Resolver(spark, build_registry(), str(root), settings=Settings(seed="empty"))
     get = lambda name: [(r.id_orig_h_inHoneypot, r.id_resp_h_inHoneypot) for r in resolver.get(name, D, D + DAY).collect()]
     assert get("ssh_bf_succ_honeypot") == [] and get("ssh_bf_succ_honeypot_retro1") == [(1, 0)] and get("ssh_bf_succ_honeypot_retro2") == [(0, 1)]
     with pytest.raises(MissingInput):
@@ -245,7 +290,7 @@ def test_series_and_periodicity_over_files(spark, tmp_path):
         rows = [http(f"u{half}{m}", at + timedelta(minutes=m), "c", "beacon.com") for m in (0, 10, 20)]
         put_log(root, "http", at, rows)
         put_log(root, "http_vt", at, rows[:1])
-    resolver = Resolver(spark, build_registry(), str(root))
+    resolver = Resolver(spark, build_registry(), str(root), settings=Settings(seed="empty"))
     found = resolver.get("http_periodicity", D, D + DAY).first()
     assert found.ts_cnt == 114 and 10.0 in [round(p, 3) for p in found.true_periods]
     both = resolver.get("http_periodicity_agg", D, D + DAY).first()
@@ -261,7 +306,7 @@ def test_every_feature_has_a_schema(spark, tmp_path):
         "rank_list": spark.createDataFrame([], "host string, rank long"),
     }
     reg = build_registry()
-    resolver = Resolver(spark, reg, str(tmp_path), settings=Settings(tables=tables))
+    resolver = Resolver(spark, reg, str(tmp_path), settings=Settings(tables=tables, seed="empty"))
     for name in reg:
         assert "slot_start" in resolver._empty(reg[name]).columns, name
 
