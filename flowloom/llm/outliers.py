@@ -147,8 +147,11 @@ def mcd_distances(rows: DataFrame) -> DataFrame:
         limits = staged(limits, "limits")
         within = near.join(limits, ["lang", "source"])
         factors = staged(_factors(_estimates(within, F.col("d2") <= F.col("limit")), CONSISTENCY), "factors")
-    general = factors.where("lang = '\\0'").drop("lang", "source")
-    chosen = factors.where("lang <> '\\0'").unionByName(few.join(general))
+    # The estimate over all rows is one row: it goes to the small groups as constants.
+    general = factors.where(F.col("lang") == "\0").drop("lang", "source").first()
+    chosen = factors.where(F.col("lang") != "\0")
+    if general is not None:
+        chosen = chosen.unionByName(few.select("lang", "source", *[F.lit(v).alias(k) for k, v in general.asDict().items()]))
     return _distances(rows, chosen)
 
 

@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings trained by numpy stochastic gradient descent.
 
-A document has four families of hashed features: byte 3-grams and 4-grams as written, words, and pairs of neighbouring
-words (a word after itself is one feature of its own). Each feature's bucket has a learned vector; the vectors are
+A document has four families of hashed traits: byte 3-grams and 4-grams as written, words, and pairs of neighbouring
+words (a word after itself is one trait of its own). Each feature's bucket has a learned vector; the vectors are
 averaged within a family and the families are averaged; a softmax layer on top gives the two classes. Vectors and softmax
 are learned together, as in supervised word-vector classifiers.
 
@@ -10,7 +10,7 @@ share of the classes among all labelled rows of the fit is put back as a bias. S
 pass without a shuffle: as averages and logits are linear, a feature's vector comes down to one number, so the model sent
 to the executors is one table of fixed size.
 
-Defined cases: an empty or null text has no features and scores as the bias alone says. Without labels of both classes
+Defined cases: an empty or null text has no traits and scores as the bias alone says. Without labels of both classes
 every score is the share of label 1 (0.5 without any label). Null labels and labels of unknown documents are ignored; of
 repeated labels the smallest counts. Repeated rows get equal scores. Rows without doc_id are scored and held out.
 """
@@ -34,7 +34,7 @@ SEED = 11
 _SALT = np.array([0x9E3779B1, 0x85EBCA77], np.uint32)
 
 
-def features(texts: list[bytes]):
+def grams(texts: list[bytes]):
     """For each family: the buckets of all texts in order, and each text's begin and end in them."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8).astype(np.uint32)
     offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
@@ -64,7 +64,7 @@ class Model:
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         logit = np.full(len(texts), self.bias)
-        for table, (ids, begin, end) in zip(self.weights, features(texts)):
+        for table, (ids, begin, end) in zip(self.weights, grams(texts)):
             running = np.zeros(len(ids) + 1)
             np.cumsum(table[ids], out=running[1:])
             logit += (running[end] - running[begin]) / np.maximum(end - begin, 1)
@@ -72,7 +72,7 @@ class Model:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], share: float) -> Model:
-    """Train on (feature ids, their parts of the average, class); ``share`` is that of class 1 among all labelled."""
+    """Train on (trait ids, their parts of the average, class); ``share`` is that of class 1 among all labelled."""
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (FAMILIES << BUCKET_BITS, DIMENSIONS))
     top, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
@@ -130,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fit_rows: Column, samp
         for batch in batches:
             at = 0
             for chunk in chunks(batch.column("text").to_pylist()):
-                families = list(features(chunk))
+                families = list(grams(chunk))
                 for i in range(len(chunk)):
                     ids, parts = [], []
                     for k, (of, begin, end) in enumerate(families):

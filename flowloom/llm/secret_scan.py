@@ -77,8 +77,8 @@ def _pair_scores(words: DataFrame) -> Column:
     return F.create_map(*[F.lit(x) for r in sorted(rows) for x in (r.pair, r.score)])
 
 
-def features(found: DataFrame, words: DataFrame) -> DataFrame:
-    """``found`` with ``features``, a vector."""
+def with_traits(found: DataFrame, words: DataFrame) -> DataFrame:
+    """``found`` with ``traits``, a vector."""
     found = staged(found, "findings")
     values = found.select("value").distinct()
     runs = values.select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit(f"[a-z]{{{WORD_MIN},}}"), F.lit(0))).alias("run"))
@@ -107,24 +107,24 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         F.pmod(F.xxhash64("path"), F.lit(16)).cast("double"), *one_hot(last), *one_hot(second), *one_hot(following),
     ]
     joined = found.join(covered, "value", "left")
-    return joined.select(*found.columns, array_to_vector(F.array(*[c.cast("double") for c in columns])).alias("features"))
+    return joined.select(*found.columns, array_to_vector(F.array(*[c.cast("double") for c in columns])).alias("traits"))
 
 
 def scored(found: DataFrame, fit_rows: Column, threshold: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """``found`` (with features and label) with ``score`` and ``predicted``, by a forest fitted on ``fit_rows``."""
+    """``found`` (with traits and label) with ``score`` and ``predicted``, by a forest fitted on ``fit_rows``."""
     known = found.where(fit_rows & F.col("label").isin(0.0, 1.0))
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         share = (counts.get(1.0, 0) + 1) / (sum(counts.values()) + 2)
-        done = found.drop("features").withColumn("score", F.lit(float(share)))
+        done = found.drop("traits").withColumn("score", F.lit(float(share)))
     else:
         pick = F.xxhash64("doc_id", "start", F.lit(SEED))
         parts = [known.where(F.col("label") == k).orderBy(pick, "doc_id", "start").limit(sample) for k in (0.0, 1.0)]
-        fitted = staged(parts[0].union(parts[1]).select(vector_to_array("features").alias("x"), "label"), "labelled")
-        fitted = fitted.select(array_to_vector("x").alias("features"), "label")
-        forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=0.8).fit(fitted)
+        fitted = staged(parts[0].union(parts[1]).select(vector_to_array("traits").alias("x"), "label"), "labelled")
+        fitted = fitted.select(array_to_vector("x").alias("traits"), "label")
+        forest = RandomForestClassifier(featuresCol="traits", numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=0.8).fit(fitted)
         done = forest.transform(found).withColumn("score", vector_to_array("probability")[1])
-        done = done.drop("features", "rawPrediction", "probability", "prediction")
+        done = done.drop("traits", "rawPrediction", "probability", "prediction")
     return done.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -139,4 +139,4 @@ def scan(docs: DataFrame, fit_rows: Column, labels: DataFrame | None = None, id_
     else:
         marks = labels.groupBy("doc_id", "start").agg(F.min("label").cast("double").alias("label"))
         found = found.join(marks, ["doc_id", "start"], "left")
-    return scored(features(found, staged(dictionary(docs, text_col), "dictionary")), fit_rows)
+    return scored(with_traits(found, staged(dictionary(docs, text_col), "dictionary")), fit_rows)

@@ -116,18 +116,18 @@ class Model:
         primer = self.ordinary[-PRIMER:]
         return np.array([len(plain(primer + w)) - len(toxic(primer + w)) for w in windows(text)])
 
-    def features(self, text: bytes) -> np.ndarray:
+    def traits(self, text: bytes) -> np.ndarray:
         g = self.savings(text)
         n = len(g)
         if not n:
-            return np.zeros(16)
+            return np.array([0.0] * 15 + [1.0])
         counts = [np.log1p((g == k).sum() if k < 7 else (g >= k).sum()) for k in range(1, 8)]
         shares = [np.sqrt((g >= k).mean()) for k in (2, 3, 4, 6)]
         top = np.sort(g)[::-1]
         return np.array([*counts, *shares, top[0], top[:3].mean(), g.mean(), np.log(n), 1.0])
 
     def score(self, text: bytes) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.traits(text) @ self.weights, -30, 30))))
 
 
 def _calibrated(rows: np.ndarray, labels: np.ndarray, share: float) -> np.ndarray:
@@ -181,7 +181,7 @@ def train(
     def measured(batches):
         for batch in batches:
             for doc_id, text, mark in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label"))):
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([mark], pa.int32()), pa.array([model.features(text).tolist()])], ["doc_id", "label", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([mark], pa.int32()), pa.array([model.traits(text).tolist()])], ["doc_id", "label", "x"])
 
     rows = sorted(texts.mapInArrow(measured, "doc_id long, label int, x array<double>").collect(), key=lambda r: r.doc_id)
     model.weights = _calibrated(np.array([r.x for r in rows]), np.array([r.label for r in rows]), share)
