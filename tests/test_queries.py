@@ -1,5 +1,7 @@
 """Every query against its SQL on the smallest data set."""
 
+import re
+
 import pytest
 from compare import compare, connect
 
@@ -15,7 +17,8 @@ def con():
 
 
 def test_only_these_have_no_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY and set(oracle_sql()) <= set(queries())
+    own = {name for name in queries() if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - set(oracle_sql()) == ROWS_ONLY and set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
