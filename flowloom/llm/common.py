@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.session import shared_dir
@@ -16,6 +16,18 @@ GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows in one Arrow batch: texts are long, and a batch is held in both the executor's and Python's memory.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Let the session hand texts to Python in batches of at most BATCH_ROWS rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df`` written below the shared folder and read back: computed once, lost with no executor."""
     spark = df.sparkSession

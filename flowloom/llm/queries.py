@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.llm import decontaminate, line_dedup, mixing, near_dedup, outliers, pseudonyms, quality, secret_scan, templates, toxicity
+from flowloom.llm.common import small_batches
 from flowloom.session import configure, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,7 +24,7 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship_package(spark)
-            configure(spark)
+            small_batches(configure(spark))
             return fn(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         run.__name__ = name

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 WIDTH = 5
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -97,7 +97,7 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> Iterator[np.ndarray]
         yield np.unique(own)
 
 
-def super_minhash(elements: np.ndarray, owner: np.ndarray, n_sets: int, size: int, block: int = 1 << 16) -> np.ndarray:
+def super_minhash(elements: np.ndarray, owner: np.ndarray, n_sets: int, size: int, block: int = 1 << 15) -> np.ndarray:
     """SuperMinHash signatures of ``n_sets`` sets, as (n_sets, size) words.
 
     An element visits the places of the signature in an order of its own (a Fisher-Yates shuffle seeded by the
