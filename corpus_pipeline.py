@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality
+from flowloom.llm.common import small_batches, staged
 from flowloom.llm.queries import MIX_PERCENT, MIX_SEED, MIX_WEIGHTS, mix_domain
-from flowloom.llm.common import staged
 from flowloom.session import configure, ship_package
 
 ORACLE_SQL = None
@@ -25,6 +25,7 @@ QUALITY_THRESHOLD = 0.3
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject. It learns from all labels."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, "quality", F.lit(True))
     return docs.where(quality.score_column(docs, model) >= QUALITY_THRESHOLD)
@@ -32,6 +33,7 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def by_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier document has; one that has no line of its own left is dropped."""
+    small_batches(spark)
     done = line_dedup.dedup_lines(docs)
     whole = (F.col("n_dropped") == 0) | F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return done.where(whole).select(*docs.columns)
@@ -39,11 +41,13 @@ def by_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def by_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    small_batches(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    small_batches(spark)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
