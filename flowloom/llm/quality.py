@@ -145,8 +145,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str, fit_rows: Column, samp
                 at += len(chunk)
 
     source = sample_texts(docs, chosen, id_col, text_col)
-    found = sorted(source.mapInArrow(run, "doc_id long, label int, ids binary, parts binary").collect())
-    rows = [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.parts, np.float32).astype(float), r.label) for r in found]
+    found = source.mapInArrow(run, "doc_id long, label int, ids binary, parts binary").toArrow()
+    found = found.sort_by([(c, "ascending") for c in ("doc_id", "label", "ids", "parts")]).combine_chunks()
+    # Views of the Arrow buffers: the sample is held once.
+    held = (found.column(c) for c in ("ids", "parts", "label"))
+    rows = [(np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(p.as_buffer(), np.float32), k.as_py()) for i, p, k in zip(*held)]
     return fit(rows, counts[1] / (counts[0] + counts[1]))
 
 
