@@ -19,9 +19,6 @@ SITE_SUBNETS = (
     "181.230.6.0/23",
 )
 
-# A literal list longer than this belongs in a table and a join (range_lookup).
-MAX_LITERAL_SUBNETS = 1024
-
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
 
@@ -62,10 +59,8 @@ def ip_to_long(ip: str | Column) -> Column:
 def subnet_index(ip: str | Column, subnets: tuple[str, ...] = SITE_SUBNETS) -> Column:
     """Index of the last listed IPv4 block holding the address, -1 for none.
 
-    A literal list, so it costs neither a join nor a shuffle.
+    A literal list, so it costs neither a join nor a shuffle; long lists belong in a table (range_lookup).
     """
-    if len(subnets) > MAX_LITERAL_SUBNETS:
-        raise ValueError(f"{len(subnets)} subnets: use range_lookup with a table")
     # A block may be written with host bits set; its prefix counts.
     blocks = [ipaddress.ip_network(s, strict=False) for s in subnets]
 

@@ -41,36 +41,71 @@ WIDE_IGNORED_FIELDS = IGNORED_FIELDS + (
 
 # Derived measures the wide classification counts as continuous.
 DERIVED_MEASURES = (
-    "distinct_ct frac_ct_empty frac_ct_img frac_ct_video frac_ct_text frac_ct_app frac_ct_sh frac_ct_exe "
-    "frac_ct_jar frac_ct_js frac_ct_html frac_no_ref frac_http_ref num_distinct_ref ratio_ref_over_host "
-    "avg_ref_perhost min_ref_perhost max_ref_perhost has_diff_ref num_100 num_200 num_300 num_400 num_500 "
-    "frac_100 frac_200 frac_300 frac_400 frac_500 ratio_fail num_distinct_ua frac_no_ua ratio_ua_over_host "
-    "ua_inverse_pop ua_norm_pop frac_ua1 frac_ua10 avg_ua_perhost min_ua_perhost max_ua_perhost "
-    "num_distinct_urls num_files avg_url_len max_url_len min_url_len avg_url_depth max_url_depth "
-    "min_url_depth num_params avg_params max_params min_params num_sh num_tmp num_wget num_chmod num_tmp_sh "
-    "frac_bare frac_sh frac_tmp frac_wget frac_chmod frac_tmp_sh total_hosts total_logs avg_logs min_logs "
-    "max_logs total_sent_bytes total_recv_bytes avg_recv_over_sent min_recv_over_sent max_recv_over_sent "
-    "total_GET total_POST avg_ratio_PG min_ratio_PG max_ratio_PG cnt_distinct_hosts fqdn_norm dom_length "
-    "dom_level dom_sld_entropy dom_sub_cnt"
-).split()
-
-# Per-row measures; each also occurs with the prefixes min_, max_ and avg_.
+    "distinct_ct", "frac_ct_empty", "frac_ct_img", "frac_ct_video", "frac_ct_text", "frac_ct_app",
+    "frac_ct_sh", "frac_ct_exe", "frac_ct_jar", "frac_ct_js", "frac_ct_html", "frac_no_ref", "frac_http_ref",
+    "num_distinct_ref", "ratio_ref_over_host", "avg_ref_perhost", "min_ref_perhost", "max_ref_perhost",
+    "has_diff_ref", "num_100", "num_200", "num_300", "num_400", "num_500", "frac_100", "frac_200", "frac_300",
+    "frac_400", "frac_500", "ratio_fail", "num_distinct_ua", "frac_no_ua", "ratio_ua_over_host",
+    "ua_inverse_pop", "ua_norm_pop", "frac_ua1", "frac_ua10", "avg_ua_perhost", "min_ua_perhost",
+    "max_ua_perhost", "num_distinct_urls", "num_files", "avg_url_len", "max_url_len", "min_url_len",
+    "avg_url_depth", "max_url_depth", "min_url_depth", "num_params", "avg_params", "max_params", "min_params",
+    "num_sh", "num_tmp", "num_wget", "num_chmod", "num_tmp_sh", "frac_bare", "frac_sh", "frac_tmp",
+    "frac_wget", "frac_chmod", "frac_tmp_sh", "total_hosts", "total_logs", "avg_logs", "min_logs", "max_logs",
+    "total_sent_bytes", "total_recv_bytes", "avg_recv_over_sent", "min_recv_over_sent", "max_recv_over_sent",
+    "total_GET", "total_POST", "avg_ratio_PG", "min_ratio_PG", "max_ratio_PG", "cnt_distinct_hosts",
+    "fqdn_norm", "dom_length", "dom_level", "dom_sld_entropy", "dom_sub_cnt",
+)
+
+# Per-row measures.
 ROW_MEASURES = (
-    "cisco1m_index cnt_distinct_hosts_pop_host cnt_logs fqdn_norm cnt_distinct_hosts_pop_ua ua_norm "
-    "max_cnt_distinct_ip_uri_token max_cnt_log_uri_token max_ip_uri_token_freq max_log_uri_token_freq "
-    "min5day_cnt_logs max5day_cnt_logs min5day_fqdn_norm max5day_fqdn_norm "
-    "min5day_cnt_distinct_hosts_pop_host max5day_cnt_distinct_hosts_pop_host min5day_ua_norm "
-    "max5day_ua_norm min5day_cnt_distinct_hosts_pop_ua max5day_cnt_distinct_hosts_pop_ua "
-    "min5day_max_cnt_distinct_ip_uri_token max5day_max_cnt_distinct_ip_uri_token "
-    "min5day_max_cnt_log_uri_token max5day_max_cnt_log_uri_token min5day_max_ip_uri_token_freq "
-    "max5day_max_ip_uri_token_freq min5day_max_log_uri_token_freq max5day_max_log_uri_token_freq"
-).split()
-
-WIDE_CONTINUOUS = frozenset(
-    [*CONTINUOUS_FIELDS, *DERIVED_MEASURES, *ROW_MEASURES]
-    + [f"{p}_{m}" for p in ("min", "max", "avg") for m in ROW_MEASURES]
+    "cisco1m_index", "cnt_distinct_hosts_pop_host", "cnt_logs", "fqdn_norm", "cnt_distinct_hosts_pop_ua",
+    "ua_norm", "max_cnt_distinct_ip_uri_token", "max_cnt_log_uri_token", "max_ip_uri_token_freq",
+    "max_log_uri_token_freq", "min5day_cnt_logs", "max5day_cnt_logs", "min5day_fqdn_norm",
+    "max5day_fqdn_norm", "min5day_cnt_distinct_hosts_pop_host", "max5day_cnt_distinct_hosts_pop_host",
+    "min5day_ua_norm", "max5day_ua_norm", "min5day_cnt_distinct_hosts_pop_ua",
+    "max5day_cnt_distinct_hosts_pop_ua", "min5day_max_cnt_distinct_ip_uri_token",
+    "max5day_max_cnt_distinct_ip_uri_token", "min5day_max_cnt_log_uri_token", "max5day_max_cnt_log_uri_token",
+    "min5day_max_ip_uri_token_freq", "max5day_max_ip_uri_token_freq", "min5day_max_log_uri_token_freq",
+    "max5day_max_log_uri_token_freq",
 )
 
+# Extremes and means of the per-row measures.
+ROW_MEASURE_SUMMARIES = (
+    "min_cisco1m_index", "min_cnt_distinct_hosts_pop_host", "min_cnt_logs", "min_fqdn_norm",
+    "min_cnt_distinct_hosts_pop_ua", "min_ua_norm", "min_max_cnt_distinct_ip_uri_token",
+    "min_max_cnt_log_uri_token", "min_max_ip_uri_token_freq", "min_max_log_uri_token_freq",
+    "min_min5day_cnt_logs", "min_max5day_cnt_logs", "min_min5day_fqdn_norm", "min_max5day_fqdn_norm",
+    "min_min5day_cnt_distinct_hosts_pop_host", "min_max5day_cnt_distinct_hosts_pop_host",
+    "min_min5day_ua_norm", "min_max5day_ua_norm", "min_min5day_cnt_distinct_hosts_pop_ua",
+    "min_max5day_cnt_distinct_hosts_pop_ua", "min_min5day_max_cnt_distinct_ip_uri_token",
+    "min_max5day_max_cnt_distinct_ip_uri_token", "min_min5day_max_cnt_log_uri_token",
+    "min_max5day_max_cnt_log_uri_token", "min_min5day_max_ip_uri_token_freq",
+    "min_max5day_max_ip_uri_token_freq", "min_min5day_max_log_uri_token_freq",
+    "min_max5day_max_log_uri_token_freq", "max_cisco1m_index", "max_cnt_distinct_hosts_pop_host",
+    "max_cnt_logs", "max_fqdn_norm", "max_cnt_distinct_hosts_pop_ua", "max_ua_norm",
+    "max_max_cnt_distinct_ip_uri_token", "max_max_cnt_log_uri_token", "max_max_ip_uri_token_freq",
+    "max_max_log_uri_token_freq", "max_min5day_cnt_logs", "max_max5day_cnt_logs", "max_min5day_fqdn_norm",
+    "max_max5day_fqdn_norm", "max_min5day_cnt_distinct_hosts_pop_host",
+    "max_max5day_cnt_distinct_hosts_pop_host", "max_min5day_ua_norm", "max_max5day_ua_norm",
+    "max_min5day_cnt_distinct_hosts_pop_ua", "max_max5day_cnt_distinct_hosts_pop_ua",
+    "max_min5day_max_cnt_distinct_ip_uri_token", "max_max5day_max_cnt_distinct_ip_uri_token",
+    "max_min5day_max_cnt_log_uri_token", "max_max5day_max_cnt_log_uri_token",
+    "max_min5day_max_ip_uri_token_freq", "max_max5day_max_ip_uri_token_freq",
+    "max_min5day_max_log_uri_token_freq", "max_max5day_max_log_uri_token_freq", "avg_cisco1m_index",
+    "avg_cnt_distinct_hosts_pop_host", "avg_cnt_logs", "avg_fqdn_norm", "avg_cnt_distinct_hosts_pop_ua",
+    "avg_ua_norm", "avg_max_cnt_distinct_ip_uri_token", "avg_max_cnt_log_uri_token",
+    "avg_max_ip_uri_token_freq", "avg_max_log_uri_token_freq", "avg_min5day_cnt_logs", "avg_max5day_cnt_logs",
+    "avg_min5day_fqdn_norm", "avg_max5day_fqdn_norm", "avg_min5day_cnt_distinct_hosts_pop_host",
+    "avg_max5day_cnt_distinct_hosts_pop_host", "avg_min5day_ua_norm", "avg_max5day_ua_norm",
+    "avg_min5day_cnt_distinct_hosts_pop_ua", "avg_max5day_cnt_distinct_hosts_pop_ua",
+    "avg_min5day_max_cnt_distinct_ip_uri_token", "avg_max5day_max_cnt_distinct_ip_uri_token",
+    "avg_min5day_max_cnt_log_uri_token", "avg_max5day_max_cnt_log_uri_token",
+    "avg_min5day_max_ip_uri_token_freq", "avg_max5day_max_ip_uri_token_freq",
+    "avg_min5day_max_log_uri_token_freq", "avg_max5day_max_log_uri_token_freq",
+)
+
+WIDE_CONTINUOUS = frozenset((*CONTINUOUS_FIELDS, *DERIVED_MEASURES, *ROW_MEASURES, *ROW_MEASURE_SUMMARIES))
+
 
 def discrete_columns(df: DataFrame, wide: bool = False) -> list[str]:
     """Columns that are neither identifiers nor continuous.

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Columns of alerts and of connections.
 ALERT_TO_CONN = {
     "src": "id_orig_h", "dst": "id_resp_h", "spt": "id_orig_p", "dpt": "id_resp_p",
     "anon_src": "anon_orig", "anon_dst": "anon_resp",
@@ -77,6 +78,7 @@ def with_connection(
     return log.join(conn.select(*keys, *taken), keys, "left")
 
 
+# Columns taken from the connection log.
 CONN_SUMMARY = ("proto", "service", "duration", "conn_state", "history")
 SSH_CONN_COLUMNS = (
     "duration", "orig_bytes", "orig_cc", "orig_ip_bytes", "orig_pkts", "resp_bytes", "resp_cc",

@@ -1,7 +1,6 @@
 """Popularity of hosts, user agents and URIs, and its extremes over the days before.
 
 ``by`` names slot columns: with it one plan covers many slots, without it the whole table is one slot.
-``slots`` is an upper bound of the number of slots, where the caller knows one.
 Rows are first reduced to (key, client) cells; counts and totals both start from the cells, and the
 exchange below them is shared, so the logs are read and shuffled once.
 """
@@ -16,22 +15,19 @@ from pyspark.sql import functions as F
 from flowloom.functions.text import label_missing, uri_tokens
 from flowloom.operators.tables import concat_common
 
-MAX_BROADCAST_SLOTS = 100_000
-
 
 def _distinct_clients(client: str) -> Column:
     """Distinct clients where NULL counts as one of them."""
     return F.countDistinct(client) + F.max(F.col(client).isNull().cast("int"))
 
 
-def _attach_totals(df: DataFrame, totals: DataFrame, by: Sequence[str], slots: int | None) -> DataFrame:
+def _attach_totals(df: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
     """Add the totals of a slot; one slot needs no join, only a scalar subquery.
 
-    ``slots`` bounds the number of slots and so the rows of ``totals``. Within the limit they are
-    broadcast, which spares the counts a shuffle on the few slot values; otherwise it is a plain join.
+    The totals are an aggregate of one row per slot, which adaptive execution broadcasts by its real size.
     """
     if by:
-        return df.join(F.broadcast(totals) if slots is not None and slots <= MAX_BROADCAST_SLOTS else totals, list(by))
+        return df.join(totals, list(by))
     row = totals.select(F.struct(*totals.columns)).scalar()
     return df.withColumns({c: row[c] for c in totals.columns})
 
@@ -48,7 +44,7 @@ def _same_cells(cells: DataFrame) -> DataFrame:
 
 def host_popularity(
     df: DataFrame, host: str = "host", client: str = "id_orig_h", address: str = "id_resp_h",
-    by: Sequence[str] = (), slots: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Distinct clients, logs with a known client, and share of all clients per host."""
     named = df.select(*by, client, label_missing(host, address).alias(host)).where(F.col(host).isNotNull())
@@ -59,7 +55,7 @@ def host_popularity(
     )
     totals = _same_cells(cells).groupBy(*by).agg(_distinct_clients(client).alias("_clients"))
     return (
-        _attach_totals(per_host, totals, by, slots)
+        _attach_totals(per_host, totals, by)
         .withColumn("fqdn_norm", F.col("cnt_distinct_hosts") / F.col("_clients"))
         .drop("_clients")
     )
@@ -76,23 +72,22 @@ def union_hosts(
 
 def multi_host_popularity(
     *logs: tuple[DataFrame, str], client: str = "id_orig_h", address: str = "id_resp_h",
-    by: Sequence[str] = (), slots: int | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Host popularity over several protocols."""
     union = union_hosts(*logs, client=client, address=address, by=by)
-    return host_popularity(union, "host", client, address, by, slots)
+    return host_popularity(union, "host", client, address, by)
 
 
 def agent_popularity(
     df: DataFrame, agent: str = "user_agent", client: str = "id_orig_h", by: Sequence[str] = (),
-    slots: int | None = None,
 ) -> DataFrame:
     """Distinct clients and share of all clients per user agent."""
     cells = client_cells(df.where(F.col(agent).isNotNull()), [*by, agent], client)
     per_agent = _same_cells(cells).groupBy(*by, agent).agg(F.count(client).alias("cnt_distinct_hosts"))
     totals = _same_cells(cells).groupBy(*by).agg(_distinct_clients(client).alias("_clients"))
     return (
-        _attach_totals(per_agent, totals, by, slots)
+        _attach_totals(per_agent, totals, by)
         .withColumn("ua_norm", F.col("cnt_distinct_hosts") / F.col("_clients"))
         .drop("_clients")
     )
@@ -105,7 +100,7 @@ def _token_cells(cells: DataFrame, uri: str, client: str, by: Sequence[str]) ->
 
 
 def _token_stats(
-    cells: DataFrame, uri: str, client: str, by: Sequence[str], slots: int | None
+    cells: DataFrame, uri: str, client: str, by: Sequence[str]
 ) -> DataFrame:
     # A token repeated in a URI counts each time as a log, once as a client.
     tokens = (
@@ -120,7 +115,7 @@ def _token_stats(
         _distinct_clients(client).alias("_clients"), F.sum("_rows").alias("_logs")
     )
     return (
-        _attach_totals(per_token, totals, by, slots)
+        _attach_totals(per_token, totals, by)
         .withColumn("ip_uri_token_freq", F.col("cnt_distinct_ip_uri_token") / F.col("_clients"))
         .withColumn("log_uri_token_freq", F.col("cnt_log_uri_token") / F.col("_logs"))
         .drop("_clients", "_logs")
@@ -129,20 +124,18 @@ def _token_stats(
 
 def uri_token_stats(
     df: DataFrame, uri: str = "uri", client: str = "id_orig_h", by: Sequence[str] = (),
-    slots: int | None = None,
 ) -> DataFrame:
     """Clients and logs per URI token, absolute and as a share."""
     cells = client_cells(df.where(F.col(uri).isNotNull()), [*by, uri], client)
-    return _token_stats(cells, uri, client, by, slots)
+    return _token_stats(cells, uri, client, by)
 
 
 def uri_popularity(
     df: DataFrame, uri: str = "uri", client: str = "id_orig_h", by: Sequence[str] = (),
-    slots: int | None = None,
 ) -> DataFrame:
     """Per URI the highest of its tokens' four measures; URIs of blank tokens only have none."""
     cells = client_cells(df.where(F.col(uri).isNotNull()), [*by, uri], client)
-    stats = _token_stats(cells, uri, client, by, slots)
+    stats = _token_stats(cells, uri, client, by)
     uris = (
         _same_cells(cells)
         .select(*by, uri)
@@ -182,12 +175,11 @@ def trailing_extremes(
     """Extremes over the ``days`` days before each target day, the day itself excluded.
 
     Rows move once, by key, where a key has at most one row per day; only then is a row handed to the
-    days it counts for, so the copies are never shuffled. Targets default to the days of the table; they
-    are one row per calendar day, small enough to broadcast.
+    days it counts for, so the copies are never shuffled. Targets default to the days of the table.
     """
     if targets is None:
         targets = daily.select(day)
-    targets = F.broadcast(targets.select(F.col(day).alias(day)).distinct())
+    targets = targets.select(F.col(day).alias(day)).distinct()
     steps = F.array(*[F.lit(i) for i in range(1, days + 1)])
     handed = (
         daily.repartition(key).select(key, *measures, F.col(day).alias("_from"), F.explode(steps).alias("_step"))

@@ -39,10 +39,10 @@ SSL_COLUMNS = (
 MATCH_COLUMNS = ("id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p", "anon_orig", "anon_resp", "ts", "uid")
 
 
-def build_registry() -> Registry:
-    """A registry with every feature; add further ones with its decorator."""
+def build_registry(every_column: bool = False) -> Registry:
+    """A registry with every feature; add further ones with its decorator. ``every_column`` is that of the log loaders."""
     reg = Registry()
-    _raw(reg)
+    _raw(reg, every_column)
     _popularity(reg)
     _counts(reg)
     _matches(reg)
@@ -52,12 +52,12 @@ def build_registry() -> Registry:
     return reg
 
 
-def _raw(reg: Registry) -> None:
+def _raw(reg: Registry, every_column: bool) -> None:
     for name in KEPT_LOGS + PASSING_LOGS:
-        reg.add(Feature(name, HALF_HOUR, loader=LogLoader(name), memoize=name in KEPT_LOGS))
+        reg.add(Feature(name, HALF_HOUR, loader=LogLoader(name, every_column=every_column), memoize=name in KEPT_LOGS))
     reg.add(Feature("renisac", DAY, loader=CsvLoader("renisac"), memoize=True))
     reg.add(Feature("honeypot", DAY, loader=CsvLoader("honeypot")))
-    reg.add(Feature("fireeye", DAY, loader=AlertLoader("fireeye"), memoize=True))
+    reg.add(Feature("fireeye", DAY, loader=AlertLoader("fireeye", every_column=every_column), memoize=True))
     reg.add(Feature("virustotal", YEAR, loader=ReportLoader("virustotal"), memoize=True))
     reg.add(Feature("virustotal_cache", MONTH, loader=CsvLoader("virustotal_cache"), memoize=True))
 
@@ -78,18 +78,18 @@ def _popularity(reg: Registry) -> None:
     for site in ("", "_vt"):
         ends = ("id_orig_h", "id_resp_h")
         _daily(reg, f"popularity_host{site}", [_log(f"http{site}", "host", *ends)],
-               lambda ctx, http: popularity.host_popularity(http, "host", by=BY, slots=len(ctx.slots)),
+               lambda ctx, http: popularity.host_popularity(http, "host", by=BY),
                description="Clients and logs per host")
         _daily(reg, f"ssl_popularity_host{site}", [_log(f"ssl{site}", "server_name", *ends)],
-               lambda ctx, ssl: popularity.host_popularity(ssl, "server_name", by=BY, slots=len(ctx.slots)))
+               lambda ctx, ssl: popularity.host_popularity(ssl, "server_name", by=BY))
         _daily(reg, f"httpssl_popularity_host{site}",
                [_log(f"ssl{site}", "server_name", *ends, on_missing=EMPTY), _log(f"http{site}", "host", *ends, on_missing=EMPTY)],
                lambda ctx, ssl, http: popularity.multi_host_popularity(
-                   (ssl, "server_name"), (http, "host"), by=BY, slots=len(ctx.slots)))
+                   (ssl, "server_name"), (http, "host"), by=BY))
     _daily(reg, "popularity_ua", [_log("http", "id_orig_h", "user_agent")],
-           lambda ctx, http: popularity.agent_popularity(http, by=BY, slots=len(ctx.slots)))
+           lambda ctx, http: popularity.agent_popularity(http, by=BY))
     _daily(reg, "popularity_uri", [_log("http", "id_orig_h", "uri")],
-           lambda ctx, http: popularity.uri_popularity(http, by=BY, slots=len(ctx.slots)))
+           lambda ctx, http: popularity.uri_popularity(http, by=BY))
     for name, key, measures in (
         ("popularity_host", "host", popularity.HOST_MEASURES),
         ("popularity_ua", "user_agent", popularity.AGENT_MEASURES),

@@ -81,7 +81,7 @@ def chain_expand(t: Tables):
     return certs.expand_chains(t.chains(), t.cert()).select("uid", "pos", "cert_id", "certificate_issuer")
 
 
-LEAF_ROOT = f"""{CERT}, {CHAIN}, known AS (SELECT * FROM cert WHERE p_size <= 40),
+LEAF_ROOT = f"""{CERT}, {CHAIN}, known AS (SELECT * REPLACE (CASE WHEN p_size <= 40 THEN id ELSE -id END AS id) FROM cert),
   pairs AS (SELECT l.uid, l.len, k.certificate_issuer, k.certificate_subject, k.id,
       r.id AS root_id, r.certificate_issuer AS root_certificate_issuer
     FROM chain l JOIN known k ON l.cert_id = k.id
@@ -90,8 +90,8 @@ LEAF_ROOT = f"""{CERT}, {CHAIN}, known AS (SELECT * FROM cert WHERE p_size <= 40
 
 
 def _pairs(t: Tables):
-    """Certificates of large parts are unknown, so leaves get lost and roots stay empty."""
-    return certs.leaf_with_root(t.chains(), t.cert().where("p_size <= 40").drop("p_size"))
+    """Certificates of large parts go by numbers that no chain names, so leaves get lost and roots stay empty."""
+    return certs.leaf_with_root(t.chains(), t.cert().withColumn("id", F.when(F.col("p_size") <= 40, F.col("id")).otherwise(-F.col("id"))).drop("p_size"))
 
 
 @query(

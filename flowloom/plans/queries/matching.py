@@ -12,7 +12,7 @@ BAND = 3600.0
 
 
 def _match_sides(t: Tables):
-    """Errors play alerts, half of them with swapped endpoints; purchases play connections."""
+    """Errors play alerts, half of them with swapped endpoints; all other events play connections."""
     web = t.web().withColumns(
         {
             "a": F.concat(F.lit("c"), F.col("id_orig_h")),
@@ -32,7 +32,7 @@ def _match_sides(t: Tables):
             (F.col("k") % 5 + 1).cast("int"),
         ).alias("eventName"),
     )
-    conns = web.where(F.col("user_agent") == "purchase").select(
+    conns = web.where(F.col("user_agent") != "error").select(
         F.col("event_id").alias("uid"), F.col("a").alias("id_orig_h"), F.col("b").alias("id_resp_h"),
         F.lit(1).alias("id_orig_p"), F.lit(2).alias("id_resp_p"), F.lit("home").alias("anon_orig"),
         F.lit("none").alias("anon_resp"), F.col("ts").cast("double").alias("ts"), "host",
@@ -46,7 +46,7 @@ MATCH = f"""{WEB}, matched AS (
                  WHEN 3 THEN 'ips-event' ELSE 'scan' END AS event_name
   FROM web c JOIN web a ON a.id_orig_h = c.id_orig_h AND a.k % 3 = c.k % 3
    AND abs(epoch(c.ts) - epoch(date_trunc('second', a.ts))) <= {BAND}
-  WHERE c.user_agent = 'purchase' AND a.user_agent = 'error')"""
+  WHERE c.user_agent <> 'error' AND a.user_agent = 'error')"""
 
 
 @query("alert_match", f"WITH {MATCH} SELECT uid, alert_id, host, event_name, CAST(1 AS INTEGER) AS fe_label FROM matched")
@@ -125,12 +125,12 @@ def rank_lookup(t: Tables):
 
 
 FEED = """feed AS (SELECT c_custkey AS indicator, c_name, DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS day
-  FROM customer WHERE c_acctbal < 0)"""
+  FROM customer)"""
 
 
 def _sides(t: Tables):
     log = t.web().select("event_id", "day", "id_orig_h", F.col("k").cast("long").alias("id_resp_h"))
-    feed = t.table("customer").where("c_acctbal < 0").select(
+    feed = t.table("customer").select(
         F.col("c_custkey").alias("indicator"), "c_name",
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 30).cast("int")).alias("day"),
     )

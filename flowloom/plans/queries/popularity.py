@@ -9,12 +9,6 @@ from flowloom.operators.popularity import AGENT_MEASURES, HOST_MEASURES, URI_MEA
 from flowloom.plans.queries.bindings import NAMED, WEB, Tables, query
 
 
-def days_spanned(df) -> int:
-    """Calendar days from the first to the last day: a bound of the number of daily slots."""
-    low, high = df.agg(F.min("day"), F.max("day")).first()
-    return (high - low).days + 1
-
-
 def _rounded(df, *cols):
     return df.withColumns({c: F.round(c, 6) for c in cols})
 
@@ -54,7 +48,7 @@ DAILY_HOST = (
 )
 def popularity_host_daily(t: Tables):
     web = t.web()
-    return _rounded(popularity.host_popularity(web, by=["day"], slots=days_spanned(web)), "fqdn_norm")
+    return _rounded(popularity.host_popularity(web, by=["day"]), "fqdn_norm")
 
 
 AGENT = """SELECT user_agent, count(DISTINCT id_orig_h) AS cnt_distinct_hosts,
@@ -141,7 +135,7 @@ def _extremes(daily, key, measures):
 @query("fiveday_popularity_host", f"WITH {DAILY_HOST} {_extreme_sql('host', HOST_MEASURES)}")
 def fiveday_popularity_host(t: Tables):
     web = t.web()
-    return _extremes(popularity.host_popularity(web, by=["day"], slots=days_spanned(web)), "host", HOST_MEASURES)
+    return _extremes(popularity.host_popularity(web, by=["day"]), "host", HOST_MEASURES)
 
 
 @query(
@@ -154,7 +148,7 @@ def fiveday_popularity_host(t: Tables):
 )
 def fiveday_popularity_ua(t: Tables):
     web = t.web()
-    return _extremes(popularity.agent_popularity(web, by=["day"], slots=days_spanned(web)), "user_agent", AGENT_MEASURES)
+    return _extremes(popularity.agent_popularity(web, by=["day"]), "user_agent", AGENT_MEASURES)
 
 
 @query(
@@ -173,7 +167,7 @@ def fiveday_popularity_ua(t: Tables):
 )
 def fiveday_popularity_uri(t: Tables):
     logs = _uri_logs(t)
-    return _extremes(popularity.uri_popularity(logs, by=["day"], slots=days_spanned(logs)), "uri", URI_MEASURES)
+    return _extremes(popularity.uri_popularity(logs, by=["day"]), "uri", URI_MEASURES)
 
 
 @query("cnt_resp_ip", f"WITH {WEB} SELECT host, count(DISTINCT id_resp_h) AS \"cnt_IP\" FROM web GROUP BY host")

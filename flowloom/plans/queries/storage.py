@@ -152,10 +152,10 @@ def scan_json_query(t: Tables):
     return clean_log(scan_json(t.spark, [root], schema).drop("_source"))
 
 
-@query("scan_csv", "SELECT c_custkey AS indicator, c_name AS description, c_acctbal AS balance FROM customer WHERE c_acctbal < 0")
+@query("scan_csv", "SELECT c_custkey AS indicator, c_name AS description, c_acctbal AS balance FROM customer")
 def scan_csv_query(t: Tables):
     root = shared_dir(t.spark, "csv")
-    feed = t.table("customer").where("c_acctbal < 0").select(
+    feed = t.table("customer").select(
         F.col("c_custkey").alias("indicator"), F.col("c_name").alias("description"), F.col("c_acctbal").alias("balance")
     )
     feed.write.option("header", True).csv(root)

@@ -23,9 +23,6 @@ from flowloom.plans.store import SlotStore
 from flowloom.session import configure
 from flowloom.sources.files import existing
 
-# Pairs of slots beyond this are joined without a broadcast.
-MAX_BROADCAST_SLOTS = 1_000_000
-
 
 @dataclass
 class Settings:
@@ -255,9 +252,7 @@ class Resolver:
         mapping = self.spark.createDataFrame([(epoch(a), epoch(b)) for a, b in pairs], "a long, b long").select(
             F.timestamp_seconds("a").alias("_input_slot"), F.timestamp_seconds("b").alias("slot_start")
         )
-        # One row per pair of slots, counted right here.
-        small = len(pairs) <= MAX_BROADCAST_SLOTS
-        return renamed.join(F.broadcast(mapping) if small else mapping, "_input_slot").drop("_input_slot")
+        return renamed.join(mapping, "_input_slot").drop("_input_slot")
 
     def _carried(self, feature: Feature, slots: list[Slot]) -> Found:
         """Step through the slots in time order, each from the stored one before it.

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from flowloom.operators.tables import trim_columns
 from flowloom.plans.slots import STAMP, Slot, Timescale, epoch, from_epoch, moment_lit, stamp, tile
-from flowloom.sources.files import exists, modified, remove
+from flowloom.sources.files import exists, listing, modified, remove
 
 MANIFEST = "slot string, start_epoch long, end_epoch long, rows long, written_at timestamp, schema string"
 
@@ -141,7 +141,8 @@ class SlotStore:
     def _row_counts(self, name: str, slots: Iterable[Slot]) -> dict[str, int]:
         # Counting needs the file footers only, not the data.
         folders = [f"{self.path(name)}/slot={stamp(s)}" for s, _ in slots]
-        folders = [f for f in folders if exists(self.spark, f)]
+        there = listing(self.spark, self.path(name))
+        folders = [f for f in folders if f.rsplit("/", 1)[1] in there]
         if not folders:
             return {}
         counted = self.spark.read.option("basePath", self.path(name)).parquet(*folders).groupBy("slot").count()

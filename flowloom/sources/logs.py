@@ -30,9 +30,9 @@ LOG_SCHEMAS = {
            "cipher string, curve string, ja3 string, ja3s string, last_alert string, next_protocol string, "
            "resumed string, issuer string, subject string, client_issuer string, client_subject string, "
            "cert_chain_fuids array<string>, client_cert_chain_fuids array<string>",
-    "x509": "id string, ts double, `certificate.serial` string, `certificate.issuer` string, "
-            "`certificate.subject` string, `certificate.not_valid_before` double, "
-            "`certificate.not_valid_after` double, `certificate.key_length` int, `certificate.key_alg` string, "
+    "x509": "id string, ts string, `certificate.serial` string, `certificate.issuer` string, "
+            "`certificate.subject` string, `certificate.not_valid_before` string, "
+            "`certificate.not_valid_after` string, `certificate.key_length` int, `certificate.key_alg` string, "
             "`certificate.key_type` string, `certificate.sig_alg` string, `certificate.curve` string, "
             "`certificate.exponent` string, `certificate.version` int, `basic_constraints.ca` boolean, "
             "`basic_constraints.path_len` int, `san.dns` array<string>",
@@ -42,7 +42,7 @@ LOG_SCHEMAS = {
             "missed_bytes long, tunnel_parents array<string>",
     "ssh": f"{_ENDS}, {_SITES}, version int, auth_attempts int, auth_success string, client string, server string",
     "dns": f"{_ENDS}, {_SITES}, proto string, query string, qtype_name string, rcode_name string, answers array<string>",
-    "files": "fuid string, ts double, tx_hosts array<string>, rx_hosts array<string>, conn_uids array<string>, "
+    "files": "fuid string, ts string, tx_hosts array<string>, rx_hosts array<string>, conn_uids array<string>, "
              "analyzers array<string>, source string, mime_type string, filename string, seen_bytes long, "
              "missing_bytes long",
     "irc": f"{_ENDS}, {_SITES}, nick string, user string, command string, value string, dcc_file_size long",
@@ -90,11 +90,22 @@ def scan_json(spark: SparkSession, paths: list[str], schema: str | T.StructType,
     return _merge_spellings(raw, schema, pairs)
 
 
+def further_columns(spark: SparkSession, paths: list[str], schema: T.StructType) -> T.StructType:
+    """The schema and whatever columns the files have besides, of the types found in one pass over them."""
+    known = {f.name.replace(".", "_") for f in schema.fields}
+    found = {f.name.replace(".", "_"): f for f in spark.read.json(paths).schema.fields}
+    return T.StructType([*schema.fields, *[f for name, f in found.items() if name not in known]])
+
+
 class LogLoader:
-    """Half-hour log slices ``root/<type>/<date>/anon.<type>_<YYYYMMDD>_<HHMM>-<HHMM>.log.gz``."""
+    """Half-hour log slices ``root/<type>/<date>/anon.<type>_<YYYYMMDD>_<HHMM>-<HHMM>.log.gz``.
+
+    ``every_column`` keeps the columns of the files that the schema does not name, at the cost of a pass to find them.
+    """
 
-    def __init__(self, kind: str, schema: str | T.StructType | None = None, subnets=SITE_SUBNETS):
+    def __init__(self, kind: str, schema: str | T.StructType | None = None, subnets=SITE_SUBNETS, every_column: bool = False):
         self.kind = kind
+        self.every_column = every_column
         self._schema = schema or LOG_SCHEMAS[log_type(kind)]
         self.subnets = subnets
 
@@ -113,7 +124,9 @@ class LogLoader:
 
     def read(self, spark: SparkSession, root: str, slots: list[Slot]) -> DataFrame:
         """Cleaned rows of the slots with their ``slot_start``."""
-        raw = scan_json(spark, [self.path(root, s) for s in slots], self.schema)
+        paths = [self.path(root, s) for s in slots]
+        schema = further_columns(spark, paths, self.schema) if self.every_column else self.schema
+        raw = scan_json(spark, paths, schema)
         return self._with_slot(raw.withColumn("slot_start", self.slot_of(F.col("_source"))))
 
     def _with_slot(self, df: DataFrame) -> DataFrame:

@@ -12,19 +12,34 @@ from flowloom.plans.slots import Slot, moment_lit
 
 REPORT = (
     "query string, query_date string, positives int, total int, "
-    "scans map<string, struct<detected: boolean, result: string>>"
+    "scans map<string, struct<detected: string, result: string>>"
 )
 
-# More vendors than this would not be a table any more.
-MAX_VENDORS = 2000
+# A quoted string with its escapes, text outside quotes, or a quote that is never closed.
+_PIECE = r"""(?s)('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"])"""
 
 
 def literal_to_json(text: str | Column) -> Column:
-    """None, True and False outside quotes as JSON words; single quotes are left to the JSON reader."""
+    """None, True and False outside quotes as JSON words, and two-digit escapes inside them as JSON's four-digit ones.
+
+    Single quotes and other escapes are left to the JSON reader.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, rf"([:\[,]\s*){word}(?=\s*[,\]}}])", f"$1{json}")
-    return text
+
+    def translated(piece: Column) -> Column:
+        words = piece
+        for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
+            words = F.regexp_replace(words, rf"\b{word}\b", json)
+        escapes = F.regexp_replace(piece, r"(?<!\\)((?:\\\\)*)\\x([0-9A-Fa-f]{2})", r"$1\\u00$2")
+        return F.when(F.substring(piece, 1, 1).isin("'", '"'), escapes).otherwise(words)
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1)), translated), "")
+
+
+def _verdict(detected: Column) -> Column:
+    """1 or 0 of a truth value or a whole number."""
+    truth = F.when(F.lower(detected) == "true", 1).when(F.lower(detected) == "false", 0)
+    return F.coalesce(truth, detected.try_cast("int"))
 
 
 def vendor_name(name: Column) -> Column:
@@ -41,12 +56,12 @@ def parse_reports(lines: DataFrame, value: str = "value", strict: bool = False)
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
     report = lines.select(F.from_json(literal_to_json(value), REPORT, options).alias("r")).select("r.*")
     entries = F.map_entries("scans")
-    readable = F.col("scans").isNotNull() & F.forall(entries, lambda e: e["value"]["detected"].isNotNull())
+    readable = F.col("scans").isNotNull() & F.forall(entries, lambda e: _verdict(e["value"]["detected"]).isNotNull())
     verdicts = F.transform(
         entries,
         lambda e: F.struct(
             vendor_name(e["key"]).alias("vendor"),
-            e["value"]["detected"].cast("int").alias("detected"),
+            _verdict(e["value"]["detected"]).alias("detected"),
             F.coalesce(e["value"]["result"], F.lit("None")).alias("result"),
         ),
     )
@@ -62,10 +77,8 @@ def parse_reports(lines: DataFrame, value: str = "value", strict: bool = False)
 
 
 def vendors_of(reports: DataFrame) -> list[str]:
-    """Sorted vendor names; a list on the driver, so its length is checked."""
-    names = reports.select(F.explode("verdicts.vendor").alias("vendor")).distinct().limit(MAX_VENDORS + 1).collect()
-    if len(names) > MAX_VENDORS:
-        raise ValueError(f"more than {MAX_VENDORS} vendors")
+    """Sorted vendor names: the column names of the pivoted table, so the driver holds as many as there are columns."""
+    names = reports.select(F.explode("verdicts.vendor").alias("vendor")).distinct().collect()
     return sorted(r.vendor for r in names)
 
 
