@@ -21,6 +21,8 @@ ORACLE_SQL = None
 
 #: A document is rejected if label 1 is less likely than this.
 QUALITY_THRESHOLD = 0.3
+#: Documents are near-duplicates from this similarity of their word shingles on, in percent. op5 has its own, 85.
+NEAR_PERCENT = 80
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +42,9 @@ def by_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def by_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group; pairs from NEAR_PERCENT on are linked."""
     small_batches(spark)
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,18 @@ def test_pipeline_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.select(*columns).limit(0), SF).count() == 0
+
+
+def test_pipeline_links_from_similarity_80_on(spark):
+    import corpus_pipeline
+    from test_small_parts import plain_sets
+
+    words = [f"w{i}" for i in range(120)]
+    changed = lambda *places: [f"x{i}" if i in places else w for i, w in enumerate(words)]
+    texts = {1: words, 2: changed(60, 106), 3: changed(40, 80, 100)}
+    sets = {i: plain_sets(" ".join(t)) for i, t in texts.items()}
+    similar = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert 0.80 <= similar(1, 2) < 0.85 and similar(1, 3) < 0.80 and similar(2, 3) < 0.80
+    rows = [(i, " ".join(t), "en", "s1", 1) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.by_near_duplicates(spark, docs, SF).collect()} == {1, 3}
