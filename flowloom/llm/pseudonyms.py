@@ -1,6 +1,7 @@
 """Format-preserving Feistel pseudonyms for personal data, in DataFrame operations only.
 
-Found and validated: payment cards (13 to 19 digits, Luhn), telephone numbers with country code, US social security
+Found and validated: payment cards (13 to 19 digits, Luhn), also beside other numbers as long as they begin and end where a
+group of digits does, telephone numbers with country code (7 to 12 further digits in any grouping), US social security
 numbers (ranges that can be issued), IPv4 addresses (octets), dates from 1900 to 4 August 2099 in three spellings, and the local
 part of mail addresses. Each value is mapped to a number of its own domain, a x b in size, that a keyed Feistel network
 permutes: halves l < a and r < b are shifted in turn by a keyed hash of the other. So pseudonyms are valid values in the
@@ -10,6 +11,9 @@ its pseudonym in every spelling. In a mail address each letter and digit of the
 One regular expression cuts a text into matches and the gaps between them; all else is done to the matches, and the text
 is put together again. Rows are independent: no shuffle.
 
+A short number after a telephone number, parted by a single blank, is taken for its last group if it fits. Any window of
+groups that passes Luhn counts as a card, so about one in ten of the windows in a list of plain numbers does too.
+
 Defined cases: a null text stays null, an empty one empty, with counts 0. Numbers that do not validate stay as they are.
 Repeated rows change alike. Columns named like a result column are replaced by it, others are carried.
 """
@@ -27,11 +31,19 @@ FIRST_DAY = "1900-01-01"
 KINDS = ("email", "date", "ip", "ssn", "phone", "card")
 DATE_FORMATS = {r"^\d{4}-\d{2}-\d{2}$": "yyyy-MM-dd", r"^\d{2}\.\d{2}\.\d{4}$": "dd.MM.yyyy", r"^\d{2}/\d{2}/\d{4}$": "MM/dd/yyyy"}
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-PHONE = r"\+\d{1,3}[ -]?(?:\(\d{3}\)|\d{3})[ -]?\d{3}[ -]?\d{4}"
-PATTERN = (
-    rf"{EMAIL}|(?<![\d.])(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{2}}\.\d{{2}}\.\d{{4}}|\d{{2}}/\d{{2}}/\d{{4}})(?!\d)"
-    rf"|(?<![\d.])(?:\d{{1,3}}\.){{3}}\d{{1,3}}(?![\d]|\.\d)|(?<![\d-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-])|(?<!\d){PHONE}(?!\d)|(?<!\d)\d(?:[ -]?\d){{12,18}}(?!\d)"
-)
+DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d)"
+IP = r"(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
+SSN = r"\d{3}-\d{2}-\d{4}(?![\d-])"
+#: The country codes of E.164 of one and two digits; all others have three.
+CODE = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+#: A group of digits that begins one of these is not part of the telephone or card number before it.
+_OTHER = rf"(?!{DATE}|{IP}|{SSN}|[A-Za-z0-9._%+-]{{1,64}}@)"
+_CARD_SHAPE = r"(?!\d{4}[ -]\d{4}[ -]\d{4}[ -]\d|\d{4}[ -]\d{6}[ -]\d|\d{13})"
+PHONE = rf"\+(?!\d+\.\d+(?!\d|\.\d)){CODE}(?:\.?\(?\d\)?|[ /-]{_OTHER}{_CARD_SHAPE}\(?\d\)?){{7,12}}"
+#: A run of digits of any length, in which cards are looked for; possessive, as Java's regular expressions recurse otherwise.
+RUN = rf"\d(?:\d|[ -]{_OTHER}\d){{12,}}+"
+CARD_MIN, CARD_MAX = 13, 19
+PATTERN = rf"{EMAIL}|(?<![\d.]){DATE}|(?<![\d.]){IP}|(?<![\d-]){SSN}|(?<!\d){PHONE}(?!\d)|(?<!\d){RUN}"
 
 
 def _hash(key: str, label: str, i: Column, other: Column) -> Column:
@@ -82,20 +94,61 @@ def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
 
-def _card(m: Column, key: str) -> Column:
-    payload = F.substr(_digits(m), F.lit(1), F.length(_digits(m)) - 1)
+def _card(digits: Column, key: str) -> Column:
+    """The pseudonym of a valid card number without blanks."""
+    payload = F.substr(digits, F.lit(1), F.length(digits) - 1)
     n = F.length(payload)
     half = F.floor(n / 2).cast("int")
     changed = F.lpad(permuted(payload.cast("long"), _power(half), _power(n - half), key, "card").cast("string"), n, F.lit("0"))
-    checked = F.transform(F.array(changed), lambda p: F.concat(p, ((10 - luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string")))[0]
-    return F.when(luhn_sum(_digits(m)) % 10 == 0, refilled(m, checked))
+    return F.transform(F.array(changed), lambda p: F.concat(p, ((10 - luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string")))[0]
+
+
+def _cards(m: Column, key: str) -> Column:
+    """(n, new): the cards in a run of groups of digits, and the run with them replaced; new is null without any.
+
+    All windows of whole groups are tried. Of valid ones that overlap, one of a card's usual shape goes first, then the longer.
+    """
+    def valid(groups):
+        def window(i, k):
+            part = F.slice(groups, i, k)
+            shape = F.array_join(F.transform(part, lambda g: F.length(g).cast("string")), "-")
+            usual = (k == 1) | shape.rlike("^(?:4-4-4-4(?:-[1-3])?|4-6-[45])$")
+            digits = F.array_join(part, "")
+            return F.struct(F.when(usual, 0).otherwise(1).alias("rank"), (-F.length(digits)).alias("less"), i.alias("i"), k.alias("k"), digits.alias("digits"))
+
+        starts = F.sequence(F.lit(1), F.size(groups))
+        windows = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(CARD_MAX), F.size(groups) - i + 1)), lambda k: window(i, k))))
+        return F.array_sort(F.filter(windows, lambda w: (-w["less"]).between(CARD_MIN, CARD_MAX) & (luhn_sum(w["digits"]) % 10 == 0)))
+
+    def apart(found):
+        clash = lambda w, o: (o["i"] < w["i"] + w["k"]) & (w["i"] < o["i"] + o["k"])
+        return F.aggregate(found, F.slice(found, 1, 0), lambda s, w: F.when(F.exists(s, lambda o: clash(w, o)), s).otherwise(F.array_append(s, w)))
+
+    def put(groups, cards):
+        def shown(g, at):
+            i = at + 1
+            own = F.filter(cards, lambda w: (w["i"] <= i) & (i < w["i"] + w["k"]))
+            begin = lambda w: F.length(F.array_join(F.slice(groups, w["i"], i - w["i"]), "")) + 1
+            return F.coalesce(F.try_element_at(F.transform(own, lambda w: F.substr(w["new"], begin(w), F.length(g))), F.lit(1)), g)
+
+        seps = F.array_append(F.regexp_extract_all(m, F.lit("[ -]"), F.lit(0)), F.lit(""))
+        return F.array_join(F.zip_with(F.transform(groups, shown), seps, lambda g, sep: F.concat(g, sep)), "")
+
+    def all_of(groups):
+        picked = F.transform(F.array(valid(groups)), apart)[0]
+        picked = F.transform(picked, lambda w: F.struct(w["i"].alias("i"), w["k"].alias("k"), _card(w["digits"], key).alias("new")))
+        return F.transform(F.array(picked), lambda cards: F.struct(F.size(cards).alias("n"), F.when(F.size(cards) > 0, put(groups, cards)).alias("new")))[0]
+
+    return F.transform(F.array(F.split(m, "[ -]")), all_of)[0]
 
 
 def _phone(m: Column, key: str) -> Column:
-    number = F.right(_digits(m), F.lit(10))
-    code = F.substr(_digits(m), F.lit(1), F.length(_digits(m)) - 10)
-    half = F.lit(100_000).cast("long")
-    return refilled(m, F.concat(code, F.lpad(permuted(number.cast("long"), half, half, key, "phone").cast("string"), 10, "0")))
+    """All digits after the country code changed; the code is told from the digits, so spellings of a number stay linked."""
+    code = F.regexp_extract(_digits(m), f"^{CODE}", 0)
+    number = F.substr(_digits(m), F.length(code) + 1, F.length(_digits(m)))
+    n = F.length(number)
+    half = F.floor(n / 2).cast("int")
+    return refilled(m, F.concat(code, F.lpad(permuted(number.cast("long"), _power(half), _power(n - half), key, "phone").cast("string"), n, F.lit("0"))))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -160,17 +213,18 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _pseudonym(m: Column, key: str) -> Column:
-    """(kind, new) of a match; kind is null where it does not validate."""
+    """(kind, (n, new)) of a match: how many values of the kind it holds, and the text with them replaced; new is null where none validates."""
     date = F.lit(False)
     for pattern in DATE_FORMATS:
         date = date | m.rlike(pattern)
     tests = {"email": m.contains("@"), "date": date, "ip": m.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ssn": m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "phone": m.startswith("+"), "card": F.lit(True)}
-    change = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
-    kind = new = None
+    change = {"email": _email, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone}
+    kind = done = None
     for k in KINDS:
+        one = _cards(m, key) if k == "card" else F.struct(F.lit(1).alias("n"), change[k](m, key).alias("new"))
         kind = F.when(tests[k], F.lit(k)) if kind is None else kind.when(tests[k], F.lit(k))
-        new = F.when(tests[k], change[k](m, key)) if new is None else new.when(tests[k], change[k](m, key))
-    return F.struct(kind.alias("kind"), new.alias("new"))
+        done = F.when(tests[k], one) if done is None else done.when(tests[k], one)
+    return F.struct(kind.alias("kind"), done.alias("done"))
 
 
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -181,13 +235,15 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
     matches = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
     def checked(m):
-        return F.transform(F.array(_pseudonym(m, key)), lambda p: F.struct(F.when(p["new"].isNotNull(), p["kind"]).alias("kind"), F.coalesce(p["new"], m).alias("new")))[0]
+        return F.transform(
+            F.array(_pseudonym(m, key)), lambda p: F.struct(F.when(p["done"]["new"].isNotNull(), p["kind"]).alias("kind"), p["done"]["n"].alias("n"), F.coalesce(p["done"]["new"], m).alias("new")),
+        )[0]
 
     df = docs.withColumn(found_col, F.transform(matches, checked)).withColumn(gaps_col, F.split(text, PATTERN))
     whole = F.array_join(F.zip_with(gaps_col, F.col(found_col), lambda g, f: F.concat(g, F.coalesce(f["new"], F.lit("")))), "")
 
     def count(kind):
-        return F.coalesce(F.size(F.filter(found_col, lambda f: f["kind"] == kind)), F.lit(0)).cast("long")
+        return F.coalesce(F.aggregate(F.filter(found_col, lambda f: f["kind"] == kind), F.lit(0), lambda s, f: s + f["n"]), F.lit(0)).cast("long")
 
     counts = {f"n_{kind}": F.when(text.isNotNull(), count(kind)).otherwise(F.lit(0).cast("long")) for kind in KINDS}
     return replaced(df, {text_col: F.when(text.isNotNull(), whole), **counts}).drop(found_col, gaps_col)

@@ -179,6 +179,31 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert got[6].text == dict(EDGES)[6] and df.columns[:10] == docs(spark, []).columns
 
 
+def test_pseudonyms_beside_other_numbers(spark):
+    """Cards, telephone numbers, dates and addresses next to one another; everything personal changes, nothing else does."""
+    card = "4111111111111111"
+    texts = {
+        1: ("card 4111111111111111 12/27", {"card": 1}, " 12/27"), 2: ("card 4111 1111 1111 1111 123 ok", {"card": 1}, " 123 ok"), 3: ("7 4111111111111111", {"card": 1}, ""),
+        4: ("12 34 4111 1111 1111 1111 99", {"card": 1}, " 99"), 5: ("4111 1111 1111 1111 5500 0000 0000 0004", {"card": 2}, ""),
+        6: ("4111111111111111 10.0.0.1", {"card": 1, "ip": 1}, ""), 7: ("4111111111111111 02/29/2020", {"card": 1, "date": 1}, ""),
+        8: ("12345 123-45-6789", {"ssn": 1}, ""), 9: ("+33 6 12 34 56 78", {"phone": 1}, ""), 10: ("+49 30 901820", {"phone": 1}, ""),
+        11: ("+44 20 7946 0958.", {"phone": 1}, "."), 12: ("+33612345678", {"phone": 1}, ""), 13: ("+49 30 901820 4111 1111 1111 1111", {"phone": 1, "card": 1}, ""),
+        14: ("+49 30 901820 2020-02-29", {"phone": 1, "date": 1}, ""), 15: ("+1.23456789 and 12 34", {}, "+1.23456789 and 12 34"), 16: ("+33.6.12.34.56.78", {"phone": 1}, ""),
+        17: (card, {"card": 1}, ""),
+    }
+    got = {r.doc_id: r for r in pseudonyms.pseudonymised(docs(spark, [(i, t) for i, (t, _, _) in texts.items()]), "key").collect()}
+    for i, row in got.items():
+        text, counts, end = texts[i]
+        assert {k: row[f"n_{k}"] for k in pseudonyms.KINDS if row[f"n_{k}"]} == counts, text
+        assert row.text.endswith(end) and len(row.text) == len(text) or "ip" in counts
+        assert not counts or row.text != text
+    digits = lambda i: re.sub(r"[^0-9]", "", got[i].text)
+    new = got[17].text
+    assert luhn(new) and digits(1) == new + "1227" and digits(2) == new + "123" and digits(3) == "7" + new and digits(4) == "1234" + new + "99"
+    assert digits(5).startswith(new) and luhn(digits(5)[16:]) and digits(13).endswith(new) and got[6].text.startswith(new)
+    assert digits(9) == digits(12) == digits(16) and digits(9).startswith("33") and digits(9) != "33612345678"
+
+
 def plain_statistics(text):
     t = text or ""
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", t) if x]
