@@ -1,6 +1,7 @@
 """Secret scans with a random forest that removes false positives, in DataFrame operations only.
 
-Candidates are runs of 16 or more key characters in the whole text. For each the forest sees its length, its character
+Candidates are runs of 16 or more key characters in the whole text, and whatever is assigned to a secret's name, of any length
+and characters: all within quotes, or all up to a blank, without the punctuation that ends it. For each the forest sees its length, its character
 classes and the changes between them, how likely its letter pairs are in words of the corpus, how much of it words of the
 corpus cover, the path (source), and the neighbouring words. It learns from labelled findings. Where no labels exist,
 ``distant_labels`` marks as secrets what a secret's name is assigned to, and everything else as false positives.
@@ -22,9 +23,19 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.common import staged, words_of
 
+#: A run of key characters, which needs no name.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: Names that secrets are assigned to.
 SECRET_NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "access_key", "private_key", "auth", "credential")
+ASSIGNMENT = rf"(?i:{'|'.join(SECRET_NAMES)})[A-Za-z0-9_]*[\"']?\s*[:=]+>?\s*"
+#: What is assigned: all within quotes, or all up to a blank or the next name of a list; possessive, as Java recurses otherwise.
+_QUOTED = r"\"(?:[^\"\\\n]|\\.)++\"|'(?:[^'\\\n]|\\.)++'"
+_BARE = r"(?!\"\"|'')(?:(?![&,;][\"']?[A-Za-z_][A-Za-z0-9_.-]*[\"']?\s?[:=])\S)++"
+#: A long name may end in a secret's name; a padded run of key characters that holds one by chance is no name.
+_NAMED = rf"(?=[A-Za-z0-9+/_=-]{{16}})(?![A-Za-z0-9+/_-]+=+(?:\s|\Z))[A-Za-z0-9_-]*?{ASSIGNMENT}"
+FINDING = rf"(?:{ASSIGNMENT}|{_NAMED})(?:{_QUOTED}|{_BARE})|{CANDIDATE}"
+#: Ends of a bare value that are punctuation of the text around it.
+_TAIL = r"[,;.)\]}>\"'`]*$"
 CONTEXT = 64
 WORD_MIN, WORD_MAX, MIN_COUNT = 4, 6, 20
 SAMPLE = 10_000
@@ -32,32 +43,48 @@ TREES, DEPTH, SEED = 30, 7, 5
 _HASHED = 12
 
 
+def _parts(m: Column) -> Column:
+    """(before, value, after) of a match of FINDING: an assignment and its quotes are no part of the value."""
+    head = F.regexp_extract(m, rf"^(?:{ASSIGNMENT}|{_NAMED})(?=.)", 0)
+    rest = F.substr(m, F.length(head) + 1, F.length(m))
+    quoted = (head != "") & rest.rlike(rf"^(?:{_QUOTED})$")
+    bare = F.when(head != "", F.regexp_replace(rest, _TAIL, "")).otherwise(rest)
+    value = F.when(quoted, F.substr(rest, F.lit(2), F.length(rest) - 2)).otherwise(bare)
+    before = F.when(quoted, F.concat(head, F.left(rest, F.lit(1)))).otherwise(head)
+    after = F.substr(m, F.length(before) + F.length(value) + 1, F.length(m))
+    return F.struct(before.alias("before"), value.alias("value"), after.alias("after"))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """(doc_id, path, start, value, before, after): each candidate, its 0-based place in characters and its surroundings."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"),
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("values"), F.split(text, CANDIDATE).alias("gaps"),
-    ).where(F.size("values") > 0)
-    after = F.slice("gaps", F.lit(2), F.size("values"))
+        F.regexp_extract_all(text, F.lit(FINDING), F.lit(0)).alias("matches"), F.split(text, FINDING).alias("gaps"),
+    ).where(F.size("matches") > 0)
+    after = F.slice("gaps", F.lit(2), F.size("matches"))
     zipped = F.arrays_zip(
-        F.col("values").alias("value"), F.transform("gaps", lambda g: F.right(g, F.lit(CONTEXT))).alias("before"), F.transform(after, lambda g: F.left(g, F.lit(CONTEXT))).alias("after"),
-        F.transform("gaps", F.length).alias("skip"), F.transform("values", F.length).alias("size"),
+        F.transform("matches", _parts).alias("parts"), F.transform("gaps", lambda g: F.right(g, F.lit(CONTEXT))).alias("before"), F.transform(after, lambda g: F.left(g, F.lit(CONTEXT))).alias("after"),
+        F.transform("gaps", F.length).alias("skip"), F.transform("matches", F.length).alias("size"),
     )
-    rows = rows.select("doc_id", "path", F.slice(zipped, F.lit(1), F.size("values")).alias("found"), F.size("values").alias("n"))
-    # Places are running sums of gaps and values.
+    rows = rows.select("doc_id", "path", F.slice(zipped, F.lit(1), F.size("matches")).alias("found"), F.size("matches").alias("n"))
+    # Places are running sums of gaps and matches.
     empty = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<bigint>)").alias("starts"))
     step = lambda s, f: F.struct((s["at"] + f["skip"] + f["size"]).alias("at"), F.array_append(s["starts"], s["at"] + f["skip"]).alias("starts"))
     rows = rows.withColumn("starts", F.aggregate("found", empty, step)["starts"])
     each = rows.select("doc_id", "path", F.explode(F.arrays_zip("found", "starts")).alias("f"))
-    return each.select("doc_id", "path", F.col("f.starts").alias("start"), "f.found.value", "f.found.before", "f.found.after")
+    before, own = F.col("f.found.before"), F.col("f.found.parts")
+    found = each.select(
+        "doc_id", "path", (F.col("f.starts") + F.length(own["before"])).alias("start"), own["value"].alias("value"),
+        F.right(F.concat(before, own["before"]), F.lit(CONTEXT)).alias("before"), F.left(F.concat(own["after"], F.col("f.found.after")), F.lit(CONTEXT)).alias("after"),
+    )
+    return found.where("value <> ''")
 
 
 def distant_labels(found: DataFrame) -> Column:
     """1 for a value assigned to a secret's name, with letters and digits; else 0."""
-    names = "|".join(SECRET_NAMES)
-    assigned = F.lower("before").rlike(rf"(?:{names})[a-z0-9_]*\s*[:=]+\s*[\"']?$")
-    return (assigned & F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")).cast("double")
+    assigned = F.col("before").rlike(rf"{ASSIGNMENT}[\"']?$")
+    return (assigned & F.col("value").rlike("[0-9]") & F.col("value").rlike(r"\p{L}")).cast("double")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -92,7 +119,10 @@ def with_traits(found: DataFrame, words: DataFrame) -> DataFrame:
     size = F.length(value).cast("double")
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / size
     lower = F.lower(value)
-    likely = F.aggregate(F.sequence(F.lit(1), F.length(value) - 1), F.lit(0.0), lambda s, i: s + F.coalesce(F.try_element_at(pairs, F.substr(lower, i, F.lit(2))), F.lit(0.0)))
+    # Pairs of neighbours of an array: places of a string would be counted anew each time.
+    chars = F.split(lower, "")
+    neighbours = F.zip_with(F.slice(chars, F.lit(1), F.length(value) - 1), F.slice(chars, F.lit(2), F.length(value) - 1), lambda x, y: F.concat(x, y))
+    likely = F.aggregate(neighbours, F.lit(0.0), lambda s, p: s + F.coalesce(F.try_element_at(pairs, p), F.lit(0.0)))
     distinct = F.size(F.array_distinct(F.split(value, ""))) / size
     near = F.lower(F.regexp_replace("before", r"[^\p{L}]+", " "))
     words_before = F.filter(F.split(near, " "), lambda w: w != "")

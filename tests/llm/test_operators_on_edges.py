@@ -148,6 +148,26 @@ def test_secret_candidates_and_their_places(spark):
     assert len(scored) == 20 and all(r.predicted == r.label for r in scored)
 
 
+def test_values_of_secret_names_of_any_length_and_characters(spark):
+    texts = {
+        1: 'password = "hunter2secret" end', 2: "pwd: Tr0ub4dor&3", 3: "auth='a.b!c$d:e 1'", 4: "token=abc123.def456.ghi789, then", 5: '{"api_key": "x9", "user": "bob"}',
+        6: "?token=abc1&id=0123456789abcdef0123", 7: 'password = ""', 8: "no name 0123456789abcdef0123!", 9: "SECRET => q7", 10: "passwd: é1", 11: "token=" + "a1!" * 30_000, 12: 'pwd = "a\\"b1"',
+        13: "DATABASE_PASSWORD=hun&ter2 x", 14: "OUR_DATABASE_PASSWORD = 'hun ter2'", 15: "0123456789pwd0123456789== next", 16: "a0123456789_token=",
+    }
+    found = secret_scan.candidates(docs(spark, list(texts.items())))
+    got = {}
+    for r in found.withColumn("label", secret_scan.distant_labels(found)).orderBy("doc_id", "start").collect():
+        assert texts[r.doc_id][r.start : r.start + len(r.value)] == r.value and texts[r.doc_id][: r.start].endswith(r.before) and texts[r.doc_id][r.start + len(r.value) :].startswith(r.after)
+        got.setdefault(r.doc_id, []).append((r.value, r.label))
+    assert got == {
+        1: [("hunter2secret", 1.0)], 2: [("Tr0ub4dor&3", 1.0)], 3: [("a.b!c$d:e 1", 1.0)], 4: [("abc123.def456.ghi789", 1.0)], 5: [("x9", 1.0)], 6: [("abc1", 1.0), ("id=0123456789abcdef0123", 0.0)],
+        8: [("0123456789abcdef0123", 0.0)], 9: [("q7", 1.0)], 10: [("é1", 1.0)], 11: [("a1!" * 30_000, 1.0)], 12: [('a\\"b1', 1.0)],
+        13: [("hun&ter2", 1.0)], 14: [("hun ter2", 1.0)], 15: [("0123456789pwd0123456789==", 0.0)], 16: [("a0123456789_token=", 0.0)],
+    }
+    scored = secret_scan.scan(docs(spark, list(texts.items())), F.lit(True))
+    assert scored.count() == 16 and scored.where("score is null").count() == 0
+
+
 def luhn(digits):
     d = [int(c) for c in reversed(digits)]
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
