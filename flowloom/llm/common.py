@@ -36,6 +36,12 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(spark: SparkSession, path: str) -> None:
+    """Remove a folder of ``shared_dir`` that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")

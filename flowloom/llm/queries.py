@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm import decontaminate, line_dedup, mixing, near_dedup, outliers, pseudonyms, quality, secret_scan, templates, toxicity
+from flowloom.llm import clustering, decontaminate, line_dedup, mixing, near_dedup, outliers, packing, pseudonyms, quality, secret_scan, spelling, templates, toxicity
 from flowloom.llm.common import small_batches
 from flowloom.session import configure, ship_package
 
@@ -203,3 +203,68 @@ def op9(table):
 def op10(table):
     """The main text of every page."""
     return templates.main_texts(table("pages"))
+
+
+# crc32 by its definition: the table of a byte's eight steps, then a fold over the bytes of the text.
+_CRC_SQL = """
+crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t)"""
+_HASH_SQL = "xor(list_reduce([4294967295::BIGINT] || {bytes}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+# Bytes of UTF-8 for code points below 2048, which is all that a word or a number has.
+_BYTES_SQL = """flatten(list_transform(string_split({text}, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [(192 + (unicode(ch) >> 6))::BIGINT, (128 + (unicode(ch) & 63))::BIGINT] END))"""
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {_CRC_SQL},
+runs AS (SELECT doc_id, unnest(regexp_extract_all({_lower_sql("coalesce(text, '')")}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+per_doc AS (SELECT doc_id, run, count(*) AS k FROM runs WHERE length(run) >= {spelling.MIN_LENGTH} GROUP BY ALL),
+hashed AS (SELECT run, k, {_HASH_SQL.format(bytes=_BYTES_SQL.format(text="coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h FROM per_doc, crc_table),
+written AS (SELECT CASE WHEN h % {spelling.TYPO_EVERY} = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM written WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(k) >= {spelling.MIN_COUNT}),
+cuts AS (SELECT word, n, pos, substr(word, 1, pos - 1) || substr(word, pos + 1) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS pos FROM words)),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.pos = b.pos AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+known AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= {spelling.FACTOR} * w.n THEN r.near END AS form,
+  CASE WHEN r.near_n >= {spelling.FACTOR} * w.n THEN r.near_n END AS form_n FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1),
+ways(word, goal) AS (SELECT word, word FROM known UNION ALL SELECT ways.word, form FROM ways JOIN known k ON k.word = ways.goal WHERE form IS NOT NULL)
+SELECT k.word, k.form, goal AS root, k.n, k.n_near, k.form_n FROM known k JOIN ways ON ways.word = k.word JOIN known e ON e.word = goal AND e.form IS NULL
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11(table):
+    """Every frequent word with the words at one error from it."""
+    return spelling.variants(table("documents"))
+
+
+@query("op12_best_fit_packing")
+def op12(table):
+    """Every piece of every document with its place in a sequence."""
+    import public_tokenizers
+
+    return packing.packed_pieces(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _clustering_sql() -> str:
+    k, size = clustering.CLUSTERS, clustering.SIZE
+    nearest = """a{i} AS MATERIALIZED (SELECT id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT id, v, c, list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM vectors, c{i}) GROUP BY id, v)"""
+    parts = "SELECT c, pos, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS x FROM (SELECT c, unnest(v) AS x, unnest(range(len(v))) AS pos FROM a{i}) GROUP BY c, pos"
+    moved = """c{j} AS MATERIALIZED (SELECT o.c, coalesce(n.m, o.m) AS m FROM c{i} o LEFT JOIN (SELECT c, list(x::BIGINT ORDER BY pos) AS m FROM (""" + parts + """) GROUP BY c) n ON n.c = o.c)"""
+    rounds = ",\n".join(f"{nearest.format(i=i)},\n{moved.format(i=i, j=i + 1)}" for i in range(clustering.ROUNDS))
+    last = clustering.ROUNDS
+    return f"""
+WITH vectors AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor({clustering.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{clustering.SEED}:' || coalesce(vec_id::VARCHAR, ''))) - 1 AS c, v AS m FROM vectors QUALIFY c < {k}),
+{rounds},
+{nearest.format(i=last)},
+told AS (SELECT c, sha256(array_to_string(m, ',')) AS h FROM c{last}),
+sums AS (SELECT c, sum(d) AS s FROM a{last} GROUP BY c)
+SELECT vec_id, c::INT AS cluster, d AS distance, s::BIGINT AS cluster_inertia, (SELECT sum(s) FROM sums)::BIGINT AS inertia, h AS centroid_sha256
+FROM a{last} JOIN vectors USING (id) JOIN told USING (c) JOIN sums USING (c)
+"""
+
+
+@query("op13_centroid_clustering", _clustering_sql())
+def op13(table):
+    """The cluster of every vector."""
+    return clustering.clustered(table("embeddings"))
