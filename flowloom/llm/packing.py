@@ -1,7 +1,7 @@
 """Best-fit packing of documents into sequences: bounded-space online best-fit.
 
 1. Each task tokenizes its documents and cuts those longer than a sequence; the first piece takes the remainder, so all
-   other pieces are whole sequences. It packs pieces in the order they come: OPEN_BINS sequences at most are open, lists
+   other pieces are whole sequences. It packs pieces as they come, STEP at a time and these from the longest on: OPEN_BINS sequences at most are open, lists
    of them are keyed by free space, and a bitset marks the keys in use, so the tightest fit is the lowest set bit at or
    above a piece's length. If a new sequence is needed and all places are taken, the fullest closes first.
 2. The sequences that are still open when a task ends are at most OPEN_BINS rows, whatever it read. They are packed once
@@ -31,8 +31,11 @@ from pyspark.sql import functions as F
 from flowloom.llm.common import staged
 
 CAPACITY = 2048
-OPEN_BINS = 512
-BINS_PER_TASK = 2048
+OPEN_BINS = 2048
+#: Pieces that come in one step of the online packing, the longest first; no more than OPEN_BINS, so that none of a
+#: step's sequences has to close before shorter pieces came.
+STEP = 2000
+BINS_PER_TASK = 2000
 END_ID = 0
 UNITS = 200_000
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -147,14 +150,22 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity
 
     def run(batches):
         known, packer, task = ids_of(tokenizer), Packer(capacity, open_bins), TaskContext.get().partitionId()
+        held: list[tuple] = []
+
+        def placed():
+            held.sort(key=lambda piece: -piece[3])
+            rows = [(*piece, task, *packer.put(piece[3]), None) for piece in held]
+            held.clear()
+            return _batch(rows, _PIECES)
+
         for batch in batches:
-            rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = memoryview(known.of(text or "") + end)
                 for k, (start, length) in enumerate(piece_bounds(len(ids) // 4, capacity)):
-                    own, offset = packer.put(length)
-                    rows.append((doc_id, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), task, own, offset, None))
-            yield _batch(rows, _PIECES)
+                    held.append((doc_id, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
+                    if len(held) == STEP:
+                        yield placed()
+        yield placed()
         yield _batch([(None, None, None, None, None, task, own, None, fill) for own, fill in packer.still_open()], _PIECES)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -175,7 +186,7 @@ def repacked(left: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BI
             yield _batch(rows, _MOVED)
 
     tasks = -(-left.count() // BINS_PER_TASK)
-    dealt = left.repartition(max(2, tasks), "task", "bin").sortWithinPartitions(F.desc("fill"), "task", "bin")
+    dealt = left.repartition(max(1, tasks), "task", "bin").sortWithinPartitions(F.desc("fill"), "task", "bin")
     return dealt.mapInArrow(run, "task long, bin long, sequence long, base long")
 
 

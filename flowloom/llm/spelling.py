@@ -85,7 +85,8 @@ class _Searcher:
 
     def take(self, side: int, key: str, block: int, asks: bool, indexed: bool, word: str, n: int):
         if (side, key, block) != self.group:
-            if side != self.side or len(self.own) >= self.limit:
+            # Blocks of one key are asked for the same words, so they never share an index.
+            if side != self.side or len(self.own) >= self.limit or (side, key) == (self.group or (0, 0, 0))[:2]:
                 yield self.flushed()
                 self.side, self.own = side, {}
             self.group = (side, key, block)
