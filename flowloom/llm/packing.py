@@ -9,7 +9,7 @@
    table was split, and no text moves. Pieces are written before that: a repeated task cannot deal them differently.
 
 Ids come from the tokenizer file, whose words are cut before white space; a unit of white space and what follows it
-therefore has the same ids everywhere, and each worker remembers those of up to UNITS short units.
+therefore has the same ids everywhere, and each worker remembers those of the short units it met last, about UNITS.
 
 Defined cases: a null or empty text has the end id alone. Repeated rows are packed one by one. Very long texts are cut up
 unit by unit, never held as token objects. Strings of special tokens in a text are ordinary text. A null doc_id is kept.
@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from itertools import islice
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +39,16 @@ OPEN_BINS = 2048
 STEP = 2000
 BINS_PER_TASK = 2000
 END_ID = 0
-UNITS = 200_000
+#: Units that a worker remembers of each of two generations, and how long they are at most.
+UNITS, LONG = 300_000, 40
+#: Code points that are cut into units at once.
+PART = 1 << 20
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: White space with what follows it; no word of the vocabulary reaches across the start of such a unit.
-UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: White space with what follows it, up to the end of a run of letters if a sign comes next, else to the next white space;
+#: no word of the vocabulary reaches across the start of such a unit.
+UNIT = re.compile(f"[{_SPACE}]*[{_LETTER}]+(?![^!-@\\[-`{{-~{_SPACE}])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+WORD = re.compile(f" ?[{_LETTER}]+")
 
 
 class Packer:
@@ -82,41 +90,71 @@ class Packer:
 
 
 class Ids:
-    """Token ids of texts as little-endian bytes, by a tokenizer file; the ids of short units are remembered."""
+    """Token ids of texts as little-endian bytes, by a tokenizer file.
+
+    The ids of short units are remembered: those seen since the last change of generation, and of the generation before
+    those seen again.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        in_bytes = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        #: How the tokenizer's own first step writes the bytes of a blank and of each letter.
+        self.signs = {ord(c): "".join(part for part, _ in in_bytes(c)) for c in map(chr, range(256)) if WORD.fullmatch(f"a{c}") or c == " "}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _learn(self, units: list[str]) -> None:
+    def _learn(self, units: set[str]) -> list[str]:
+        """Let ``known`` have all ``units``; gives those too long to be kept."""
         if len(self.known) > UNITS:
-            self.known.clear()
-        new = list({u for u in units if u not in self.known})
-        for k in range(0, len(new), 1000):
-            part = new[k : k + 1000]
-            for unit, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[unit] = np.array(found.ids, "<u4").tobytes()
+            self.known, self.older = {}, self.known
+        new = list(units.difference(self.known))
+        if self.older:
+            self.known.update((u, self.older[u]) for u in new if u in self.older)
+            new = [u for u in new if u not in self.older]
+        signs, merged = self.signs, self.tokenizer.model.tokenize
+        for unit in filter(WORD.fullmatch, new):
+            # One word of the vocabulary: only its merges are left to do.
+            found = [token.id for token in merged(unit.translate(signs))]
+            self.known[unit] = pack(f"<{len(found)}I", *found)
+        rest = [u for u in new if u not in self.known]
+        for k in range(0, len(rest), 10_000):
+            for unit, found in zip(rest[k : k + 10_000], self.tokenizer.encode_batch_fast(rest[k : k + 10_000], add_special_tokens=False)):
+                self.known[unit] = pack(f"<{len(found)}I", *found.ids)
+        return [u for u in new if len(u) > LONG]
 
     def of(self, text: str) -> bytes:
-        if len(text) <= 1 << 20:
-            return self._joined(UNIT.findall(text))
-        found = (m[0] for m in UNIT.finditer(text))
-        return b"".join(iter(lambda: self._joined(list(islice(found, 1 << 16))), b""))
-
-    def _joined(self, units: list[str]) -> bytes:
-        known = self.known
-        try:
-            return b"".join([known[u] for u in units])
-        except KeyError:
-            self._learn(units)
-            out = b"".join([known[u] for u in units])
-            for u in units:
-                if len(u) > 40:
-                    known.pop(u, None)
-            return out
+        return next(self.of_all([text]))
+
+    def of_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text; units are learned for about PART code points of texts at a time."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            if len(text) > PART:
+                yield from self._told(held)
+                found = (m[0] for m in UNIT.finditer(text))
+                parts = iter(lambda: list(islice(found, PART >> 4)), [])
+                yield b"".join([b"".join(self._told([units])) for units in parts])
+                held, size = [], 0
+                continue
+            if size + len(text) > PART:
+                yield from self._told(held)
+                held, size = [], 0
+            held.append(UNIT.findall(text))
+            size += len(text)
+        yield from self._told(held)
+
+    def _told(self, lists: list[list[str]]) -> list[bytes]:
+        long = self._learn(set().union(*lists))
+        known = self.known.__getitem__
+        out = [b"".join(map(known, units)) for units in lists]
+        for unit in long:
+            del self.known[unit]
+        return out
 
 
 _ids: dict[str, Ids] = {}
@@ -159,8 +197,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity
             return _batch(rows, _PIECES)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = memoryview(known.of(text or "") + end)
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), known.of_all(texts)):
+                ids = memoryview(found + end)
                 for k, (start, length) in enumerate(piece_bounds(len(ids) // 4, capacity)):
                     held.append((doc_id, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
                     if len(held) == STEP:

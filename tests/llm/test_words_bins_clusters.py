@@ -173,9 +173,11 @@ def test_packing_on_edges(spark):
 
 
 def test_packing_merges_what_tasks_leave_open(spark):
-    rows = [(i, "word " * 9) for i in range(300)]
+    rows = [(i, "word " * 9) for i in range(600)]
     few, total = packed_rows(spark, rows)
-    assert few == -(-total // packing.CAPACITY)
+    whole = -(-total // packing.CAPACITY)
+    # Each of three tasks leaves a sequence open; merged, at most one more than needed is left.
+    assert whole <= few <= whole + 1
 
 
 def plain_clusters(vectors, k, rounds, seed=3):
