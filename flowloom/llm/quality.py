@@ -5,14 +5,16 @@ words (a word after itself is one trait of its own). Each feature's bucket has a
 averaged within a family and the families are averaged; a softmax layer on top gives the two classes. Vectors and softmax
 are learned together, as in supervised word-vector classifiers.
 
-The fit takes a bounded, documented sample: SAMPLE labelled rows of each class, those of smallest hash of doc_id; the
-share of the classes among all labelled rows of the fit is put back as a bias. Scoring takes every whole text, in one
-pass without a shuffle: as averages and logits are linear, a feature's vector comes down to one number, so the model sent
-to the executors is one table of fixed size.
+The fit takes a bounded, documented sample: SAMPLE labelled documents of each class, those of smallest hash of doc_id; the
+share of the classes among all labelled documents of the fit is put back as a bias. Traits are counted in parallel and
+written; one task on an executor then takes them step by step, sorted by epoch and a hash, and holds no more than the
+vectors and one batch. Neither texts nor traits reach the driver: it gets the model, one number for each trait (2 MB).
+Scoring takes every whole text, in one pass without a shuffle: as averages and logits are linear, a feature's vector
+comes down to one number, so the model sent to the executors is one table of fixed size.
 
 Defined cases: an empty or null text has no traits and scores as the bias alone says. Without labels of both classes
 every score is the share of label 1 (0.5 without any label). Null labels and labels of unknown documents are ignored; of
-repeated labels the smallest counts. Repeated rows get equal scores. Rows without doc_id are scored and held out.
+repeated labels the smallest counts. Repeated rows get equal scores; a doc_id is learned once, by its smallest text. Rows without doc_id are scored and held out.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.llm.common import staged
 from flowloom.llm.shingles import chunks, shingle_hashes, words
 
 BUCKET_BITS = 16
@@ -71,30 +74,36 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], share: float) -> Model:
-    """Train on (trait ids, their parts of the average, class); ``share`` is that of class 1 among all labelled."""
-    rng = np.random.default_rng(SEED)
-    vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (FAMILIES << BUCKET_BITS, DIMENSIONS))
-    top, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
-    total, done = EPOCHS * len(rows), 0
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
-            ids, parts, label = rows[i]
-            rate = RATE * (1 - done / total)
-            done += 1
-            mean = parts @ vectors[ids]
-            logits = mean @ top + bias
-            p = np.exp(logits - logits.max())
-            p /= p.sum()
-            p[label] -= 1
-            back = top @ p
-            top -= rate * np.outer(mean, p)
-            bias -= rate * p
-            vectors[ids] -= (rate * 20) * np.outer(parts, back)
-    seen = np.mean([label for _, _, label in rows])
-    prior = np.log(share / (1 - share)) - np.log(seen / (1 - seen))
-    weights = (vectors @ (top[:, 1] - top[:, 0])).reshape(FAMILIES, -1) / FAMILIES
-    return Model(weights, float(bias[1] - bias[0] + prior))
+class Trainer:
+    """Stochastic gradient descent over (trait ids, their counts, class) that come one after the other."""
+
+    def __init__(self, steps: int):
+        rng = np.random.default_rng(SEED)
+        self.vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (FAMILIES << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
+        self.top, self.bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
+        self.steps, self.done = steps, 0
+
+    def step(self, ids: np.ndarray, counts: np.ndarray, label: int) -> None:
+        rate = np.float32(RATE * (1 - self.done / self.steps))
+        self.done += 1
+        family = ids >> BUCKET_BITS
+        total = np.bincount(family, counts, FAMILIES)
+        parts = (counts / (np.maximum(total, 1)[family] * FAMILIES)).astype(np.float32)
+        mean = parts @ self.vectors[ids]
+        logits = mean @ self.top + self.bias
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        p[label] -= 1
+        back = self.top @ p
+        self.top -= rate * np.outer(mean, p)
+        self.bias -= rate * p
+        self.vectors[ids] -= (rate * 20) * np.outer(parts, back)
+
+    def model(self, seen: float, share: float) -> Model:
+        """``seen`` and ``share``: those of class 1 among the rows that came and among all labelled."""
+        prior = np.log(share / (1 - share)) - np.log(seen / (1 - seen))
+        weights = (self.vectors @ (self.top[:, 1] - self.top[:, 0])).astype(float).reshape(FAMILIES, -1) / FAMILIES
+        return Model(weights, float(self.bias[1] - self.bias[0] + prior))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, fit_rows: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,49 +117,62 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, fit_rows: Column, i
 def sample_ids(docs: DataFrame, labels: DataFrame, label: str, fit_rows: Column, sizes: tuple[int, int], id_col: str) -> tuple[DataFrame, dict[int, int]]:
     """The bounded sample's labels, and how many labelled documents each class has."""
     ids = docs.select(id_col).withColumn("_text", F.lit(""))
-    known = labelled(ids, labels, label, fit_rows, id_col, "_text").select("doc_id", "label", "pick")
+    known = labelled(ids, labels, label, fit_rows, id_col, "_text").select("doc_id", "label", "pick").distinct()
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [known.where(F.col("label") == k).orderBy("pick", "doc_id").limit(sizes[k]) for k in (0, 1)]
     return parts[0].union(parts[1]).select(F.col("doc_id").alias("sample_id"), "label"), counts
 
 
 def sample_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, label, text) of the sample; the sample is the small side of the join, of at most its documented bound."""
+    """(doc_id, label, text) of the sample, one text for each id: the smallest of repeated ones. The sample is the small side of
+    the join, of at most its documented bound."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    return texts.join(F.broadcast(chosen), texts.doc_id == chosen.sample_id).select("doc_id", "label", "text")
+    found = texts.join(F.broadcast(chosen), texts.doc_id == chosen.sample_id)
+    return found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, fit_rows: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    chosen, counts = sample_ids(docs, labels, label, fit_rows, (sample, sample), id_col)
-    if len(counts) < 2:
-        share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-        return Model(np.zeros((FAMILIES, 1 << BUCKET_BITS)), float(np.log(share / (1 - share))))
+def _traits(texts: DataFrame) -> DataFrame:
+    """(doc_id, label, ids, counts): the distinct trait ids of each text and how often each stands there."""
 
     def run(batches):
         for batch in batches:
             at = 0
             for chunk in chunks(batch.column("text").to_pylist()):
                 families = list(grams(chunk))
+                ids, counts = [], []
                 for i in range(len(chunk)):
-                    ids, parts = [], []
-                    for k, (of, begin, end) in enumerate(families):
-                        own, n = np.unique(of[begin[i] : end[i]], return_counts=True)
-                        ids.append(own + (k << BUCKET_BITS))
-                        parts.append(n / max(1, n.sum()) / FAMILIES)
-                    one = [[batch.column("doc_id")[at + i].as_py()], [batch.column("label")[at + i].as_py()]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(one[0], pa.int64()), pa.array(one[1], pa.int32()), pa.array([np.concatenate(ids).astype(np.int32).tobytes()]), pa.array([np.concatenate(parts).astype(np.float32).tobytes()])],
-                        ["doc_id", "label", "ids", "parts"],
-                    )
+                    own = [np.unique(of[begin[i] : end[i]], return_counts=True) for of, begin, end in families]
+                    ids.append(np.concatenate([x + (k << BUCKET_BITS) for k, (x, _) in enumerate(own)]).astype("<i4").tobytes())
+                    counts.append(np.concatenate([n for _, n in own]).astype("<i4").tobytes())
+                held = [batch.column(c).slice(at, len(chunk)) for c in ("doc_id", "label")]
+                yield pa.RecordBatch.from_arrays([*held, pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "label", "ids", "counts"])
                 at += len(chunk)
 
-    source = sample_texts(docs, chosen, id_col, text_col)
-    found = source.mapInArrow(run, "doc_id long, label int, ids binary, parts binary").toArrow()
-    found = found.sort_by([(c, "ascending") for c in ("doc_id", "label", "ids", "parts")]).combine_chunks()
-    # Views of the Arrow buffers: the sample is held once.
-    held = (found.column(c) for c in ("ids", "parts", "label"))
-    rows = [(np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(p.as_buffer(), np.float32), k.as_py()) for i, p, k in zip(*held)]
-    return fit(rows, counts[1] / (counts[0] + counts[1]))
+    return texts.mapInArrow(run, "doc_id long, label int, ids binary, counts binary")
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str, fit_rows: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    chosen, counts = sample_ids(docs, labels, label, fit_rows, (sample, sample), id_col)
+    share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
+    if len(counts) < 2:
+        return Model(np.zeros((FAMILIES, 1 << BUCKET_BITS)), float(np.log(share / (1 - share))))
+    used = {k: min(n, sample) for k, n in counts.items()}
+    steps = EPOCHS * sum(used.values())
+
+    def run(batches):
+        trainer = Trainer(steps)
+        for batch in batches:
+            for ids, n, mark in zip(*(batch.column(c) for c in ("ids", "counts", "label"))):
+                trainer.step(np.frombuffer(ids.as_buffer(), "<i4"), np.frombuffer(n.as_buffer(), "<i4"), mark.as_py())
+        model = trainer.model(used[1] / sum(used.values()), counts[1] / sum(counts.values()))
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+
+    traits = staged(_traits(sample_texts(docs, chosen, id_col, text_col)), "traits")
+    # Each epoch sees the rows in an order of its own; one task takes them one after the other.
+    shuffled = traits.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS)))).coalesce(1)
+    shuffled = shuffled.sortWithinPartitions("epoch", F.xxhash64("doc_id", "epoch"), "doc_id").select("label", "ids", "counts")
+    (fitted,) = shuffled.mapInArrow(run, "weights binary, bias double").collect()
+    return Model(np.frombuffer(fitted.weights).reshape(FAMILIES, -1), fitted.bias)
 
 
 def score_column(docs: DataFrame, model: Model, text_col: str = "text") -> Column:

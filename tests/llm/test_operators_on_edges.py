@@ -258,3 +258,18 @@ def test_templates_are_counted_by_host(spark):
     assert got[0] == ("story 0", 7) and got[8] == ("Welcome to our site\n\nstory 8", 28) and got[9] == got[10] == ("", 0)
     assert got[None] == ("Welcome to our site\n\nstory 11", 29)
     assert templates.main_texts(df.limit(0)).count() == 0
+
+
+def test_sample_holds_each_document_once(spark):
+    """A doc_id that stands in many rows is one document of the sample, with its smallest text."""
+    rows = [(1, f"text {k:04d}") for k in range(300)] + [(i, f"own {i}") for i in range(2, 60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 60)], LABELS)
+    chosen, counts = quality.sample_ids(docs(spark, rows), labels, "quality", F.lit(True), (40, 40), "doc_id")
+    assert counts == {0: 29, 1: 30}
+    got = [tuple(r) for r in quality.sample_texts(docs(spark, rows), chosen, "doc_id", "text").collect()]
+    assert sorted((i, m, bytes(t)) for i, m, t in got) == [(1, 1, b"text 0000")] + [(i, i % 2, f"own {i}".encode()) for i in range(2, 60)]
+    few, counts = quality.sample_ids(docs(spark, rows), labels, "quality", F.lit(True), (5, 6), "doc_id")
+    assert counts == {0: 29, 1: 30} and few.count() == few.distinct().count() == 11
+    model = quality.train(docs(spark, rows), labels, "quality", F.lit(True), sample=20)
+    again = quality.train(docs(spark, rows).repartition(7), labels, "quality", F.lit(True), sample=20)
+    assert (model.weights == again.weights).all() and model.bias == again.bias
