@@ -5,6 +5,7 @@ Small numpy helpers; Spark hands them batches of rows.
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +18,9 @@ PROMINENCE = 0.2
 PERIOD_TOLERANCE = 2
 FILTER_ORDER = 10
 FILTER_RATE = 1440
+TIE = 1e-9
+#: Digits of the scaled autocorrelation of a filtered series: neighbours that are equal but for rounding are a plateau.
+ACF_DIGITS = 9
 
 
 def frequencies(n: int) -> np.ndarray:
@@ -32,18 +36,28 @@ def periodogram(x: np.ndarray) -> np.ndarray:
     return power
 
 
-def permutation_threshold(
-    x: np.ndarray, rng: np.random.Generator, count: int = PERMUTATIONS, confidence: float = CONFIDENCE
-) -> float:
-    """Peak power that a shuffled series stays below with the given confidence."""
-    shuffled = rng.permuted(np.broadcast_to(x, (count, x.size)), axis=1)
-    highest = np.sort(periodogram(shuffled).max(axis=1))
+@lru_cache(maxsize=8)
+def permutations(n: int, count: int) -> np.ndarray:
+    """``count`` orders of ``n`` bins: the p-th sorts bins by md5 of ``p:bin``, so every engine can draw the same ones."""
+    digests = [[hashlib.md5(f"{p}:{i}".encode()).digest() for i in range(n)] for p in range(count)]
+    return np.array([sorted(range(n), key=own.__getitem__) for own in digests], dtype=np.int64).reshape(count, n)
+
+
+def permutation_threshold(x: np.ndarray, count: int = PERMUTATIONS, confidence: float = CONFIDENCE) -> float:
+    """Peak power that a shuffled series stays below with the given confidence.
+
+    All series are shuffled by the same orders: the shares among one series' shuffles are what counts.
+    """
+    highest = np.sort(periodogram(x[permutations(x.size, count)]).max(axis=1))
     return float(highest[int(confidence * count) - 1])
 
 
 def periods_above(psd: np.ndarray, threshold: float, n: int) -> np.ndarray:
-    """Periods below 720 bins whose power exceeds the threshold, lowest frequency first."""
-    picked = np.flatnonzero(psd > threshold)
+    """Periods below 720 bins whose power exceeds the threshold, lowest frequency first.
+
+    Equal powers of a shuffled and the given series do occur; TIE keeps rounding from deciding on them.
+    """
+    picked = np.flatnonzero(psd > threshold * (1 + TIE))
     picked = picked[picked > 0]
     periods = 1 / frequencies(n)[picked]
     return periods[periods < LONGEST_PERIOD]
@@ -87,6 +101,8 @@ def acf_peaks(x: np.ndarray, least: float = PROMINENCE) -> np.ndarray:
     if not top > 0:
         return np.zeros(0, dtype=int)
     y = acf / top
+    if not np.issubdtype(x.dtype, np.integer):
+        y = np.round(y, ACF_DIGITS)
     found = local_maxima(y)
     found = found[y[found] - y.min() >= least]
     return np.array([p for p in found if prominence(y, p) >= least], dtype=int)
@@ -136,14 +152,15 @@ def lowpass(x: np.ndarray, cutoff: float) -> np.ndarray:
     return np.fft.irfft(np.fft.rfft(x, 2 * n) * np.fft.rfft(response, 2 * n), 2 * n)[:n]
 
 
-def recheck_filtered(periods: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> list[float]:
+def surviving_period(filtered: np.ndarray) -> float | None:
+    """The first period of a filtered series above its own threshold that its own autocorrelation confirms."""
+    candidates = periods_above(periodogram(filtered), permutation_threshold(filtered), filtered.size)
+    peaks = acf_peaks(filtered)
+    survivors = confirmed(candidates, peaks[peaks > 1])
+    return float(survivors[0]) if survivors.size else None
+
+
+def recheck_filtered(periods: np.ndarray, x: np.ndarray) -> list[float]:
     """For each candidate the first period that survives on the series low-passed at period + 1."""
-    kept = []
-    for period in periods:
-        filtered = lowpass(x.astype(float), period + 1)
-        candidates = periods_above(periodogram(filtered), permutation_threshold(filtered, rng), x.size)
-        peaks = acf_peaks(filtered)
-        survivors = confirmed(candidates, peaks[peaks > 1])
-        if survivors.size:
-            kept.append(float(survivors[0]))
-    return kept
+    found = (surviving_period(lowpass(x.astype(float), period + 1)) for period in periods)
+    return [period for period in found if period is not None]

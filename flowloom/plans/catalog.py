@@ -201,11 +201,11 @@ def _series(reg: Registry) -> None:
                [_log(f"http_ts{site}", on_missing=EMPTY), _log(f"ssl_ts{site}", on_missing=EMPTY)], merge)
 
     def detect(host):
-        return lambda ctx, ts: periodicity.detect_periodicity(ts, [SLOT, host])
+        return lambda ctx, ts: periodicity.detect_periodicity(ts)
 
     def detect_both(host):
         def compute(ctx, here, there):
-            return periodicity.detect_periodicity(series.merge_sites(here, there, [SLOT, host]), [SLOT, host])
+            return periodicity.detect_periodicity(series.merge_sites(here, there, [SLOT, host]))
 
         return compute
 

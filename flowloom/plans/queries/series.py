@@ -142,40 +142,22 @@ def candidate_periods(t: Tables):
     return found.select(*KEYS, "k", F.round("power", 6).alias("power"), F.round("period", 6).alias("period"))
 
 
-@query("acf_peaks")
-def acf_peaks(t: Tables):
-    """Prominent lags of every series with activity."""
-    peaks = periodicity.with_peaks(series.build_series(t.web()).where("ts_cnt > 2"))
-    return peaks.select(*KEYS, F.explode("autocorr_peaks").alias("lag"))
-
-
-@query("periodicity")
-def periodicity_query(t: Tables):
-    """Whole detection on every host and day."""
-    found = periodicity.detect_periodicity(series.build_series(t.web()), KEYS)
-    return found.select(
-        *KEYS, "ts_cnt", F.round("psd_threshold", 6).alias("psd_threshold"), F.round("psd_ratio", 6).alias("psd_ratio"),
-        "min_tsinterval", F.size("potential_periods").alias("n_potential"), F.size("high_freq_pruned").alias("n_pruned"),
-        F.size("true_periods").alias("n_true"), F.size("lowpass_filter_per").alias("n_lowpass"),
-    )
-
-
-@query("periodicity_agg")
-def periodicity_agg(t: Tables):
-    """Detection on the added series of two sites."""
-    both = series.merge_sites(*_halves(t)).select(*KEYS, "tdf", "ts_cnt")
-    found = periodicity.detect_periodicity(both, KEYS)
-    return found.select(*KEYS, "ts_cnt", F.size("potential_periods").alias("n_potential"), F.size("true_periods").alias("n_true"))
-
-
 @query(
     "period_t_test",
     f"""WITH {NAMED}, {_cells_sql()}, {GAPS}, p AS (SELECT day, host, count(gap) AS n, min(gap) AS period, avg(gap) AS mean,
         coalesce(var_samp(gap), 0) AS var FROM gaps GROUP BY ALL),
-    tt AS (SELECT day, host, (period - mean) / sqrt(((n - 1) * var + 1900) / (n + 18) * (1 / n + 0.05)) AS t FROM p)
-    SELECT day, host, round(t, 6) AS t_value, abs(t) <= 2.0 AS kept FROM tt""",
+    tt AS (SELECT day, host, n + 18 AS v, (period - mean) / sqrt(((n - 1) * var + 1900) / (n + 18) * (1 / n + 0.05)) AS t FROM p),
+    parts AS (SELECT *, atan(abs(t) / sqrt(v)) AS a FROM tt),
+    sums AS (SELECT day, host, t, v, a, sum(exp(lgamma(j + 1) + lgamma(1.5) - lgamma(j + 1.5)) * power(cos(a), 2 * j + 1)) AS odd,
+        sum(exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1)) * power(cos(a), 2 * j)) AS even
+      FROM (SELECT *, unnest(range(v // 2)) AS j FROM parts) GROUP BY ALL),
+    tails AS (SELECT day, host, t, CASE WHEN v % 2 = 1 THEN 2 / pi() * (a + sin(a) * odd) ELSE sin(a) * even END AS inside FROM sums)
+    SELECT day, host, round(t, 6) AS t_value, round(1 - inside, 6) AS p_value, 1 - inside > 0.05 AS kept, 1 - inside > 0.01 AS kept_01 FROM tails""",
 )
 def period_t_test(t: Tables):
-    """Does the smallest gap explain the gaps?"""
+    """Does the smallest gap explain the gaps, at 5 and at 1 percent?"""
     profile = series.gap_profile(series.minute_cells(t.web()), KEYS).withColumn("period", F.col("min_tsinterval").cast("double"))
-    return periodicity.period_t(profile).select(*KEYS, F.round("t_value", 6).alias("t_value"), "kept")
+    tested = periodicity.period_t(profile)
+    strict = periodicity.period_t(profile, alpha=0.01).select(*KEYS, F.col("kept").alias("kept_01"))
+    rounded = (F.round(c, 6).alias(c) for c in ("t_value", "p_value"))
+    return tested.select(*KEYS, *rounded, "kept").join(strict, KEYS)

@@ -98,11 +98,11 @@ def test_beacon_noise_and_quiet_series(spark):
         [("beacon", beacon, 144), ("noise", noise, sum(noise)), ("lone", lone, 2), ("empty", [0] * 1440, 0)],
         "host string, tdf array<int>, ts_cnt int",
     )
-    got = {r.host: r for r in periodicity.detect_periodicity(df, ["host"]).collect()}
+    got = {r.host: r for r in periodicity.detect_periodicity(df).collect()}
     assert 10.0 in [round(p, 6) for p in got["beacon"].true_periods]
     assert got["beacon"].min_tsinterval == 10 and got["beacon"].psd_ratio > 1
     assert set(got) <= {"beacon", "noise"}
-    again = {r.host: r for r in periodicity.detect_periodicity(df.repartition(7), ["host"]).collect()}
+    again = {r.host: r for r in periodicity.detect_periodicity(df.repartition(7)).collect()}
     assert again == got
 
 
@@ -130,5 +130,5 @@ def test_noise_threshold_is_near_the_permuted_one(spark):
     x[np.random.default_rng(2).choice(1440, 200, replace=False)] = 1
     mean = spectral.periodogram(x)[1:].mean()
     analytic = spark.createDataFrame([(float(mean),)], "psd_mean double").select(periodicity.noise_threshold()).first()[0]
-    permuted = spectral.permutation_threshold(x, np.random.default_rng(1))
+    permuted = spectral.permutation_threshold(x)
     assert analytic == pytest.approx(permuted, rel=0.25)
