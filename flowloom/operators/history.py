@@ -1,13 +1,15 @@
 """First-seen / last-seen history of hosts.
 
-Two equal forms: :func:`history_step` carries a stored day forward, :func:`history_replay` works out
-many days in one plan. A key is forgotten when a day with input finds it idle for the expiry or longer;
+Three equal forms: :func:`history_step` carries a stored day forward, :func:`history_replay` works out
+many days in one plan from nothing, :func:`history_continued` from a stored day. A key is forgotten when a day with input finds it idle for the expiry or longer;
 a key seen on that very day survives.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -133,6 +135,62 @@ def history_replay(
     return counted.select(*cols)
 
 
+def history_continued(
+    state: DataFrame, seen: DataFrame, calendar: Sequence[date], keys: Sequence[str], day: str = "day",
+    log_type: str | None = "HTTP", expiry: int = EXPIRY_DAYS,
+) -> DataFrame:
+    """The history after every day of ``calendar``, in one plan, from the state before the first and distinct (day, keys) rows.
+
+    A key of the state enters as a sighting on the day it was last seen, with the count it had. ``calendar`` has the days
+    with input, also those on which nothing was seen; its table and the dates up to ``expiry`` before are all the driver makes.
+    """
+    host = keys[0]
+    spark = state.sparkSession
+    days = sorted(set(calendar))
+    marks = []
+    for i in range((days[-1] - days[0]).days + expiry + 1):
+        at = days[0] + timedelta(days=i - expiry)
+        marks.append((at, bisect_left(days, at + timedelta(days=expiry)) + 1))
+    expires = spark.createDataFrame(marks, "_mark date, _expires int")
+    numbers = spark.createDataFrame([(d, i + 1) for i, d in enumerate(days)], "_mark date, _no int")
+    known = _filled(seen, [host, day]).select(*keys, F.col(day).alias("_mark")).distinct().join(numbers, "_mark")
+    typed = "string" if log_type else "void"
+    rows = known.select(*keys, "_mark", "_no", F.lit(None).cast("date").alias("_first"), F.lit(0).cast("long").alias("_count"),
+                        F.lit(None).cast(typed).alias("_first_type"), F.lit(log_type).cast(typed).alias("_last_type"), F.lit(None).cast("int").alias("_is_ip"))
+    types = ["firstseen_log_type", "lastseen_log_type"] if log_type else []
+    held = [F.col(c) for c in types] if types else [F.lit(None), F.lit(None)]
+    rows = rows.union(state.select(
+        *keys, "lastseen_date", F.lit(0), "firstseen_date", "count_since_firstseen", *[c.cast(typed) for c in held],
+        F.col("isIP") if log_type else F.lit(None).cast("int"),
+    ))
+    per_key = Window.partitionBy(*keys).orderBy("_no")
+    # A key last seen longer ago than the table of dates reaches goes on the first day with input.
+    runs = rows.join(expires, "_mark", "left").withColumn("_expires", F.coalesce("_expires", F.lit(1)))
+    runs = runs.withColumn("_next", F.lead("_no").over(per_key)).withColumn("_before", F.lag("_expires").over(per_key))
+    broken = F.col("_before").isNull() | (F.col("_before") < F.col("_no"))
+    runs = runs.withColumn("_run", F.sum(broken.cast("int")).over(per_key))
+    in_run = Window.partitionBy(*keys, "_run")
+    until = F.least(F.coalesce("_next", F.lit(len(days) + 1)), "_expires")
+    runs = runs.withColumns({
+        "_until": until, "firstseen_date": F.min(F.coalesce("_first", "_mark")).over(in_run), "_count": F.max("_count").over(in_run),
+        "_first_type": F.max("_first_type").over(in_run), "_is_ip": F.max("_is_ip").over(in_run),
+    }).where(F.col("_until") > F.greatest("_no", F.lit(1)))
+    shown = runs.select("*", F.explode(F.sequence(F.greatest("_no", F.lit(1)), F.col("_until") - 1)).alias("_at")).drop("_no")
+    hosts = known.select(host, F.col("_no").alias("_at")).distinct().withColumn("_host_seen", F.lit(1))
+    counted = shown.join(hosts, [host, "_at"], "left").withColumn(
+        "count_since_firstseen",
+        (F.col("_count") + F.sum(F.coalesce("_host_seen", F.lit(0))).over(in_run.orderBy("_at"))).cast("long"),
+    )
+    dated = counted.join(numbers.select(F.col("_mark").alias(day), F.col("_no").alias("_at")), "_at")
+    cols = [F.col(day), *keys, "firstseen_date", F.col("_mark").alias("lastseen_date")]
+    if log_type:
+        cols += [F.coalesce("_first_type", F.lit(log_type)).alias("firstseen_log_type"), F.col("_last_type").alias("lastseen_log_type")]
+    cols += ["count_since_firstseen", days_since("firstseen_date", day).alias("days_since_firstseen"), days_since("_mark", day).alias("days_since_lastseen")]
+    if log_type:
+        cols += [F.coalesce("_is_ip", is_ip(host)).alias("isIP")]
+    return dated.select(*cols)
+
+
 def _numbered_days(days: DataFrame, day: str, expiry: int) -> DataFrame:
     # The only unpartitioned window: its input is one row per calendar day.
     ordered = Window.orderBy(day)

@@ -221,14 +221,20 @@ def _histories(reg: Registry) -> None:
     def domain(host, site, kind):
         def compute(ctx, before, log):
             keys = [host, site]
-            if before is None:
-                before = history.empty_history(ctx.spark, keys)
-            today = history.daily_hosts(log, host, site)
-            start = ctx.slots[0][0].date()
-            return history.history_step(before.drop(SLOT), today, start, keys, kind, ctx.settings.expiry_days)
+            today = history.daily_hosts(log, host, site, by=[SLOT])
+            return continued(ctx, before, today, keys, kind)
 
         return compute
 
+    def continued(ctx, before, seen, keys, kind):
+        """All the slots' histories in one plan, from the state before the first of them."""
+        if before is None:
+            before = history.empty_history(ctx.spark, keys, log_types=kind is not None)
+        dated = seen.select(F.col(SLOT).cast("date").alias("_day"), *keys)
+        days = [start.date() for start, _ in ctx.slots]
+        done = history.history_continued(before.drop(SLOT), dated, days, keys, "_day", kind, ctx.settings.expiry_days)
+        return done.withColumn(SLOT, F.col("_day").cast("timestamp")).drop("_day")
+
     for name, log, host, site, kind in (
         ("http_domain_history", "http", "host", "anon_host", "HTTP"),
         ("http_domain_history_vt", "http_vt", "host", "anon_host", "HTTP"),
@@ -239,11 +245,7 @@ def _histories(reg: Registry) -> None:
         _daily(reg, name, inputs, domain(host, site, kind), carry=True)
 
     def periodic(ctx, before, found):
-        if before is None:
-            before = history.empty_history(ctx.spark, ["host"], log_types=False)
-        today = found.where(F.size("true_periods") > 0).select("host")
-        start = ctx.slots[0][0].date()
-        return history.history_step(before.drop(SLOT), today, start, ["host"], None, ctx.settings.expiry_days)
+        return continued(ctx, before, found.where(F.size("true_periods") > 0).select(SLOT, "host"), ["host"], None)
 
     for log in ("http", "httpssl"):
         name = f"{log}_periodicity_hist"

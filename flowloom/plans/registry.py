@@ -43,7 +43,8 @@ class Feature:
 
     ``compute(context, *inputs)`` gets one DataFrame per input holding the rows of all slots asked for,
     with the slot they are wanted for in ``slot_start``, and keeps that column: one plan covers many slots.
-    ``carry`` marks a feature that reads its own slot before.
+    ``carry`` marks a feature that reads its own slot before: it gets the state before the first of the slots (None if there
+    is none) in that input's place, and gives the rows of all slots.
     """
 
     name: str

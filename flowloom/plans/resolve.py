@@ -1,7 +1,7 @@
 """Resolve a named feature over a time range: read what is stored, compute and store the rest.
 
-The absent slots of a feature are computed by one plan with the slot as a grouping column; only tables
-that carry state from slot to slot are stepped through in time order.
+The absent slots of a feature are computed by one plan with the slot as a grouping column, also those of tables that carry
+state from slot to slot. The manifest keeps what each slot was made from, so slots whose input came late can be found.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from flowloom.operators.tables import concat_common, trim_columns
 from flowloom.plans.registry import ERROR, PARTIAL, SKIP, Feature, Input, MissingInput, Registry
-from flowloom.plans.slots import MONTH, YEAR, Slot, Timescale, epoch, floor_to, is_slot, moment_lit, tile
+from flowloom.plans.slots import MONTH, YEAR, Slot, Timescale, epoch, floor_to, is_slot, moment_lit, stamp, tile
 from flowloom.plans.store import SlotStore
 from flowloom.session import configure
 from flowloom.sources.files import existing
@@ -53,12 +53,28 @@ class Context:
 
 @dataclass
 class Found:
-    """Rows of some slots; which slots have a result, and what the others lack."""
+    """Rows of some slots; which slots have a result, what the others lack, and what each one is made of: itself if it is
+    raw or stored, else the slots it was computed from."""
 
     frame: DataFrame | None
     done: set[Slot]
     lacking: dict[Slot, frozenset[str]]
     skipped: set[Slot]
+    made_of: dict[Slot, frozenset[str]] = field(default_factory=dict)
+
+
+@dataclass
+class State:
+    """What a slot counts as for those made from it, whether it is late, when it was written, and whether it is stored."""
+
+    made: frozenset[str]
+    late: bool = False
+    written: float = 0.0
+    stored: bool = False
+
+
+def _leaf(feature: Feature, slot: Slot) -> frozenset[str]:
+    return frozenset({f"{feature.name}@{stamp(slot[0])}"})
 
 
 class Resolver:
@@ -139,7 +155,7 @@ class Resolver:
         frames = [self.store.read(feature.name, sorted(stored), columns, stored)] if stored else []
         if save_dir and stored:
             self._save_elsewhere(feature, self.store.read(feature.name, sorted(stored)), sorted(stored), save_dir)
-        found = Found(None, set(stored), {}, set())
+        found = Found(None, set(stored), {}, set(), {s: _leaf(feature, s) for s in stored})
         if absent:
             fresh = self._raw(feature, absent) if feature.loader else self._derived(feature, absent)
             if fresh.frame is not None:
@@ -149,14 +165,16 @@ class Resolver:
                     target = SlotStore(self.spark, store_root(save_dir)) if save_dir else self.store
                     if target.root == self.store.root:
                         if not feature.carry:  # a carried feature has stored every step
-                            target.write(feature.name, frame, done, rebalance=not feature.loader)
+                            target.write(feature.name, frame, done, rebalance=not feature.loader, made_of=fresh.made_of)
                     else:
                         self._save_elsewhere(feature, frame, done, save_dir)
                     frame = target.read(feature.name, done, columns)
                 elif columns is not None:
                     frame = trim_columns(frame, [*columns, "slot_start"])
                 frames.append(frame)
-            found = Found(None, set(stored) | fresh.done, fresh.lacking, fresh.skipped)
+            keeps = feature.memoize or feature.carry or feature.loader
+            made = {s: _leaf(feature, s) if keeps else fresh.made_of.get(s, frozenset()) for s in fresh.done}
+            found = Found(None, set(stored) | fresh.done, fresh.lacking, fresh.skipped, found.made_of | made)
         frames = [f for f in frames if f is not None]
         if frames:
             found.frame = concat_common(*frames)
@@ -174,17 +192,19 @@ class Resolver:
     def _raw(self, feature: Feature, slots: list[Slot]) -> Found:
         if feature.inputs:
             raise ValueError(f"raw feature {feature.name} must not have inputs")
-        if hasattr(feature.loader, "available"):
-            there = feature.loader.available(self.spark, self.raw_root, slots)
-            lacking = {s: frozenset([f"{feature.name}@{s[0]}"]) for s in slots if s not in there}
-        else:
-            paths = {s: feature.loader.path(self.raw_root, s) for s in slots}
-            found = existing(self.spark, paths.values())
-            lacking = {s: frozenset([p]) for s, p in paths.items() if p not in found}
+        lacking = self._raw_lacking(feature, slots)
         have = [s for s in slots if s not in lacking]
         frame = feature.loader.read(self.spark, self.raw_root, have) if have else None
         return Found(frame, set(have), lacking, set())
 
+    def _raw_lacking(self, feature: Feature, slots: list[Slot]) -> dict[Slot, frozenset[str]]:
+        if hasattr(feature.loader, "available"):
+            there = feature.loader.available(self.spark, self.raw_root, slots)
+            return {s: frozenset([f"{feature.name}@{s[0]}"]) for s in slots if s not in there}
+        paths = {s: feature.loader.path(self.raw_root, s) for s in slots}
+        found = existing(self.spark, paths.values())
+        return {s: frozenset([p]) for s, p in paths.items() if p not in found}
+
     def _derived(self, feature: Feature, slots: list[Slot]) -> Found:
         if feature.carry:
             return self._carried(feature, slots)
@@ -208,7 +228,7 @@ class Resolver:
             self._shifted(need, found, tiles, good) for need, (found, tiles) in zip(feature.inputs, gathered)
         ]
         frame = feature.compute(Context(self.spark, self.settings, good), *frames)
-        return Found(frame, set(good), lacking, skipped)
+        return Found(frame, set(good), lacking, skipped, {s: self._made_of(s, gathered) for s in good})
 
     def _inputs(self, needs: Sequence[Input], slots: list[Slot]) -> list[tuple[Found, dict[Slot, list[Slot]]]]:
         """Each input over everything the slots need, and which of its slots each slot needs.
@@ -255,49 +275,131 @@ class Resolver:
         return renamed.join(mapping, "_input_slot").drop("_input_slot")
 
     def _carried(self, feature: Feature, slots: list[Slot]) -> Found:
-        """Step through the slots in time order, each from the stored one before it.
+        """Slots of a history: each stretch of missing ones is one plan and one write, from the stored slot before it.
 
-        Every step is stored, which also cuts the lineage. Slots between the nearest stored one and those asked for
-        are computed as well. Without any stored slot before it a history starts from nothing only if the settings'
-        ``seed`` is "empty"; else it is an error, as all earlier state would be lost.
+        Slots between the nearest stored one and those asked for are computed as well, and so are stored ones after a slot
+        that was missing, whose state it lacks. Without any stored slot before it a history starts from nothing only if
+        the settings' ``seed`` is "empty"; else it is an error, as all earlier state would be lost.
         """
-        own = [i for i in feature.inputs if i.feature == feature.name]
+        own = next(i for i in feature.inputs if i.feature == feature.name)
         others = [i for i in feature.inputs if i.feature != feature.name]
-        done: set[Slot] = set()
-        lacking: dict[Slot, frozenset[str]] = {}
         first, last = min(slots), max(slots)
         stored = self.store.slots_of(feature.name)
         earlier = [s for s in stored if s < first]
         if not earlier and self.settings.seed != "empty":
             raise ValueError(f'{feature.name} has no stored slot before {first[0]}: set seed="empty" to start it there')
         # What lies between is missing state, not an empty one.
-        between = tile(max(earlier)[1], last[1], feature.timescale) if earlier else tile(first[0], last[1], feature.timescale)
-        for slot in sorted({*between, *slots} - set(stored)):
-            before = tile(slot[0] + own[0].offset, slot[1] + own[0].offset, feature.timescale)
-            history = self.store.read(feature.name, before)
-            if history is None and (earlier or done):
-                # The day before could not be computed, so neither can this one.
-                lacking[slot] = frozenset({self.store.slot_path(feature.name, before[0])})
-                continue
-            gathered = self._inputs(others, [slot])
+        start = max(earlier)[1] if earlier else first[0]
+        missing = sorted({*tile(start, last[1], feature.timescale), *slots} - set(stored))
+        stretch = tile(missing[0][0], max([last, *stored])[1], feature.timescale)
+        before = tile(stretch[0][0] + own.offset, stretch[0][1] + own.offset, feature.timescale)
+        history = self.store.read(feature.name, before)
+        gathered = self._inputs(others, stretch)
+        loud: list[Slot] = []
+        source: dict[Slot, Slot | None] = {}
+        lacking: dict[Slot, frozenset[str]] = {}
+        for slot in stretch:
             verdicts = [self._verdict(slot, found, tiles) for found, tiles in gathered]
             failed = [paths for need, (paths, _) in zip(others, verdicts) if need.on_missing in (ERROR, PARTIAL) and paths]
-            if failed:
-                lacking[slot] = frozenset().union(*failed)
+            none = all(none for _, none in verdicts)
+            if failed or (none and history is None and not loud):
+                lacking[slot] = frozenset().union(*(failed or [paths for paths, _ in verdicts]))
+                if earlier or source:
+                    break
                 continue
-            if all(none for _, none in verdicts):
-                if history is None:
-                    lacking[slot] = frozenset().union(*[paths for paths, _ in verdicts])
-                    continue
-                frame = history  # a slot without input leaves the history as it is
-            else:
-                frames = [self._shifted(n, found, tiles, [slot]) for n, (found, tiles) in zip(others, gathered)]
-                frame = feature.compute(Context(self.spark, self.settings, [slot]), history, *frames)
-            start = F.timestamp_seconds(F.lit(epoch(slot[0])))
-            self.store.write(feature.name, frame.withColumn("slot_start", start), [slot])
-            done.add(slot)
-        done &= set(slots)
-        return Found(self.store.read(feature.name, sorted(done)) if done else None, done, {s: p for s, p in lacking.items() if s in set(slots)}, set())
+            if not none:
+                loud.append(slot)
+            source[slot] = loud[-1] if loud else None
+        for slot in stretch:
+            if slot not in source and slot not in lacking:
+                # The slot before could not be computed, so neither can this one.
+                lacking[slot] = frozenset({self.store.slot_path(feature.name, (slot[0] + own.offset, slot[0]))})
+        if source:
+            frame = self._told(feature, others, gathered, history, loud, source)
+            self.store.write(feature.name, frame, sorted(source), made_of={s: self._made_of(s, gathered) for s in source})
+        stale = [s for s in stored if s in lacking]
+        if stale:
+            self.store.retract(feature.name, stale)
+        wanted = set(slots)
+        done = wanted & set(source)
+        frame = self.store.read(feature.name, sorted(done)) if done else None
+        return Found(frame, done, {s: p for s, p in lacking.items() if s in wanted}, set())
+
+    def _told(self, feature: Feature, others, gathered, history: DataFrame | None, loud: list[Slot], source) -> DataFrame:
+        """Rows of all slots of ``source``; one without input has those of the slot before it."""
+        frames = []
+        if loud:
+            inputs = [self._shifted(n, found, tiles, loud) for n, (found, tiles) in zip(others, gathered)]
+            rows = feature.compute(Context(self.spark, self.settings, loud), history, *inputs)
+            pairs = [(epoch(s[0]), epoch(of[0])) for s, of in source.items() if of is not None]
+            if any(a != b for a, b in pairs):
+                named = self.spark.createDataFrame(pairs, "a long, b long").select(
+                    F.timestamp_seconds("a").alias("slot_start"), F.timestamp_seconds("b").alias("_of")
+                )
+                rows = rows.withColumnRenamed("slot_start", "_of").join(named, "_of").drop("_of")
+            frames.append(rows)
+        quiet = [s for s, of in source.items() if of is None]
+        if quiet:
+            starts = F.array(*[moment_lit(s[0]) for s in quiet])
+            frames.append(history.drop("slot_start").withColumn("slot_start", F.explode(starts)))
+        return concat_common(*frames) if len(frames) > 1 else frames[0]
+
+    @staticmethod
+    def _made_of(slot: Slot, gathered) -> frozenset[str]:
+        return frozenset().union(*[found.made_of.get(t, frozenset()) for found, tiles in gathered for t in tiles[slot]])
+
+    # -- late input --------------------------------------------------------------------------------
+
+    def late_slots(self, name: str, start: datetime, end: datetime) -> list[Slot]:
+        """Stored slots of the range that would come out otherwise now: an input came, or was made anew, after them."""
+        now = self._now(self.registry[name], tile(start, end, self.registry[name].timescale), {})
+        return sorted(s for s, state in now.items() if state.stored and state.late)
+
+    def refresh(self, name: str, start: datetime, end: datetime) -> list[Slot]:
+        """Retract the late slots of the range, with those of its inputs they come from, and compute them again."""
+        feature = self.registry[name]
+        slots = tile(start, end, feature.timescale)
+        seen: dict[str, dict[Slot, State]] = {}
+        late = sorted(s for s, state in self._now(feature, slots, seen).items() if state.stored and state.late)
+        for each, states in seen.items():
+            self.store.retract(each, sorted(s for s, state in states.items() if state.stored and state.late))
+        if late:
+            self._slots(feature, [s for s in slots if s in set(late)], None)
+        return [s for s in late if s in set(slots)]
+
+    def _now(self, feature: Feature, slots: Sequence[Slot], seen: dict[str, dict[Slot, State]]) -> dict[Slot, State]:
+        """What each slot would be made from now, through all tables that are not stored, and whether that is news."""
+        if feature.loader:
+            lacking = self._raw_lacking(feature, list(slots))
+            return {s: State(_leaf(feature, s) if s not in lacking else frozenset()) for s in slots}
+        entries = self.store.entries(feature.name, slots)
+        if feature.carry:
+            # All stored slots up to the last one asked for: what is late in one is late in all after it.
+            slots = sorted({*slots, *[s for s in self.store.slots_of(feature.name) if s <= max(slots)]})
+            entries = self.store.entries(feature.name, slots)
+        states: dict[Slot, State] = {}
+        parts = []
+        for need in feature.inputs:
+            if need.feature != feature.name:
+                source = self.registry[need.feature]
+                tiles = {s: tile(s[0] + need.offset, s[1] + need.offset, source.timescale) for s in slots}
+                every = sorted({t for own in tiles.values() for t in own})
+                parts.append((self._now(source, every, seen), tiles))
+        carried = False
+        for slot in sorted(slots):
+            below = [states_of[t] for states_of, tiles in parts for t in tiles[slot]]
+            made = frozenset().union(*[state.made for state in below])
+            written = max([state.written for state in below], default=0.0)
+            late = any(state.late for state in below)
+            entry = entries.get(slot)
+            if entry is None:
+                states[slot] = State(made, late, written)
+                continue
+            late = late or carried or written > entry.written_at.timestamp() or (entry.inputs is not None and bool(made - set(entry.inputs)))
+            carried = feature.carry and late
+            states[slot] = State(_leaf(feature, slot), late, entry.written_at.timestamp(), True)
+        seen.setdefault(feature.name, {}).update(states)
+        return states
 
     def _empty(self, feature: Feature, columns: Sequence[str] | None = None) -> DataFrame:
         """A table of the feature's columns without rows."""

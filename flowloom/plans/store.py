@@ -2,13 +2,17 @@
 
 A slot is complete once the manifest names it, which happens after its files are committed. A failed or
 repeated write overwrites the slot's partition, so writing is idempotent; a slot without rows is complete too.
+Rows appended to a slot lie in a data set of their own by slot and batch, so a repeated batch replaces itself.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +22,12 @@ from flowloom.operators.tables import trim_columns
 from flowloom.plans.slots import STAMP, Slot, Timescale, epoch, from_epoch, moment_lit, stamp, tile
 from flowloom.sources.files import exists, listing, modified, remove
 
-MANIFEST = "slot string, start_epoch long, end_epoch long, rows long, written_at timestamp, schema string"
+#: ``added``: those of the rows that were appended; ``inputs``: what the slot was made from (None: unknown).
+MANIFEST = (
+    "slot string, start_epoch long, end_epoch long, rows long, written_at timestamp, schema string, status string, "
+    "added long, inputs array<string>"
+)
+COMPLETE, STALE = "complete", "stale"
 
 
 def _merged_schema(entries: Iterable[T.Row]) -> T.StructType:
@@ -50,8 +59,8 @@ class SlotStore:
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], MANIFEST)
         entries = self.spark.read.schema(MANIFEST).parquet(path)
-        newest = entries.groupBy("slot").agg(F.max_by(F.struct(*entries.columns), "written_at").alias("e"))
-        return newest.select("e.*")
+        newest = entries.groupBy("slot").agg(F.max_by(F.struct(*entries.columns), "written_at").alias("e")).select("e.*")
+        return newest.where(F.coalesce("status", F.lit(COMPLETE)) == COMPLETE)
 
     def entries(self, name: str, slots: Sequence[Slot]) -> dict[Slot, T.Row]:
         """Newest manifest entries of the slots: a filtered scan of small files without a shuffle."""
@@ -62,7 +71,8 @@ class SlotStore:
         low, high = min(k[0] for k in wanted), max(k[0] for k in wanted)
         rows = self.spark.read.schema(MANIFEST).parquet(path).where(F.col("start_epoch").between(low, high)).collect()
         rows.sort(key=lambda r: r.written_at)
-        return {wanted[(r.start_epoch, r.end_epoch)]: r for r in rows if (r.start_epoch, r.end_epoch) in wanted}
+        newest = {wanted[(r.start_epoch, r.end_epoch)]: r for r in rows if (r.start_epoch, r.end_epoch) in wanted}
+        return {slot: r for slot, r in newest.items() if r.status in (None, COMPLETE)}
 
     def present(self, name: str, slots: Sequence[Slot]) -> set[Slot]:
         return set(self.entries(name, slots))
@@ -79,24 +89,29 @@ class SlotStore:
         if not found:
             return None
         schema = _merged_schema(found.values())
-        stamps = sorted(stamp(s) for (s, _), r in found.items() if r.rows)
-        if stamps:
-            df = (
-                self.spark.read.schema(schema.add("slot", T.StringType()))
-                .option("basePath", self.path(name))
-                .parquet(*[f"{self.path(name)}/slot={s}" for s in stamps])
-                .withColumn("slot_start", F.to_timestamp("slot", STAMP))
-                .drop("slot")
-            )
+        parts = []
+        for path, held in ((self.path(name), lambda r: r.rows - (r.added or 0)), (self._added_path(name), lambda r: r.added or 0)):
+            stamps = sorted(stamp(s) for (s, _), r in found.items() if held(r))
+            if stamps:
+                rows = (
+                    self.spark.read.schema(T.StructType([*schema.fields, T.StructField("slot", T.StringType())]))
+                    .option("basePath", path).parquet(*[f"{path}/slot={s}" for s in stamps])
+                )
+                parts.append(rows.withColumn("slot_start", F.to_timestamp("slot", STAMP)).drop("slot", "batch"))
+        if parts:
+            df = reduce(DataFrame.union, parts)
         else:
             df = self.spark.createDataFrame([], schema).withColumn("slot_start", F.lit(None).cast("timestamp"))
         return df if columns is None else trim_columns(df, [*columns, "slot_start"])
 
-    def write(self, name: str, df: DataFrame, slots: Sequence[Slot], rebalance: bool = True) -> None:
+    def write(
+        self, name: str, df: DataFrame, slots: Sequence[Slot], rebalance: bool = True,
+        made_of: dict[Slot, Iterable[str]] | None = None,
+    ) -> None:
         """Store the rows of the slots, then declare them complete. ``df`` has ``slot_start``.
 
         Rebalancing keeps files of even size and splits a hot slot over several tasks; raw logs, read file
-        by file, are in slots already and go without that shuffle.
+        by file, are in slots already and go without that shuffle. ``made_of`` names what each slot was made from.
         """
         if not slots:
             return
@@ -108,44 +123,80 @@ class SlotStore:
             body.observe(seen, F.collect_set("slot").alias("slots")).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(self.path(name))
         )
-        # The writer leaves slots without rows as they were; rows of an earlier write must go.
+        # The writer leaves slots without rows as they were; rows of an earlier write and appended ones must go. The
+        # slots say so before their files are removed, so that no reader looks for them.
         written = set(seen.get["slots"] or ())
-        for slot in slots:
-            if stamp(slot[0]) not in written:
+        emptied = [s for s in slots if stamp(s[0]) not in written]
+        appended = listing(self.spark, self._added_path(name))
+        shape = body.drop("slot").schema
+        if emptied:
+            self._declare(name, emptied, shape, {}, made_of)
+            for slot in emptied:
                 remove(self.spark, f"{self.path(name)}/slot={stamp(slot[0])}")
-        self._declare(name, slots, body.drop("slot").schema)
-
-    def append(self, name: str, df: DataFrame, slots: Sequence[Slot]) -> None:
-        """Add rows to slots that may hold some already."""
+        full = [s for s in slots if stamp(s[0]) in written]
+        if full:
+            self._declare(name, full, shape, self._row_counts(self.path(name), full), made_of)
+        for slot in slots:
+            if f"slot={stamp(slot[0])}" in appended:
+                remove(self.spark, f"{self._added_path(name)}/slot={stamp(slot[0])}")
+
+    def append(self, name: str, df: DataFrame, slots: Sequence[Slot], batch: str | None = None) -> None:
+        """Add rows to slots that may hold some already. A batch that is appended again replaces itself."""
+        label = batch or uuid.uuid4().hex
+        if not re.fullmatch(r"[\w.-]+", label):
+            raise ValueError("a batch is named by letters, digits, points, hyphens and underscores")
         body = df.withColumn("slot", F.date_format("slot_start", STAMP)).drop("slot_start")
-        body.write.mode("append").partitionBy("slot").parquet(self.path(name))
-        self._declare(name, slots, body.drop("slot").schema)
+        (
+            body.withColumn("batch", F.lit(f"b{label}")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch").parquet(self._added_path(name))
+        )
+        added = self._row_counts(self._added_path(name), slots)
+        before = self.entries(name, slots)
+        base = {stamp(s[0]): r.rows - (r.added or 0) for s, r in before.items()}
+        # Columns that only the rows before have stay readable.
+        shape = _merged_schema([*before.values(), T.Row(schema=body.drop("slot").schema.json())])
+        self._declare(name, slots, shape, base, {s: r.inputs for s, r in before.items()}, added)
+
+    def retract(self, name: str, slots: Sequence[Slot]) -> None:
+        """The slots count as absent from now on; their files stay until they are written again."""
+        held = [s for s in slots if s in self.entries(name, slots)]
+        if held:
+            self._declare(name, held, T.StructType([]), {}, None, status=STALE)
+
+    def _added_path(self, name: str) -> str:
+        return f"{self.root}/_added/{name}"
 
     def append_moment(self, name: str, df: DataFrame, start: datetime, end: datetime, step: Timescale) -> None:
         """Add rows to the slot a short range lies in."""
         slot = tile(start, end, step)[0]
         self.append(name, df.withColumn("slot_start", moment_lit(slot[0])), [slot])
 
-    def _declare(self, name: str, slots: Sequence[Slot], schema: T.StructType) -> None:
-        rows = self._row_counts(name, slots)
-        text = schema.json()
-        entries = [(stamp(s), epoch(s), epoch(e), rows.get(stamp(s), 0), text) for s, e in slots]
+    def _declare(
+        self, name: str, slots: Sequence[Slot], schema: T.StructType, rows: dict[str, int],
+        made_of: dict[Slot, Iterable[str] | None] | None = None, added: dict[str, int] | None = None, status: str = COMPLETE,
+    ) -> None:
+        text, made_of, added = schema.json(), made_of or {}, added or {}
+        entries = []
+        for slot in slots:
+            own, more, inputs = stamp(slot[0]), added.get(stamp(slot[0]), 0), made_of.get(slot)
+            inputs = None if inputs is None else sorted(inputs)
+            entries.append((own, epoch(slot[0]), epoch(slot[1]), rows.get(own, 0) + more, text, status, more, inputs))
+        shape = "slot string, start_epoch long, end_epoch long, rows long, schema string, status string, added long, inputs array<string>"
         (
-            self.spark.createDataFrame(entries, "slot string, start_epoch long, end_epoch long, rows long, schema string")
+            self.spark.createDataFrame(entries, shape)
             .withColumn("written_at", F.current_timestamp())
             .select(*[f.split()[0] for f in MANIFEST.split(", ")])
             .coalesce(1)
             .write.mode("append").parquet(self._manifest_path(name))
         )
 
-    def _row_counts(self, name: str, slots: Iterable[Slot]) -> dict[str, int]:
+    def _row_counts(self, root: str, slots: Iterable[Slot]) -> dict[str, int]:
         # Counting needs the file footers only, not the data.
-        folders = [f"{self.path(name)}/slot={stamp(s)}" for s, _ in slots]
-        there = listing(self.spark, self.path(name))
-        folders = [f for f in folders if f.rsplit("/", 1)[1] in there]
+        there = listing(self.spark, root)
+        folders = [f"{root}/{f}" for f in (f"slot={stamp(s)}" for s, _ in slots) if f in there]
         if not folders:
             return {}
-        counted = self.spark.read.option("basePath", self.path(name)).parquet(*folders).groupBy("slot").count()
+        counted = self.spark.read.option("basePath", root).parquet(*folders).groupBy("slot").count()
         return {r["slot"]: r["count"] for r in counted.collect()}
 
     def slots_of(self, name: str) -> list[Slot]:

@@ -335,7 +335,7 @@ def test_command_line(spark, site, capsys):
     assert "popularity_ua: 2 slots" in out and "ssl\nfind_ca" in out
 
 
-def test_user_features(spark, tmp_path):
+def test_recipes_added_by_callers(spark, tmp_path):
     reg = Registry()
 
     class Ones:
@@ -362,7 +362,7 @@ def test_user_features(spark, tmp_path):
 
 # -- plans
 
-NATIVE = [n for n in QUERIES if not n.startswith(("stream_", "resolve_", "slot_", "scan_", "autocorr", "period", "candidate", "acf_"))]
+NATIVE = [n for n in QUERIES if not n.startswith(("stream_", "resolve_", "slot_", "scan_", "late_", "autocorr", "period", "candidate", "acf_", "lowpass_"))]
 
 
 @pytest.mark.parametrize("name", NATIVE)

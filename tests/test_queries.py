@@ -8,7 +8,7 @@ from compare import compare, connect
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"acf_peaks", "periodicity", "periodicity_agg"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
