@@ -39,7 +39,7 @@ SSL_COLUMNS = (
 MATCH_COLUMNS = ("id_orig_h", "id_resp_h", "id_orig_p", "id_resp_p", "anon_orig", "anon_resp", "ts", "uid")
 
 
-def build_registry(every_column: bool = False) -> Registry:
+def build_registry(every_column: bool = True) -> Registry:
     """A registry with every feature; add further ones with its decorator. ``every_column`` is that of the log loaders."""
     reg = Registry()
     _raw(reg, every_column)

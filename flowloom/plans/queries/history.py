@@ -13,9 +13,9 @@ EXPIRY = 3
 def _history_sql(seen: str, keys: str, extra: str) -> str:
     join = " AND ".join(f"d.{k.strip()} = h.{k.strip()}" for k in keys.split(","))
     return f"""seen AS ({seen}), calendar AS (SELECT DISTINCT day FROM seen),
-    marked AS (SELECT {keys}, day, lead(day) OVER w AS nxt,
-        CASE WHEN lag(day) OVER w IS NULL OR day - lag(day) OVER w > {EXPIRY} THEN 1 ELSE 0 END AS fresh
-      FROM seen WINDOW w AS (PARTITION BY {keys} ORDER BY day)),
+    around AS (SELECT {keys}, day, lead(day) OVER w AS nxt, lag(day) OVER w AS prev FROM seen WINDOW w AS (PARTITION BY {keys} ORDER BY day)),
+    marked AS (SELECT *, CASE WHEN prev IS NULL OR (SELECT count(*) FROM calendar c WHERE c.day >= a.prev + {EXPIRY} AND c.day < a.day) > 0 THEN 1 ELSE 0 END AS fresh
+      FROM around a),
     runs AS (SELECT *, sum(fresh) OVER (PARTITION BY {keys} ORDER BY day) AS run FROM marked),
     shown AS (SELECT {', '.join('r.' + k.strip() for k in keys.split(','))}, r.run, c.day, r.day AS lastseen_date
       FROM runs r JOIN calendar c ON c.day >= r.day AND c.day < r.day + {EXPIRY} AND (r.nxt IS NULL OR c.day < r.nxt)),

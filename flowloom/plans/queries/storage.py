@@ -5,6 +5,7 @@ Files are written below the shared folder the session names, from the given tabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,8 @@ from flowloom.plans.queries.bindings import NAMED, WEB, Tables, query
 from flowloom.plans.queries.popularity import DAILY_HOST, _extreme_sql
 from flowloom.plans.queries.tables import _report_lines
 from flowloom.plans.registry import Feature
-from flowloom.plans.resolve import Resolver
-from flowloom.plans.slots import HALF_HOUR, Slot, epoch, from_epoch
+from flowloom.plans.resolve import Resolver, Settings, in_runs
+from flowloom.plans.slots import HALF_HOUR, Slot, from_epoch
 from flowloom.plans.store import SlotStore
 from flowloom.sources.feeds import scan_csv
 from flowloom.sources.logs import scan_json
@@ -29,31 +30,30 @@ DAY_SECONDS = 86400
 
 
 class TableLoader:
-    """A table with a time column as a raw feature in half-hour slots; every slot is there."""
+    """A table with a time column as a raw feature in half-hour slots; every slot is there but those ``hidden``."""
 
-    def __init__(self, table: DataFrame, ts: str = "ts"):
+    def __init__(self, table: DataFrame, ts: str = "ts", hidden: Callable[[datetime], bool] = lambda start: False):
         self.table = table.withColumn("slot_start", F.window(ts, "30 minutes")["start"])
+        self.hidden = hidden
 
     def available(self, spark: SparkSession, root: str, slots: list[Slot]) -> set[Slot]:
-        return set(slots)
+        return {s for s in slots if not self.hidden(s[0])}
 
     def read(self, spark: SparkSession, root: str, slots: list[Slot]) -> DataFrame:
-        low, high = min(s for s, _ in slots), max(e for _, e in slots)
-        start, end = [F.timestamp_seconds(F.lit(epoch(m))) for m in (low, high)]
-        return self.table.where((F.col("ts") >= start) & (F.col("ts") < end))
+        return self.table.where(in_runs("slot_start", sorted(slots)))
 
     def empty(self, spark: SparkSession) -> DataFrame:
         return self.table.where(F.lit(False))
 
 
-def _resolver(t: Tables) -> tuple[Resolver, datetime, datetime]:
-    web = t.web()
+def _resolver(t: Tables, settings: Settings | None = None) -> tuple[Resolver, datetime, datetime]:
+    web = t.web().withColumn("anon_host", F.col("user_agent"))
     registry = build_registry()
     registry.entries["http"] = Feature("http", HALF_HOUR, loader=TableLoader(web))
     low, high = web.agg(F.unix_timestamp(F.min("ts")), F.unix_timestamp(F.max("ts"))).first()
     first = from_epoch(low // DAY_SECONDS * DAY_SECONDS)
     last = from_epoch(high // DAY_SECONDS * DAY_SECONDS + DAY_SECONDS)
-    return Resolver(t.spark, registry, shared_dir(t.spark, "store")), first, last
+    return Resolver(t.spark, registry, shared_dir(t.spark, "store"), settings=settings), first, last
 
 
 @query(

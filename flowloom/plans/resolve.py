@@ -115,9 +115,15 @@ class Resolver:
         self, name: str, start: datetime, end: datetime, columns: Sequence[str] | None = None
     ) -> DataFrame:
         """What is stored in the range; nothing is computed."""
+        return self.load_available_slots(name, start, end, columns).drop("slot_start")
+
+    def load_available_slots(
+        self, name: str, start: datetime, end: datetime, columns: Sequence[str] | None = None
+    ) -> DataFrame:
+        """What is stored in the range, with the slot of each row."""
         feature = self.registry[name]
         frame = self.store.read(name, tile(start, end, feature.timescale), columns)
-        return (frame if frame is not None else self._empty(feature, columns)).drop("slot_start")
+        return frame if frame is not None else self._empty(feature, columns)
 
     def status(self, name: str, start: datetime, end: datetime) -> list[tuple[Slot, bool]]:
         """Every slot of the range and whether it is stored."""

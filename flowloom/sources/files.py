@@ -51,3 +51,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder with all it holds, if it exists."""
     target = _path(spark, folder)
     _fs(spark, target).delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder another path, if it exists."""
+    old, new = _path(spark, source), _path(spark, target)
+    fs = _fs(spark, old)
+    if fs.exists(old):
+        fs.mkdirs(new.getParent())
+        fs.rename(old, new)

@@ -103,7 +103,7 @@ class LogLoader:
     ``every_column`` keeps the columns of the files that the schema does not name, at the cost of a pass to find them.
     """
 
-    def __init__(self, kind: str, schema: str | T.StructType | None = None, subnets=SITE_SUBNETS, every_column: bool = False):
+    def __init__(self, kind: str, schema: str | T.StructType | None = None, subnets=SITE_SUBNETS, every_column: bool = True):
         self.kind = kind
         self.every_column = every_column
         self._schema = schema or LOG_SCHEMAS[log_type(kind)]

@@ -85,3 +85,33 @@ def test_daily_hosts_drop_nulls_and_name_blanks(spark):
         "host string, id_resp_h string, anon_host string",
     )
     assert sorted(tuple(r) for r in history.daily_hosts(df).collect()) == [("h", "s"), ("missing_3.3.3.3", "s")]
+
+
+def test_continued_from_a_stored_state_equals_the_steps(spark):
+    """From any day's state, over days on which nothing is seen and keys that went out of the table of dates."""
+    rng = random.Random(13)
+    keys = ["host", "site"]
+    cols = [*keys, "firstseen_date", "lastseen_date", "firstseen_log_type", "lastseen_log_type", "count_since_firstseen", "days_since_firstseen", "days_since_lastseen", "isIP"]
+    seen = sorted({(BASE + timedelta(days=d), h, s) for d in range(12) for h in "abcde" for s in "xy" if rng.random() < 0.2 and d != 5})
+    # The calendar has a day on which nothing is seen, and two without input.
+    calendar = [BASE + timedelta(days=d) for d in range(12) if d not in (3, 8)]
+    for expiry in (2, 3):
+        schema = history.empty_history(spark, keys).schema
+        states, state = {}, history.empty_history(spark, keys)
+        for day in calendar:
+            today = spark.createDataFrame([k[1:] for k in seen if k[0] == day], "host string, site string")
+            state = spark.createDataFrame(history.history_step(state, today, day, keys, "SSL" if day < calendar[4] else "HTTP", expiry).collect(), schema)
+            states[day] = sorted(tuple(r[c] for c in cols) for r in state.collect())
+        for at in (None, calendar[3]):
+            later = [d for d in calendar if at is None or d > at]
+            rows = [] if at is None else states[at]
+            begin = spark.createDataFrame([dict(zip(cols, r)) for r in rows], schema) if rows else history.empty_history(spark, keys)
+            known = spark.createDataFrame([k for k in seen if k[0] in later], "day date, host string, site string")
+            kind = "HTTP" if at else "SSL"
+            got = history.history_continued(begin, known, later, keys, log_type=kind, expiry=expiry).collect()
+            for day in later:
+                if at or day < calendar[4]:
+                    assert sorted(tuple(r[c] for c in cols) for r in got if r.day == day) == states[day]
+    old = spark.createDataFrame([("h", "s", date(2020, 1, 1), date(2020, 1, 2), "HTTP", "HTTP", 5, 1, 1, 0)], schema)
+    none = spark.createDataFrame([], "day date, host string, site string")
+    assert history.history_continued(old, none, calendar, keys).count() == 0

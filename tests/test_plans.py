@@ -362,7 +362,7 @@ def test_recipes_added_by_callers(spark, tmp_path):
 
 # -- plans
 
-NATIVE = [n for n in QUERIES if not n.startswith(("stream_", "resolve_", "slot_", "scan_", "late_", "autocorr", "period", "candidate", "acf_", "lowpass_"))]
+NATIVE = [n for n in QUERIES if not n.startswith(("stream_", "resolve_", "slot_", "scan_", "late_", "missing_", "load_", "backfill", "autocorr", "period", "candidate", "acf_", "lowpass_"))]
 
 
 @pytest.mark.parametrize("name", NATIVE)

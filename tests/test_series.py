@@ -132,3 +132,19 @@ def test_noise_threshold_is_near_the_permuted_one(spark):
     analytic = spark.createDataFrame([(float(mean),)], "psd_mean double").select(periodicity.noise_threshold()).first()[0]
     permuted = spectral.permutation_threshold(x)
     assert analytic == pytest.approx(permuted, rel=0.25)
+
+
+def test_shuffles_are_those_of_md5():
+    import hashlib
+
+    orders = spectral.permutations(30, 4)
+    assert [sorted(o) for o in orders.tolist()] == [list(range(30))] * 4 and len({tuple(o) for o in orders.tolist()}) == 4
+    assert orders[2].tolist() == sorted(range(30), key=lambda i: hashlib.md5(f"2:{i}".encode()).hexdigest())
+
+
+def test_chance_of_t(spark):
+    """Known two-sided points of Student's distribution, and its symmetry."""
+    known = [(1, 12.706205, 0.05), (2, 4.302653, 0.05), (5, 2.570582, 0.05), (10, 3.169273, 0.01), (19, 2.093024, 0.05), (60, 2.000298, 0.05), (1000, 2.580755, 0.01), (7, 0.0, 1.0)]
+    df = spark.createDataFrame([(v, t, p) for v, t, p in known] + [(v, -t, p) for v, t, p in known], "v int, t double, p double")
+    for r in df.withColumn("got", periodicity.t_probability(F.col("t"), F.col("v"))).collect():
+        assert r.got == pytest.approx(r.p, abs=2e-6)
