@@ -11,8 +11,9 @@ its pseudonym in every spelling. In a mail address each letter and digit of the
 One regular expression cuts a text into matches and the gaps between them; all else is done to the matches, and the text
 is put together again. Rows are independent: no shuffle.
 
-A short number after a telephone number, parted by a single blank, is taken for its last group if it fits. Any window of
-groups that passes Luhn counts as a card, so about one in ten of the windows in a list of plain numbers does too.
+A short number after a telephone number, parted by a single blank, is taken for its last group if it fits. A card is one group
+or has a card's usual groups, and begins with digits that are given to issuers. In a run of more digits than two cards have,
+groups are cards only if the whole run is cards; so lists of plain numbers stay.
 
 Defined cases: a null text stays null, an empty one empty, with counts 0. Numbers that do not validate stay as they are.
 Repeated rows change alike. Columns named like a result column are replaced by it, others are carried.
@@ -39,10 +40,14 @@ CODE = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 #: A group of digits that begins one of these is not part of the telephone or card number before it.
 _OTHER = rf"(?!{DATE}|{IP}|{SSN}|[A-Za-z0-9._%+-]{{1,64}}@)"
 _CARD_SHAPE = r"(?!\d{4}[ -]\d{4}[ -]\d{4}[ -]\d|\d{4}[ -]\d{6}[ -]\d|\d{13})"
-PHONE = rf"\+(?!\d+\.\d+(?!\d|\.\d)){CODE}(?:\.?\(?\d\)?|[ /-]{_OTHER}{_CARD_SHAPE}\(?\d\)?){{7,12}}"
+#: Numbers of country code 1 have ten further digits, in one group or as 3-3-4.
+_NORTH = r"(?!1(?!\d{10}(?!\d)|[ ./-]?\(?\d{3}\)?[ ./-]?\d{3}[ ./-]?\d{4}(?!\d)))"
+PHONE = rf"\+(?!\d+\.\d+(?!\d|\.\d)){_NORTH}{CODE}(?:\.?\(?\d\)?|[ /-]{_OTHER}{_CARD_SHAPE}\(?\d\)?){{7,12}}"
 #: A run of digits of any length, in which cards are looked for; possessive, as Java's regular expressions recurse otherwise.
 RUN = rf"\d(?:\d|[ -]{_OTHER}\d){{12,}}+"
 CARD_MIN, CARD_MAX = 13, 19
+#: First digits that the large card networks issue.
+ISSUER = r"^(?:4|5[0-9]|6[0-9]|3[0-9]|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)|1800|2131|2014|2149|9792|220[0-4]|8[16])"
 PATTERN = rf"{EMAIL}|(?<![\d.]){DATE}|(?<![\d.]){IP}|(?<![\d-]){SSN}|(?<!\d){PHONE}(?!\d)|(?<!\d){RUN}"
 
 
@@ -106,7 +111,7 @@ def _card(digits: Column, key: str) -> Column:
 def _cards(m: Column, key: str) -> Column:
     """(n, new): the cards in a run of groups of digits, and the run with them replaced; new is null without any.
 
-    All windows of whole groups are tried. Of valid ones that overlap, one of a card's usual shape goes first, then the longer.
+    All windows of whole groups are tried. Of valid ones that overlap the longer goes first.
     """
     def valid(groups):
         def window(i, k):
@@ -114,11 +119,16 @@ def _cards(m: Column, key: str) -> Column:
             shape = F.array_join(F.transform(part, lambda g: F.length(g).cast("string")), "-")
             usual = (k == 1) | shape.rlike("^(?:4-4-4-4(?:-[1-3])?|4-6-[45])$")
             digits = F.array_join(part, "")
-            return F.struct(F.when(usual, 0).otherwise(1).alias("rank"), (-F.length(digits)).alias("less"), i.alias("i"), k.alias("k"), digits.alias("digits"))
+            card = usual & digits.rlike(ISSUER) & F.length(digits).between(CARD_MIN, CARD_MAX)
+            return F.struct(card.alias("card"), (-F.length(digits)).alias("less"), i.alias("i"), k.alias("k"), digits.alias("digits"))
 
         starts = F.sequence(F.lit(1), F.size(groups))
         windows = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(CARD_MAX), F.size(groups) - i + 1)), lambda k: window(i, k))))
-        return F.array_sort(F.filter(windows, lambda w: (-w["less"]).between(CARD_MIN, CARD_MAX) & (luhn_sum(w["digits"]) % 10 == 0)))
+        found = F.filter(windows, lambda w: w["card"] & (luhn_sum(w["digits"]) % 10 == 0))
+        # Of a long run of fours, those windows that would make cards of all of it count, or none.
+        long = F.length(F.array_join(groups, "")) > 2 * CARD_MAX
+        even = F.size(F.filter(found, lambda w: (w["k"] == 4) & (w["i"] % 4 == 1))) * 4 == F.size(groups)
+        return F.array_sort(F.filter(found, lambda w: ~long | (w["k"] == 1) | (even & (w["k"] == 4) & (w["i"] % 4 == 1))))
 
     def apart(found):
         clash = lambda w, o: (o["i"] < w["i"] + w["k"]) & (w["i"] < o["i"] + o["k"])

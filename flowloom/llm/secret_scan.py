@@ -27,7 +27,11 @@ from flowloom.llm.common import staged, words_of
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: Names that secrets are assigned to.
 SECRET_NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "access_key", "private_key", "auth", "credential")
-ASSIGNMENT = rf"(?i:{'|'.join(SECRET_NAMES)})[A-Za-z0-9_]*[\"']?\s*[:=]+>?\s*"
+#: A name is a whole part of a word: ``auth`` and ``client_auth``, also ``clientAuth``, but not ``author``; value and name share a line.
+_NAME = rf"(?:(?<![A-Za-z])(?i:{'|'.join(SECRET_NAMES)})|(?<=[a-z])(?:{'|'.join(n.title() for n in SECRET_NAMES)}))(?![A-Za-z])(?:[0-9]|_[A-Za-z0-9]+)*+_?"
+ASSIGNMENT = rf"{_NAME}[\"']?[ \t]*[:=]+>?[ \t]*"
+#: A name that ends a phrase, with a colon: prose, no assignment.
+_PROSE = rf"[A-Za-z]{{2,}} {_NAME}:[ \t]*$"
 #: What is assigned: all within quotes, or all up to a blank or the next name of a list; possessive, as Java recurses otherwise.
 _QUOTED = r"\"(?:[^\"\\\n]|\\.)++\"|'(?:[^'\\\n]|\\.)++'"
 _BARE = r"(?!\"\"|'')(?:(?![&,;][\"']?[A-Za-z_][A-Za-z0-9_.-]*[\"']?\s?[:=])\S)++"
@@ -82,8 +86,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def distant_labels(found: DataFrame) -> Column:
-    """1 for a value assigned to a secret's name, with letters and digits; else 0."""
-    assigned = F.col("before").rlike(rf"{ASSIGNMENT}[\"']?$")
+    """1 for a value assigned to a secret's name, with letters and digits, and not by a colon in prose; else 0."""
+    assigned = F.col("before").rlike(rf"{ASSIGNMENT}[\"']?$") & ~F.col("before").rlike(_PROSE)
     return (assigned & F.col("value").rlike("[0-9]") & F.col("value").rlike(r"\p{L}")).cast("double")
 
 

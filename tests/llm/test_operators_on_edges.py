@@ -273,3 +273,21 @@ def test_sample_holds_each_document_once(spark):
     model = quality.train(docs(spark, rows), labels, "quality", F.lit(True), sample=20)
     again = quality.train(docs(spark, rows).repartition(7), labels, "quality", F.lit(True), sample=20)
     assert (model.weights == again.weights).all() and model.bias == again.bias
+
+
+def test_prose_is_no_assignment(spark):
+    texts = {1: "Author: Smith2021", 2: "max tokens: 512k", 3: "authors = 3rd", 4: "authority: ISO9001", 5: "the secret: 4chan", 6: "authentication: oauth2", 7: "password:\n\nChapter7",
+             8: "clientSecret = a1b2", 9: "client_secret: a1b2", 10: "auth2 = a1b2", 11: "tokenizer = bpe32k", 12: "the secret = a1b2"}
+    found = secret_scan.candidates(docs(spark, list(texts.items())))
+    labels = {r.doc_id: (r.value, r.label) for r in found.withColumn("label", secret_scan.distant_labels(found)).collect()}
+    assert labels == {5: ("4chan", 0.0), 8: ("a1b2", 1.0), 9: ("a1b2", 1.0), 10: ("a1b2", 1.0), 12: ("a1b2", 1.0)}
+
+
+def test_lists_of_numbers_stay(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"{rng.randrange(1000, 10000)}" for _ in range(12))) for i in range(300)]
+    rows += [(500, "2015 2016 2017 2018 2019 2020 2021 2022"), (501, "ticket +1 2345 6789 10"), (502, "1234567812345670"), (503, "1111 1111 1111 1117")]
+    cards = "4111 1111 1111 1111 5500 0000 0000 0004 4012 8888 8888 1881"
+    got = {r.doc_id: r for r in pseudonyms.pseudonymised(docs(spark, [*rows, (600, cards), (601, "4111111111111111 " * 5), (602, "+1 415 555 0133 and +14155550133")]), "key").collect()}
+    assert sum(got[i].text != t for i, t in rows) == 0
+    assert got[600].n_card == 3 and got[601].n_card == 5 and got[602].n_phone == 2
