@@ -7,9 +7,9 @@
    with a chance of 7e-9. Their sets are written once.
 3. Two rounds of stars: each class is compared with the smallest, then with the largest id of its buckets, links are
    confirmed by intersecting full sets, and linked classes are united. This is linear in the size of a bucket.
-4. What is left are pairs of one bucket in different components. All of them are checked, none is capped: first by a
-   bound (shingles that no other component has cannot be shared, so the intersection is at most what is left of either
-   set), then on full sets. A pair is checked in one of the buckets it shares.
+4. What is left are pairs in different components, among classes of a bucket with more than one component. An index of
+   each set's rarest shingles, long enough that no similar pair can miss each other in it, gives the pairs that can
+   be similar; these alone, and all of these, are checked on full sets. Nothing is capped.
 5. Union-find: each task unites the edges it holds, then roots hook onto their smallest neighbour and paths are
    compressed, in joins, until no edge joins two roots. No list of links or components reaches the driver.
 
@@ -20,6 +20,8 @@ Ties cannot occur: components are named by their smallest id. Other columns are
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +32,8 @@ from flowloom.llm.shingles import CHUNK_BYTES, WIDTH, band_keys, chunks, mix, sh
 
 PERCENT = 85
 BANDS, ROWS = 32, 5
+#: Ratio of sizes within a size class of the shingle index.
+CLASS = 1.02
 
 
 def _sets(batch) -> list:
@@ -158,25 +162,50 @@ def _close(a, b, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _class(n):
+    """The size class of a set; sizes of one class differ by a factor of CLASS at most."""
+    return F.floor(F.log(n) / math.log(CLASS)).cast("int")
+
+
+def _prefix(n, other, percent: int):
+    """How many of a set's rarest shingles are enough to meet one of a similar set of ``other`` shingles or more."""
+    shared = F.floor((percent * (n + other) + 99 + percent) / (100 + percent))
+    return (n - shared + 1).cast("int")
+
+
 def _rest(keys: DataFrame, sets: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
-    """All pairs (a, b) of one bucket and two components that a bound on their intersection leaves open."""
+    """Pairs (a, b) of two components, in buckets of more than one, that share a shingle of their prefixes.
+
+    All shingles have one order, the rarest first. Similar sets of n and m shingles share at least one of the first
+    n - c + 1 and m - c + 1, c the least common number. So pairs of sets that have more rare shingles of their own than
+    similar ones could, as pages of one template have, never meet, and no pair is lost. The prefix depends on
+    the sizes of both: each is listed for every size class that a similar set can be of.
+    """
     keys = _labelled(keys, labels)
     mixed = keys.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    keys = staged(keys.join(mixed, "key", "left_semi"), "open-keys")
-    nodes = keys.select("id", "n", "label").distinct()
-    # Shingles that more than one component has; a set can share no others with a set of another component.
-    items = sets.join(nodes, "id").select("id", "label", F.explode("items").alias("item"))
-    common = items.groupBy("item").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("item")
-    most = items.join(common, "item", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("most"))
-    members = keys.join(most, "id").where(100 * F.col("most") >= percent * F.col("n"))
-    own = members.groupBy("id").agg(F.collect_list("key").alias("own"))
-    members = staged(members.join(own, "id"), "open-members")
-    x, y = (members.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "label", "most", "own")]) for p in ("x", "y"))
-    shared = F.least("x_most", "y_most")
-    bound = 100 * shared >= percent * (F.col("x_n") + F.col("y_n") - shared)
-    here = F.array_min(F.array_intersect("x_own", "y_own")) == x["key"]
-    pairs = x.join(y, (x["key"] == y["key"]) & (F.col("x_label") < F.col("y_label")) & bound & here)
-    return pairs.select(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
+    nodes = staged(keys.join(mixed, "key", "left_semi").select("id", "n", "label").distinct(), "open-nodes")
+    items = sets.join(nodes, "id").select("id", "n", "label", F.explode("items").alias("item"))
+    often = items.groupBy("item").agg(F.count(F.lit(1)).alias("often"), (F.min("label") < F.max("label")).alias("common"))
+    ranked = items.join(often, "item").groupBy("id").agg(
+        F.first("n").alias("n"), F.first("label").alias("label"), F.array_sort(F.collect_list(F.struct("often", "item", "common"))).alias("ranked"))
+    n = F.col("n")
+    least = F.ceil(n * percent / 100)
+    shown = ranked.select("id", "n", "label", "ranked", _class(n).alias("own"), F.explode(F.sequence(_class(least) - 1, _class(F.floor(n * 100 / percent)) + 1)).alias("other"))
+    smallest = F.greatest(F.floor(F.pow(F.lit(CLASS), F.col("other"))) - 1, least)
+    shown = shown.withColumn("length", _prefix(n, smallest, percent)).where("length > 0")
+    listed = shown.select("id", "n", "label", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.posexplode(F.slice("ranked", F.lit(1), F.col("length"))).alias("place", "shingle"))
+    listed = staged(listed.where("shingle.common").select("id", "n", "label", "own", "lo", "hi", "place", F.col("shingle.item").alias("item")), "prefixes")
+    # A shingle that only one component lists joins nothing.
+    met = listed.groupBy("item", "lo", "hi").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("item", "lo", "hi")
+    listed = listed.join(met, ["item", "lo", "hi"], "left_semi")
+    x, y = (listed.select("item", "lo", "hi", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "label", "own", "place")]) for p in ("x", "y"))
+    sizes = _close("x_n", "y_n", percent) & (F.col("x_own") + F.col("y_own") == x["lo"] + x["hi"])
+    most = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
+    enough = (100 + percent) * most >= percent * (F.col("x_n") + F.col("y_n"))
+    here = (x["item"] == y["item"]) & (x["lo"] == y["lo"]) & (x["hi"] == y["hi"])
+    # The first shingle that a pair shares bounds all it can share.
+    pairs = x.join(y, here & (F.col("x_label") < F.col("y_label")) & sizes).groupBy("x_id", "y_id").agg(F.max(F.struct(most.alias("most"), enough.alias("enough"))).alias("first"))
+    return pairs.where("first.enough").select(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

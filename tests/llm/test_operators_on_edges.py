@@ -291,3 +291,23 @@ def test_lists_of_numbers_stay(spark):
     got = {r.doc_id: r for r in pseudonyms.pseudonymised(docs(spark, [*rows, (600, cards), (601, "4111111111111111 " * 5), (602, "+1 415 555 0133 and +14155550133")]), "key").collect()}
     assert sum(got[i].text != t for i, t in rows) == 0
     assert got[600].n_card == 3 and got[601].n_card == 5 and got[602].n_phone == 2
+
+
+@pytest.mark.parametrize("own, linked", [(0.04, True), (0.12, False)])
+def test_pages_of_one_template_do_not_all_meet(spark, own, linked):
+    """A family below the threshold makes few pairs for the full check, one above it a single component."""
+    rng = random.Random(int(own * 100))
+    template = [f"t{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        words = template + [f"p{i}x{k}" for k in range(int(300 * own / (1 - own)))]
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"{rows[0][1]} end{i}") for i in range(3)]
+    rng.shuffle(rows)
+    df = docs(spark, rows)
+    keys, sets = spark.createDataFrame([(i, len(set(zip(*[t.split()[k:] for k in range(5)]))), 1) for i, t in rows], "id long, n long, key long"), near_dedup._full_sets(df, df.select(F.col("doc_id").alias("id")), "doc_id", "text")
+    pairs = near_dedup._rest(keys, sets, None, 85)
+    links = near_dedup.linked(pairs, sets, 85).count()
+    assert links == (123 * 122 // 2 if linked else 6) and pairs.count() <= max(links, 20)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
+    assert len(set(got.values())) == (1 if linked else 120)
