@@ -1,14 +1,13 @@
 """HTML extraction by site template removal.
 
 Pages are parsed into element trees. Every element below the body has a hash over its subtree (tag, class, id, text and
-children). In Spark the hashes are counted per host, once a page and summed map-side; a subtree on many pages of a host is
-template: it is deleted from every page of the host that has it. Elements whose tag, role, class or id names a part that is
-never main text (navigation, headers, footers, sidebars, notices, adverts, forms, comments) are deleted everywhere, as some
-of them, like adverts, change from page to page. What remains of the article (or of the body, if a page marks none) is cut
-into blocks.
-
-"Many" is MIN_PAGES pages and SHARE of the host's pages outside an article. Inside an article, where copied articles share
-true paragraphs, an element goes only if at least INNER_SHARE of the host's pages have it, over INNER_PAGES pages at least.
+children). In Spark the hashes are counted per host, by distinct articles: a marked article is told by its longest text, so
+that copies of one, which share true paragraphs, count once; a page that marks none by all its text. A subtree that at least MIN_ARTICLES articles and SHARE of all
+articles of a host have is template: it is deleted from every page of the host that has it, inside an article as outside.
+Elements whose tag, role, class or id names a part that is never main text (navigation, headers, footers, sidebars,
+notices, adverts, forms, comments) are deleted everywhere, as some of them, like adverts, change from page to page. Within an
+article a name must be the whole class or id, or made up of such words and words for a box; headings, and headers that
+have one, stay. What remains of the article (or of the body, if a page marks none) is cut into blocks.
 
 Only hashes move between pages. The subtrees to delete beyond the named parts are few; they are written per page, and
 Spark joins them to the pages by their size: broadcast if small, else by page.
@@ -31,8 +30,7 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.common import staged
 
-MIN_PAGES, SHARE = 3, 0.1
-INNER_PAGES, INNER_SHARE = 20, 0.8
+MIN_ARTICLES, SHARE = 3, 0.6
 
 # Fixed values of HTML.
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
@@ -56,6 +54,13 @@ DROPPED_NAMES = frozenset((
     "footer", "header", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "replies", "share",
     "sharing", "sidebar", "social", "sponsored", "subscribe", "toolbar", "widget",
 ))
+#: Words for a box, which add nothing to the name of a part.
+BOX_NAMES = frozenset((
+    "area", "bar", "block", "body", "bottom", "box", "buttons", "container", "content", "form", "group", "inner", "item", "left", "link", "links", "list",
+    "outer", "panel", "post", "right", "section", "signup", "site", "slot", "thread", "top", "unit", "wrap", "wrapper",
+))
+COMMENT_NAMES = frozenset(("comment", "comments", "replies", "reply"))
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?:/?[a-zA-Z])[^>]*\Z", re.S
 )
@@ -75,11 +80,35 @@ class Element:
             else:
                 self.names += " " + value
 
-    def dropped(self) -> bool:
-        """Whether this part is never main text, by name."""
+    def dropped(self, inside: bool = False) -> bool:
+        """Whether this part is never main text, by name; ``inside``: it stands within the marked main text."""
+        if self.tag == "header" and inside and self.has_heading():
+            return False
         if self.tag in DROPPED_TAGS or self.role in DROPPED_ROLES:
             return True
-        return self.tag not in ("html", "body", "article", "main") and any(w.lower() in DROPPED_NAMES for w in _WORD.findall(self.names))
+        if self.tag in ("html", "body", "main"):
+            return False
+        words = {w.lower() for w in _WORD.findall(self.names)}
+        if self.tag == "article":
+            return not words.isdisjoint(COMMENT_NAMES)
+        if not inside:
+            return not words.isdisjoint(DROPPED_NAMES)
+        if self.tag in HEADINGS:
+            return False
+        for name in self.names.lower().split():
+            parts = {w for w in _WORD.findall(name) if not w.isdigit()}
+            if not parts.isdisjoint(DROPPED_NAMES) and parts <= DROPPED_NAMES | BOX_NAMES:
+                return True
+        return False
+
+    def has_heading(self) -> bool:
+        stack = [self]
+        while stack:
+            e = stack.pop()
+            if e.tag in HEADINGS:
+                return True
+            stack += [c for c in e.children if isinstance(c, Element)]
+        return False
 
     def hashed(self) -> int:
         """Set and return the hash of the subtree; a signed 64-bit number. Deep trees are walked without recursion."""
@@ -144,7 +173,7 @@ def content(root: Element) -> tuple[list[Element], bool]:
         found, stack = [], [root]
         while stack:
             e = stack.pop()
-            if e.tag == tag or (tag == "main" and e.role == "main"):
+            if (e.tag == tag and not e.dropped()) or (tag == "main" and e.role == "main"):
                 found.append(e)
             elif not e.dropped():
                 stack += [c for c in reversed(e.children) if isinstance(c, Element)]
@@ -153,20 +182,34 @@ def content(root: Element) -> tuple[list[Element], bool]:
     return [root], False
 
 
-def subtrees(root: Element) -> Iterator[tuple[int, bool]]:
-    """(hash, inside the marked main text) of each element that is not dropped by name and has text or children."""
+def _walk(root: Element) -> Iterator[tuple[Element, bool]]:
+    """(element, inside the marked main text) of all elements that are not dropped by name."""
     parts, marked = content(root)
-    root.hashed()
     inner = {id(e) for e in parts} if marked else set()
     stack = [(root, False)]
     while stack:
         e, inside = stack.pop()
-        if e.dropped():
-            continue
+        if not e.dropped(inside):
+            yield e, inside
+            inside = inside or id(e) in inner
+            stack += [(c, inside) for c in e.children if isinstance(c, Element)]
+
+
+def subtrees(root: Element) -> Iterator[tuple[int, bool]]:
+    """(hash, inside the marked main text) of each element that is not dropped by name and has text or children."""
+    root.hashed()
+    for e, inside in _walk(root):
         if e is not root and e.tag not in ("html", "body", "article", "main") and e.children:
             yield e.hash, inside
-        inside = inside or id(e) in inner
-        stack += [(c, inside) for c in e.children if isinstance(c, Element)]
+
+
+def article_of(root: Element) -> int:
+    """What tells articles apart: a hash of the longest text of the marked main part, or of all text if a page marks none."""
+    parts, marked = content(root)
+    inner = {id(e) for e in parts}
+    texts = [" ".join(c.split()) for e, inside in _walk(root) if inside or not marked or id(e) in inner for c in e.children if isinstance(c, str)]
+    told = max(texts, key=lambda t: (len(t), t), default="") if marked else "\n".join(texts)
+    return xxhash.xxh3_64_intdigest(told.encode("utf-8", "replace")) - (1 << 63)
 
 
 def main_text(root: Element, deleted: frozenset[int] | set[int] = frozenset()) -> str:
@@ -179,7 +222,7 @@ def main_text(root: Element, deleted: frozenset[int] | set[int] = frozenset()) -
             blocks.append(text)
         held.clear()
 
-    parts, _ = content(root)
+    parts, inside = content(root)
     stack: list = list(reversed(parts))
     while stack:
         e = stack.pop()
@@ -189,7 +232,7 @@ def main_text(root: Element, deleted: frozenset[int] | set[int] = frozenset()) -
             held.append(e)
         elif e.tag == "br":
             held.append(" ")
-        elif not (e.dropped() or e.hash in deleted):
+        elif not (e.dropped(inside) or e.hash in deleted):
             if e.tag in BLOCKS:
                 close()
                 stack.append(None)
@@ -207,21 +250,23 @@ def template_subtrees(pages: DataFrame, id_col: str, url_col: str, html_col: str
 
     def run(batches):
         for batch in batches:
+            rows: tuple[list, list, list, list] = ([], [], [], [])
             for page_id, host, text in zip(*(batch.column(c).to_pylist() for c in ("page_id", "host", "html"))):
-                own = dict(subtrees(parsed(text or "")))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([page_id] * len(own), pa.int64()), pa.array([host] * len(own), pa.string()), pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.bool_())],
-                    ["page_id", "host", "hash", "inside"],
-                )
+                root = parsed(text or "")
+                own = [None, *dict.fromkeys(h for h, _ in subtrees(root))]  # a null hash stands for the page itself
+                for column, values in zip(rows, ([page_id] * len(own), [host] * len(own), [article_of(root)] * len(own), own)):
+                    column.extend(values)
+            types = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], ["page_id", "host", "article", "hash"])
 
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    found = staged(source.mapInArrow(run, "page_id long, host string, hash long, inside boolean"), "subtrees")
-    sizes = source.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = found.groupBy("host", "hash", "inside").agg(F.count(F.lit(1)).alias("n")).join(sizes, "host")
-    inner = (F.col("n") >= INNER_PAGES) & (F.col("n") >= INNER_SHARE * F.col("pages"))
-    outer = (F.col("n") >= MIN_PAGES) & (F.col("n") >= SHARE * F.col("pages"))
-    repeated = staged(counts.where(F.when(F.col("inside"), inner).otherwise(outer)).select("host", "hash", "inside"), "templates")
-    hits = found.join(repeated, ["host", "hash", "inside"])
+    found = staged(source.mapInArrow(run, "page_id long, host string, article long, hash long"), "subtrees")
+    # Distinct articles with a subtree: first one row for each, which a task does for its own rows before the shuffle.
+    counts = found.select("host", "hash", "article").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.where("hash is null").select("host", F.col("n").alias("articles"))
+    repeated = counts.where((F.col("hash").isNotNull()) & (F.col("n") >= MIN_ARTICLES)).join(sizes, "host").where(F.col("n") >= SHARE * F.col("articles"))
+    repeated = staged(repeated.select("host", "hash"), "templates")
+    hits = found.join(repeated, ["host", "hash"])
     return staged(hits.groupBy("page_id").agg(F.collect_set("hash").alias("gone")).withColumnRenamed("page_id", "gone_id"), "deleted")
 
 

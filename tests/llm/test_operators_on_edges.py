@@ -311,3 +311,26 @@ def test_pages_of_one_template_do_not_all_meet(spark, own, linked):
     assert links == (123 * 122 // 2 if linked else 6) and pairs.count() <= max(links, 20)
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
     assert len(set(got.values())) == (1 if linked else 120)
+
+
+@pytest.mark.parametrize("pages", [5, 50])
+def test_unnamed_notices_inside_articles_go_at_every_size(spark, pages):
+    """What most distinct articles of a host share goes; paragraphs that copies of one article share stay."""
+    page = lambda i, k: (f"<body><article><header><h1>Title {i}</h1></header><div><p>Read our terms.</p></div><h2 class='section-header'>Part {i}</h2>"
+                         f"<div class='related-work'>Work {i}</div><p>the long true paragraph of story {i} that its copies share</p><p>edit {k}</p>"
+                         f"<div class='share-box'>share {k}</div><article class='comment'>nice {k}</article></article><article class='comment'>bad {k}</article></body>")
+    want = lambda i, k: f"Title {i}\n\nPart {i}\n\nWork {i}\n\nthe long true paragraph of story {i} that its copies share\n\nedit {k}"
+    rows = [(k, "http://host.example/", page(k if k < pages else 0, k)) for k in range(pages + 2 * pages)]
+    rows += [(9000, "http://small.example/", page(1, 1)), (9001, "http://small.example/", page(2, 2)), (1, "http://host.example/", page(1, 1))]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, text string, Hash string").repartition(4)
+    got = {(r.page_id, r.text) for r in templates.main_texts(df).collect()}
+    less = lambda i, k: want(i, k).replace(f"\n\nPart {i}", f"\n\nRead our terms.\n\nPart {i}")
+    assert got == {(k, want(k if k < pages else 0, k)) for k in range(3 * pages)} | {(9000, less(1, 1)), (9001, less(2, 2))}
+    assert templates.main_texts(df).count() == len(rows)
+
+
+def test_very_long_page(spark):
+    html = "<body><article>" + "<p>some words here</p>" * 60_000 + "</article></body>"
+    df = spark.createDataFrame([(1, "http://a/", html), (2, "http://a/", "<div>" * 3000 + "deep")], "page_id long, url string, html string")
+    got = {r.page_id: r.n_chars for r in templates.main_texts(df).collect()}
+    assert got == {1: 60_000 * 15 + 59_999 * 2, 2: 4}
