@@ -125,10 +125,15 @@ def _cards(m: Column, key: str) -> Column:
         starts = F.sequence(F.lit(1), F.size(groups))
         windows = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(CARD_MAX), F.size(groups) - i + 1)), lambda k: window(i, k))))
         found = F.filter(windows, lambda w: w["card"] & (luhn_sum(w["digits"]) % 10 == 0))
+        return F.transform(F.array(found), lambda every: whole(groups, every))[0]
+
+    def whole(groups, every):
         # Of a long run of fours, those windows that would make cards of all of it count, or none.
+        fours = F.filter(every, lambda w: (w["k"] == 4) & (w["i"] % 4 == 1))
+        single = F.filter(every, lambda w: w["k"] == 1)
+        even = F.when(F.size(fours) * 4 == F.size(groups), fours).otherwise(F.slice(fours, 1, 0))
         long = F.length(F.array_join(groups, "")) > 2 * CARD_MAX
-        even = F.size(F.filter(found, lambda w: (w["k"] == 4) & (w["i"] % 4 == 1))) * 4 == F.size(groups)
-        return F.array_sort(F.filter(found, lambda w: ~long | (w["k"] == 1) | (even & (w["k"] == 4) & (w["i"] % 4 == 1))))
+        return F.array_sort(F.when(long, F.concat(single, even)).otherwise(every))
 
     def apart(found):
         clash = lambda w, o: (o["i"] < w["i"] + w["k"]) & (w["i"] < o["i"] + o["k"])
