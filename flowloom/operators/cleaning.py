@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,28 +156,45 @@ def clean_log(df: DataFrame, subnets: tuple[str, ...] = SITE_SUBNETS) -> DataFra
     return cleaned.fillna("missing", subset=[c for c in discrete_columns(cleaned) if c in text])
 
 
+def prefix_cover(low: Column, high: Column, bits: int) -> Column:
+    """The fewest aligned blocks that make up [low, high], at most two of each size: an array of (size, prefix)."""
+    blocks = []
+    for size in range(bits + 1):
+        first = F.shiftright(low + ((1 << size) - 1), size)
+        last = F.shiftright(high + 1, size) - 1
+        # Of the blocks inside, only an odd first and an even last one are not half of a larger block inside.
+        for prefix, parity in ((first, 1), (last, 0)):
+            lone = (first <= last) & (prefix.bitwiseAND(F.lit(1)) == parity)
+            blocks.append(F.when(lone, F.struct(F.lit(size).alias("size"), prefix.alias("prefix"))))
+    return F.filter(F.array(*blocks), lambda b: b.isNotNull())
+
+
 def range_lookup(
     df: DataFrame, value: str, ranges: DataFrame, low: str, high: str, index: str,
-    out: str, width: int, default: int = -1,
+    out: str, bits: int = 32, default: int = -1,
 ) -> DataFrame:
     """Largest ``index`` among the ranges holding ``value``; ``default`` for none.
 
-    For range tables of any size: ranges are cut into cells of ``width``, so the match is an
-    equi join. Only distinct values are matched, so a hot value is looked up once.
+    Ranges lie in [0, 2**bits) and may be of any length, as may their table: each becomes at most two blocks of each
+    size, and the match is an equi join on (size, prefix). Only distinct values are matched, so a hot value is looked up
+    once. Large blocks, which many values share, are at most 2**17 rows and broadcast; a small one holds at most 2**15
+    distinct values, so no key of the shuffle join is hot.
     """
-    cells = ranges.select(
-        F.col(low).alias("_low"), F.col(high).alias("_high"), F.col(index).alias("_index"),
-        F.explode(
-            F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))
-        ).alias("_cell"),
-    )
-    values = df.select(F.col(value).alias("_value")).where(F.col("_value").isNotNull()).distinct()
-    found = (
-        values.withColumn("_cell", F.floor(F.col("_value") / width))
-        .join(cells, "_cell")
-        .where(F.col("_value").between(F.col("_low"), F.col("_high")))
-        .groupBy("_value")
-        .agg(F.max("_index").alias("_found"))
+    wide = max(bits - 16, 0)
+    bounds = ranges.select(F.col(low).cast("long").alias("_low"), F.col(high).cast("long").alias("_high"), F.col(index).alias("_index"))
+    blocks = (
+        bounds.select("_index", F.inline(prefix_cover(F.col("_low"), F.col("_high"), bits)))
+        .groupBy(F.col("size").alias("_size"), F.col("prefix").alias("_prefix")).agg(F.max("_index").alias("_found"))
     )
-    joined = df.join(found, F.col(value) == F.col("_value"), "left")
+    values = df.select(F.col(value).cast("long").alias("_value")).where(F.col("_value").isNotNull()).distinct()
+
+    def matched(sizes: range, held: DataFrame) -> DataFrame:
+        prefixes = [F.struct(F.lit(s).alias("_size"), F.shiftright("_value", s).alias("_prefix")) for s in sizes]
+        return values.select("_value", F.inline(F.array(*prefixes))).join(held, ["_size", "_prefix"]).select("_value", "_found")
+
+    found = matched(range(wide, bits + 1), F.broadcast(blocks.where(F.col("_size") >= wide)))
+    if wide:
+        found = found.union(matched(range(wide), blocks.where(F.col("_size") < wide)))
+    best = found.groupBy("_value").agg(F.max("_found").alias("_found"))
+    joined = df.join(best, F.col(value) == F.col("_value"), "left")
     return joined.withColumn(out, F.coalesce("_found", F.lit(default))).drop("_value", "_found")

@@ -1,12 +1,24 @@
-"""Counts over connections: addresses per host, hosts per address, first log per connection."""
+"""Counts over connections: addresses per host, hosts per address, first log per connection, profiles of endpoints."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowloom.functions.scores import is_established
+from flowloom.functions.times import validity_days
+from flowloom.operators.tables import keep_one
+
+TUPLE = ("id_orig_h", "id_resp_h", "id_resp_p")
+#: Differences below this are rounding.
+_NOISE = 1e-9
+_DAY = 86400
+
 
 def addresses_per_host(
     df: DataFrame, host: str = "host", address: str = "id_resp_h", by: Sequence[str] = ()
@@ -46,3 +58,108 @@ def tuple_profile(
         F.avg(F.col(established).cast("double")).alias("ratio_established_conn_state"),
         F.try_divide(F.count(F.lit(1)), F.sum(F.col(has_ssl).cast("long"))).alias("ratio_conn_to_ssl"),
     )
+
+
+def tls_facts(
+    ssl: DataFrame, x509: DataFrame, uid: str = "uid", chain: str = "cert_chain_fuids", cert: str = "id",
+    version: str = "version", server: str = "server_name", issuer: str = "certificate_issuer",
+    subject: str = "certificate_subject", before: str = "certificate_not_valid_before",
+    after: str = "certificate_not_valid_after", san: str = "san_dns",
+) -> DataFrame:
+    """One row per TLS connection with what its leaf certificate says; of repeated records, the smallest facts stay.
+
+    NULL where a record names no server, or its certificate is not known.
+    """
+    leaves = x509.select(
+        F.col(cert).alias("cert_id"), F.col(before).alias("not_before"), F.col(after).alias("not_after"),
+        (F.col(issuer) == F.col(subject)).alias("self_signed"), F.when(F.col(san).isNotNull(), F.size(san)).alias("san_domains"),
+        F.col(san).alias("_san"),
+    )
+    links = ssl.select(
+        F.col(uid).alias("uid"), F.lower(version).startswith("tls").alias("is_tls"), F.col(server).alias("_server"),
+        F.when(F.col(chain).isNotNull(), F.size(chain)).alias("cert_fuids"), F.get(chain, F.lit(0)).alias("cert_id"),
+    )
+    facts = links.join(leaves, "cert_id", "left").select(
+        "uid", "is_tls", F.col("_server").isNull().alias("null_sni"), "cert_fuids", "cert_id", "not_before", "not_after",
+        "self_signed", "san_domains", F.array_contains("_san", F.col("_server")).alias("sni_in_san"),
+    )
+    return keep_one(facts, ["uid"])
+
+
+def gap_moments(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
+    """Mean and standard deviation of the whole seconds between neighbouring rows of a key, ``periodicity_mean`` and ``_std``.
+
+    The mean needs only the ends. Squares are summed within days, over at most 86,400 moments, and between the days of a key,
+    so a hot key is never sorted as a whole.
+    """
+    moments = df.where(F.col(ts).isNotNull()).groupBy(*keys, F.unix_timestamp(ts).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    moments = moments.withColumn("_day", F.floor(F.col("_s") / _DAY))
+    gap = F.col("_s") - F.lag("_s").over(Window.partitionBy(*keys, "_day").orderBy("_s"))
+    squared = lambda c: F.sum((F.col(c) * F.col(c)).cast("decimal(38,0)"))
+    days = moments.withColumn("_gap", gap).groupBy(*keys, "_day").agg(
+        F.sum("_n").alias("_n"), F.min("_s").alias("_first"), F.max("_s").alias("_last"), squared("_gap").alias("_squares")
+    )
+    hop = F.col("_first") - F.lag("_last").over(Window.partitionBy(*keys).orderBy("_day"))
+    none = F.lit(0).cast("decimal(38,0)")
+    whole = days.withColumn("_hop", hop).groupBy(*keys).agg(
+        F.sum("_n").alias("_n"), (F.max("_last") - F.min("_first")).alias("_span"),
+        (F.coalesce(F.sum("_squares"), none) + F.coalesce(squared("_hop"), none)).cast("decimal(38,0)").alias("_squares"),
+    )
+    n, span = F.col("_n"), F.col("_span").cast("decimal(19,0)")
+    # In whole numbers up to the last division: equal gaps have a deviation of exactly 0.
+    spread = (n - 1).cast("decimal(19,0)") * F.col("_squares") - span * span
+    return whole.select(
+        *keys, F.try_divide(F.col("_span").cast("double"), n - 1).alias("periodicity_mean"),
+        F.when(n > 2, F.sqrt(F.try_divide(spread.cast("double"), (n - 1) * (n - 2)))).alias("periodicity_std"),
+    )
+
+
+def tls_tuple_profile(
+    conn: DataFrame, facts: DataFrame, keys: Sequence[str] = TUPLE, uid: str = "uid", ts: str = "ts",
+    duration: str = "duration", orig_bytes: str = "orig_bytes", resp_bytes: str = "resp_bytes",
+    orig_pkts: str = "orig_pkts", resp_pkts: str = "resp_pkts", state: str = "conn_state",
+) -> DataFrame:
+    """All measures of an (originator, responder, port): volume, duration, gaps, states, TLS and certificates.
+
+    ``facts`` is :func:`tls_facts`. One join by connection; the rest are aggregates reduced before they move. The share of
+    durations outside one standard deviation comes from the counts of distinct durations, the gaps from distinct seconds.
+    """
+    seen = facts.withColumnRenamed("uid", "_uid").withColumn("_ssl", F.lit(1))
+    marked = conn.join(seen, F.col(uid) == F.col("_uid"), "left")
+    rows, tls = F.count(F.lit(1)), F.sum("_ssl")
+    volume = F.sum(orig_bytes) + F.sum(resp_bytes)
+    age = F.unix_timestamp(ts) - F.unix_timestamp("not_before")
+    validity = F.unix_timestamp("not_after") - F.unix_timestamp("not_before")
+    days = validity_days("not_before", "not_after")
+    count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    main = marked.groupBy(*keys).agg(
+        rows.alias("conn_count"), F.count("_ssl").alias("ssl_agg_count"),
+        F.avg(duration).alias("dur_mean"), F.stddev_samp(duration).alias("dur_std"),
+        F.sum(orig_bytes).alias("sum_orig_bytes"), F.sum(resp_bytes).alias("sum_resp_bytes"),
+        F.sum(orig_pkts).alias("sum_orig_pkts"), F.sum(resp_pkts).alias("sum_resp_pkts"),
+        F.avg("cert_fuids").alias("mean_cert_fuids"), F.avg(days).alias("mean_validity_len"),
+        F.stddev_samp(days).alias("std_validity_len"),
+        count((F.col(ts) < F.col("not_before")) | (F.col(ts) > F.col("not_after"))).alias("num_cert_invalid"),
+        F.avg(F.try_divide(age, validity)).alias("ratio_cert_age_valid"),
+        F.count_distinct("cert_id").alias("unique_cert_fuids"), F.avg("san_domains").alias("mean_num_san_dns_domains"),
+        F.try_divide(F.sum(resp_bytes), volume).alias("ratio_responder_to_all_bytes"),
+        F.avg(is_established(state).cast("double")).alias("ratio_established_conn_state"),
+        F.try_divide(rows, tls).alias("ratio_conn_to_ssl"),
+        F.try_divide(count(F.col("is_tls")), tls).alias("ratio_tls_ssl"),
+        F.try_divide(count(F.col("null_sni")), tls).alias("ratio_null_sni"),
+        F.try_divide(count(F.col("self_signed")), tls).alias("ratio_self_signed"),
+        F.min("sni_in_san").alias("all_sni_in_san_dns"),
+    )
+    named = [f"_{k}" for k in keys]
+    durations = conn.where(F.col(duration).isNotNull()).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, named)], F.col(duration).alias("_d"))
+    durations = durations.agg(F.count(F.lit(1)).alias("_n"))
+    same = lambda: reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named)])
+    far = F.abs(F.col("_d") - F.col("dur_mean")) - F.col("dur_std") > _NOISE
+    outside = durations.join(main.select(*keys, "dur_mean", "dur_std"), same()).groupBy(*keys).agg(
+        (F.lit(100) * F.sum(F.when(far, F.col("_n")).when(~far, 0)) / F.sum("_n")).alias("prcnt_outside_std_dev")
+    )
+    # The parts meet by key, NULL keys too, as one aggregate over rows that are reduced already.
+    parts = [main, outside, gap_moments(conn, keys, ts)]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    measures = [c for c in together.columns if c not in keys]
+    return together.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.scores import is_established
 from flowloom.operators import conn_stats, enrich, labels, surprise
-from flowloom.plans.queries.bindings import CONN, SSL, WEB, Tables, query
+from flowloom.plans.queries.bindings import CERT, CHAIN, CONN, SSL, WEB, Tables, query
 
 BAND = 3600.0
 
@@ -244,6 +244,62 @@ def tuple_profile(t: Tables):
     return out.withColumns({**{c: F.round(c, 6) for c in ratios}, "sum_orig_bytes": F.round("sum_orig_bytes", 2)})
 
 
+PROFILE_SQL = f"""WITH {CONN}, {CHAIN}, {CERT}, tls AS (
+  SELECT o_orderkey AS uid, o_orderpriority NOT LIKE '1%' AS is_tls,
+    CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'www.shop.co.uk' WHEN 2 THEN 'promo.example.com' ELSE 'none.example' END AS sni
+  FROM orders WHERE o_orderstatus <> 'P'),
+facts AS (
+  SELECT tls.uid, is_tls, sni, len, cert.id AS cert_id, nvb - to_days(10227) AS nvb, nva - to_days(10227) AS nva, p_size % 6 = 0 AS own,
+    sni IN (san1, 'www.shop.co.uk') AS known
+  FROM tls LEFT JOIN chain ON chain.uid = tls.uid AND pos = 0 LEFT JOIN cert ON cert.id = cert_id),
+marked AS (SELECT c.*, f.uid AS tls_uid, is_tls, sni, len, cert_id, nvb, nva, own, known FROM conn c LEFT JOIN facts f USING (uid)),
+main AS (
+  SELECT id_orig_h, id_resp_h, id_resp_p, count(*) AS conn_count, count(tls_uid) AS ssl_agg_count, avg(duration) AS m, stddev_samp(duration) AS s,
+    round(sum(orig_bytes), 2) AS sum_orig_bytes, CAST(sum(resp_bytes) AS BIGINT) AS sum_resp_bytes,
+    CAST(sum(l_linenumber) AS BIGINT) AS sum_orig_pkts, CAST(sum(l_partkey % 10) AS BIGINT) AS sum_resp_pkts,
+    round(avg(len), 6) AS mean_cert_fuids, round(avg(date_diff('day', nvb, nva)), 6) AS mean_validity_len,
+    round(stddev_samp(date_diff('day', nvb, nva)), 6) AS std_validity_len,
+    count(*) FILTER (ts < nvb OR ts > nva) AS num_cert_invalid,
+    round(avg((epoch(ts) - epoch(nvb)) / (epoch(nva) - epoch(nvb))), 6) AS ratio_cert_age_valid,
+    count(DISTINCT cert_id) AS unique_cert_fuids, CASE WHEN count(cert_id) > 0 THEN CAST(2 AS DOUBLE) END AS mean_num_san_dns_domains,
+    round(sum(resp_bytes) / (sum(orig_bytes) + sum(resp_bytes)), 6) AS ratio_responder_to_all_bytes,
+    round(avg(CASE WHEN conn_state IN ('SF', 'S1') THEN CAST(1 AS DOUBLE) ELSE 0 END), 6) AS ratio_established_conn_state,
+    round(count(*) / nullif(count(tls_uid), 0), 6) AS ratio_conn_to_ssl,
+    round(count(*) FILTER (is_tls) / nullif(count(tls_uid), 0), 6) AS ratio_tls_ssl,
+    round(count(*) FILTER (tls_uid IS NOT NULL AND sni IS NULL) / nullif(count(tls_uid), 0), 6) AS ratio_null_sni,
+    round(count(*) FILTER (own) / nullif(count(tls_uid), 0), 6) AS ratio_self_signed, bool_and(known) AS all_sni_in_san_dns
+  FROM marked GROUP BY ALL),
+outside AS (
+  SELECT id_orig_h, id_resp_h, id_resp_p,
+    round(CASE WHEN any_value(s) IS NOT NULL THEN 100 * count(*) FILTER (abs(duration - m) - s > 1e-9) / count(*) END, 6) AS prcnt_outside_std_dev
+  FROM conn JOIN main USING (id_orig_h, id_resp_h, id_resp_p) GROUP BY ALL),
+gaps AS (
+  SELECT *, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY id_orig_h, id_resp_h, id_resp_p ORDER BY ts) AS g FROM conn),
+period AS (
+  SELECT id_orig_h, id_resp_h, id_resp_p, round(avg(g), 3) AS periodicity_mean, round(stddev_samp(g), 3) AS periodicity_std FROM gaps GROUP BY ALL)
+SELECT * EXCLUDE (m, s), round(m, 6) AS dur_mean, round(s, 6) AS dur_std
+FROM main JOIN outside USING (id_orig_h, id_resp_h, id_resp_p) JOIN period USING (id_orig_h, id_resp_h, id_resp_p)"""
+
+
+@query("tuple_profile_all", PROFILE_SQL)
+def tuple_profile_all(t: Tables):
+    """All declared measures; every sixth size of certificate is its own issuer, and certificates are of the time of the logs."""
+    uid = F.col("uid") % 4
+    names = F.when(uid == 1, "www.shop.co.uk").when(uid == 2, "promo.example.com").when(uid == 3, "none.example")
+    ssl = t.ssl().withColumn("version", F.when(F.col("cipher").startswith("1"), "SSLv3").otherwise("TLSv12"))
+    ssl = ssl.withColumn("server_name", names).join(t.chains(), "uid", "left")
+    earlier = lambda c: F.timestamp_add("DAY", F.lit(-10227), F.col(c))
+    cert = t.cert().withColumns({
+        "certificate_issuer": F.when(F.col("p_size") % 6 == 0, F.col("certificate_subject")).otherwise(F.col("certificate_issuer")),
+        **{c: earlier(c) for c in ("certificate_not_valid_before", "certificate_not_valid_after")},
+    })
+    conn = t.conn().withColumns({"orig_pkts": F.col("l_linenumber"), "resp_pkts": F.col("l_partkey") % 10})
+    out = conn_stats.tls_tuple_profile(conn, conn_stats.tls_facts(ssl, cert))
+    exact = {"sum_orig_bytes": F.round("sum_orig_bytes", 2), **{c: F.round(c, 3) for c in ("periodicity_mean", "periodicity_std")}}
+    doubles = [f.name for f in out.schema.fields if f.dataType.simpleString() == "double" and f.name not in exact]
+    return out.withColumns({**exact, **{c: F.round(c, 6) for c in doubles}})
+
+
 DISCRETE = """SELECT w.event_id, (ln(total + distinct_n) - ln(cell + 1)) / mean AS score FROM web w
   JOIN (SELECT user_agent, host, count(*) AS cell FROM web GROUP BY ALL) c USING (user_agent, host)
   JOIN (SELECT user_agent, count(*) AS total, count(DISTINCT host) AS distinct_n FROM web GROUP BY ALL) g USING (user_agent)

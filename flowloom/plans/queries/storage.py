@@ -165,11 +165,18 @@ def scan_csv_query(t: Tables):
 @query(
     "scan_reports",
     """SELECT 'd' || doc_id AS fqdn, CAST(quality + toxic AS INTEGER) AS positives, quality AS qualitylab_detected,
-       toxic AS toxicnet_detected FROM labels WHERE quality + toxic > 0""",
+       toxic AS toxicnet_detected, CASE WHEN toxic = 0 THEN 'None' ELSE CASE doc_id % 8 WHEN 0 THEN 'A' || doc_id
+       WHEN 1 THEN 'A"' || doc_id WHEN 2 THEN chr(128512) || doc_id WHEN 3 THEN '\\d' || doc_id WHEN 4 THEN 'hit' || doc_id
+       WHEN 5 THEN chr(7) || doc_id WHEN 6 THEN '\\q, }' || doc_id ELSE 'it''s ' || doc_id END END AS toxicnet_result
+       FROM labels WHERE quality + toxic > 0""",
 )
 def scan_reports(t: Tables):
-    """Report files read back; incomplete, clean and repeated reports are dropped."""
+    """Report files read back; incomplete, clean and repeated reports are dropped. Results use every form of a string."""
     root = shared_dir(t.spark, "reports")
-    _report_lines(t).write.text(root)
+    forms = (
+        r"'\x41%s'", r"u'\101\"%s'", r"'\U0001F600%s'", r"r'\d%s'", r"""'hit' "%s" """, r"'\a%s',", r"'\q, }%s'", r'''"it's %s"''',
+    )
+    chosen = F.get(F.array(*[F.lit(f) for f in forms]), (F.col("doc_id") % 8).cast("int"))
+    _report_lines(t, F.replace(chosen, F.lit("%s"), F.col("doc_id").cast("string"))).write.text(root)
     reports = parse_reports(t.spark.read.text(root), strict=True)
-    return pivot_verdicts(reports).select("fqdn", "positives", "qualitylab_detected", "toxicnet_detected")
+    return pivot_verdicts(reports).select("fqdn", "positives", "qualitylab_detected", "toxicnet_detected", "toxicnet_result")

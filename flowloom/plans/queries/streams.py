@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.plans.queries.bindings import NAMED, WEB, Tables, query
+from flowloom.plans.slots import DAY
+from flowloom.plans.store import SlotStore
 from flowloom.session import shared_dir
+from flowloom.streaming.stored import store_windows
 from flowloom.streaming.twins import sliding_extremes, streaming_history, tumbling_hosts
 
 
-def _stream(t: Tables) -> DataFrame:
-    """Events as a stream of files, under log names."""
-    schema = t.table("events").schema
-    source = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+def _stream(t: Tables, folder: str | None = None) -> DataFrame:
+    """Events as a stream of files, under log names; those of ``folder`` if one is named."""
+    source = t.spark.readStream.schema(t.table("events").schema)
+    source = source.parquet(folder) if folder else source.option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     return source.select(
         F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("id_orig_h"),
@@ -75,3 +78,26 @@ def stream_history(t: Tables):
         "host", F.when(F.col("host") == "", F.concat(F.lit("missing_"), "id_resp_h")).otherwise(F.col("host"))
     )
     return _drain(t, streaming_history(logs, ["host", "user_agent"], expiry=3), "history")
+
+
+@query(
+    "stream_store",
+    f"""WITH {NAMED}, closed AS (SELECT * FROM named WHERE day + INTERVAL 1 DAY <= {CLOSED}),
+    hosts AS (SELECT day, host, count(DISTINCT id_orig_h) AS cnt_distinct_hosts, count(id_orig_h) AS cnt_logs FROM closed GROUP BY ALL),
+    slots AS (SELECT CAST(unnest(range(CAST(min(day) AS TIMESTAMP), max(day) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM closed)
+    SELECT s.day, host, cnt_distinct_hosts, cnt_logs, count(host) OVER (PARTITION BY s.day) AS rows FROM slots s LEFT JOIN hosts h ON h.day = s.day""",
+)
+def stream_store(t: Tables):
+    """A stream stops half-way, starts again from its checkpoint, and its windows are read as slots, beside what the manifest says."""
+    root, events = shared_dir(t.spark, "stored"), t.table("events")
+    store = SlotStore(t.spark, f"{root}/slots")
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).select(F.timestamp_seconds(
+        ((F.unix_timestamp("low") + F.unix_timestamp("high")) / 2).cast("long")).cast("timestamp_ntz").alias("middle"))
+    (middle,) = ends.first()
+    for part in (events.where(F.col("ts") < F.lit(middle)), events.where(F.col("ts") >= F.lit(middle))):
+        part.write.mode("append").parquet(f"{root}/events")
+        run = store_windows(tumbling_hosts(_stream(t, f"{root}/events")), store, "hosts", DAY, f"{root}/checkpoint", available_now=True)
+        run.awaitTermination()
+    rows = store.read("hosts", store.slots_of("hosts")).withColumn("day", F.col("slot_start").cast("date"))
+    declared = store.manifest("hosts").select(F.timestamp_seconds("start_epoch").cast("date").alias("day"), "rows")
+    return declared.join(rows, "day", "left").select("day", "host", "cnt_distinct_hosts", "cnt_logs", "rows")

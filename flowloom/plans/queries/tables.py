@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowloom.functions.scores import detection_ratio
@@ -147,17 +148,18 @@ def reputation_ratio(t: Tables):
     return t.table("labels").select("doc_id", F.round(ratio, 6).alias("ratio"))
 
 
-def _report_lines(t: Tables):
-    """Labels written as report lines, every label a vendor's verdict."""
-    verdict = lambda c: F.concat(
+def _report_lines(t: Tables, toxic_result: Column | None = None):
+    """Labels written as report lines, every label a vendor's verdict; ``toxic_result`` is how one result is written."""
+    hit = F.concat(F.lit("'hit"), F.col("doc_id") % 3, F.lit("'"))
+    verdict = lambda c, result: F.concat(
         F.lit("{'detected': "), F.when(F.col(c) == 1, "True").otherwise("False"), F.lit(", 'result': "),
-        F.when(F.col(c) == 1, F.concat(F.lit("'hit"), F.col("doc_id") % 3, F.lit("'"))).otherwise("None"), F.lit("}"),
+        F.when(F.col(c) == 1, result).otherwise("None"), F.lit("}"),
     )
     return t.table("labels").select(
         F.concat(
             F.lit("{'query': 'd"), F.col("doc_id"), F.lit("', 'query_date': '2024-01-01', 'positives': "),
-            F.col("quality") + F.col("toxic"), F.lit(", 'total': 2, 'scans': {'Quality Lab!': "), verdict("quality"),
-            F.lit(", 'Toxic-Net': "), verdict("toxic"), F.lit("}}"),
+            F.col("quality") + F.col("toxic"), F.lit(", 'total': 2, 'scans': {'Quality Lab!': "), verdict("quality", hit),
+            F.lit(", 'Toxic-Net': "), verdict("toxic", hit if toxic_result is None else toxic_result), F.lit("}}"),
         ).alias("value")
     )
 

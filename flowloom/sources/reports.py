@@ -15,25 +15,77 @@ REPORT = (
     "scans map<string, struct<detected: string, result: string>>"
 )
 
-# A quoted string with its escapes, text outside quotes, or a quote that is never closed.
-_PIECE = r"""(?s)('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"])"""
+# A quoted string with its prefix and escapes, a word, text between them, or a quote that is never closed.
+_STRING = (
+    r"""(?:[uU]|[rR])?(?:\'\'\'(?:[^'\\]|\\.|'(?!''))*+\'\'\'|\"\"\"(?:[^"\\]|\\.|"(?!""))*+\"\"\""""
+    r"""|'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
+)
+_PIECE = rf"""(?s)({_STRING}|[A-Za-z_]\w*+|[^'"A-Za-z_]++|['"])"""
+# One escape, or text without any.
+_UNIT = r"(?s)(\\[0-7]{1,3}|\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.|[^\\]++)"
+# Stand for the quotes of strings until adjacent strings are joined; inside strings they are written as escapes.
+_OPEN, _CLOSE = "\x01", "\x02"
+
+
+def _unicode(code: Column) -> Column:
+    """JSON's escape of a code point, which is two above the basic plane; no valid one for what is no code point."""
+    four = lambda c: F.concat(F.lit("\\u"), F.lpad(F.hex(c), 4, "0"))
+    above = code - 0x10000
+    pair = F.concat(four(F.shiftright(above, 10) + 0xD800), four(above.bitwiseAND(F.lit(0x3FF)) + 0xDC00))
+    return F.when(code < 0x10000, four(code)).when(code <= 0x10FFFF, pair).otherwise(F.lit("\\?"))
+
+
+def _plain(text: Column) -> Column:
+    """Text without escapes as it stands in a JSON string."""
+    for raw in ("\\", '"', _OPEN, _CLOSE):
+        text = F.replace(text, F.lit(raw), F.lit("\\\\" if raw == "\\" else f"\\u{ord(raw):04x}"))
+    return text
+
+
+def _unit(unit: Column) -> Column:
+    kind, digits = F.substring(unit, 2, 1), F.substring(unit, 3, 8)
+    return (
+        F.when(~F.startswith(unit, F.lit("\\")), _plain(unit))
+        .when(kind.between("0", "7"), _unicode(F.conv(F.substring(unit, 2, 3), 8, 10).cast("long")))
+        .when(kind.isin("x", "u", "U") & (F.length(unit) > 2), _unicode(F.conv(digits, 16, 10).cast("long")))
+        .when(kind.isin("n", "r", "t", "b", "f", "\\"), unit)
+        .when(kind == "a", F.lit("\\u0007")).when(kind == "v", F.lit("\\u000b"))
+        .when(kind == "'", kind).when(kind == '"', F.lit("\\u0022"))
+        # Unfinished, these are errors; before others the backslash stays.
+        .when(kind.isin("x", "u", "U", "N"), F.lit("\\?"))
+        .otherwise(_plain(unit))
+    )
+
+
+def _string(piece: Column) -> Column:
+    marks = F.regexp_extract(piece, r"""^([uUrR]?)('{3}|"{3}|.)""", 2)
+    prefix = F.length(F.regexp_extract(piece, "^([uUrR]?)", 1))
+    edge = F.length(marks)
+    body = F.substring(piece, prefix + edge + 1, F.length(piece) - prefix - 2 * edge)
+    escaped = F.array_join(F.transform(F.regexp_extract_all(body, F.lit(_UNIT), F.lit(1)), _unit), "")
+    easy = ~F.contains(body, F.lit("\\")) | F.lower(F.substring(piece, 1, 1)).eqNullSafe("r")
+    return F.concat(F.lit(_OPEN), F.when(easy, _plain(body)).otherwise(escaped), F.lit(_CLOSE))
 
 
 def literal_to_json(text: str | Column) -> Column:
-    """None, True and False outside quotes as JSON words, and two-digit escapes inside them as JSON's four-digit ones.
+    """The JSON of a literal of dicts, lists, strings, numbers, None, True and False.
 
-    Single quotes and other escapes are left to the JSON reader.
+    Strings may have any quotes, a prefix u or r, all escapes but named characters (``\\N{...}``, which make the line
+    unreadable), and stand side by side; the last item of a dict or list may be followed by a comma.
     """
     text = F.col(text) if isinstance(text, str) else text
 
     def translated(piece: Column) -> Column:
-        words = piece
-        for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
-            words = F.regexp_replace(words, rf"\b{word}\b", json)
-        escapes = F.regexp_replace(piece, r"(?<!\\)((?:\\\\)*)\\x([0-9A-Fa-f]{2})", r"$1\\u00$2")
-        return F.when(F.substring(piece, 1, 1).isin("'", '"'), escapes).otherwise(words)
+        return (
+            F.when(piece.rlike(r"^[uUrR]?['\"](?s:.)"), _string(piece))
+            .when(piece == "None", "null").when(piece == "True", "true").when(piece == "False", "false")
+            # Words that only JSON has make the line unreadable.
+            .when(piece.isin("null", "true", "false"), F.concat(F.lit("?"), piece))
+            .otherwise(F.regexp_replace(piece, r",(\s*[}\]])", "$1"))
+        )
 
-    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1)), translated), "")
+    joined = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1)), translated), "")
+    return F.translate(F.regexp_replace(joined, rf"{_CLOSE}\s*{_OPEN}", ""), _OPEN + _CLOSE, '""')
 
 
 def _verdict(detected: Column) -> Column:
@@ -53,7 +105,7 @@ def parse_reports(lines: DataFrame, value: str = "value", strict: bool = False)
     ``verdicts`` lists (vendor, detected, result). ``strict`` also drops incomplete and all-clean reports
     and keeps one report per host.
     """
-    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+    options = {"allowUnescapedControlChars": "true", "allowSingleQuotes": "false"}
     report = lines.select(F.from_json(literal_to_json(value), REPORT, options).alias("r")).select("r.*")
     entries = F.map_entries("scans")
     readable = F.col("scans").isNotNull() & F.forall(entries, lambda e: _verdict(e["value"]["detected"]).isNotNull())

@@ -48,14 +48,24 @@ def test_clean_log(spark):
 
 
 def test_range_lookup_equals_brute_force(spark):
-    ranges = [(0, 10, 1), (5, 300, 2), (7, 8, 3), (250, 251, 4)]
-    values = [None, -1, 0, 6, 7, 8, 9, 11, 250, 300, 301]
+    top = 2**32 - 1
+    ranges = [(0, top, 0), (0, 10, 1), (5, 300, 2), (7, 8, 3), (250, 251, 4), (2**24 + 1, 2**25, 5), (top, top, 6), (9, 9, None)]
+    ranges += [(12, 11, 9), (None, 5, 9), (2**17 - 1, 3 * 2**20 + 5, 7)]
+    values = [None, -1, 0, 6, 7, 8, 9, 11, 12, 250, 300, 301, 2**17 - 2, 2**17 - 1, 3 * 2**20 + 5, 3 * 2**20 + 6]
+    values += [2**24, 2**24 + 1, 2**25, 2**25 + 1, top, top + 1, 7]
     df = spark.createDataFrame([(v,) for v in values], "v long")
     table = spark.createDataFrame(ranges, "low long, high long, idx int")
     want = sorted(
-        ((v, max([i for lo, hi, i in ranges if v is not None and lo <= v <= hi], default=-1)) for v in values), key=str
+        ((v, max([i for lo, hi, i in ranges if None not in (v, lo, i) and lo <= v <= hi], default=-1)) for v in values), key=str
     )
-    assert rows(cleaning.range_lookup(df, "v", table, "low", "high", "idx", "out", width=16), "v", "out") == want
+    assert rows(cleaning.range_lookup(df, "v", table, "low", "high", "idx", "out"), "v", "out") == want
+
+
+@pytest.mark.parametrize("low, high", [(0, 255), (1, 254), (7, 7), (8, 7), (3, 200), (128, 255)])
+def test_blocks_cover_a_range_once(spark, low, high):
+    cover = spark.range(1).select(cleaning.prefix_cover(F.lit(low).cast("long"), F.lit(high).cast("long"), 8).alias("b")).first().b
+    assert sorted(v for s, p in cover for v in range(p << s, (p + 1) << s)) == list(range(low, high + 1))
+    assert len(cover) <= 14
 
 
 # -- popularity
