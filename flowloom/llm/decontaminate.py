@@ -6,9 +6,10 @@ signature is the item's: its shingles of smallest hash. Items are partitioned by
 power of two, and a class with at most n shingles takes the n - ceil(PERCENT * n) + 1 smallest. A document that
 contains the item lacks fewer shingles than that, so it holds one of the signature: no match is missed.
 
-Items are taken in blocks of about BLOCK_SHINGLES shingles, the bound of what is sent to the executors; each block is
-searched in all documents, whole texts, without a shuffle. Only documents that hold a shingle of a signature are compared
-in full.
+The distinct sets of the items are written to the shared folder; items of equal sets are searched once and joined to the
+matches. Sets are taken in blocks of about BLOCK_SHINGLES shingles, the bound of what driver and executors hold at a time: one
+block is loaded, sent, searched in all documents, whole texts, without a shuffle, and freed before the next. Only documents
+that hold a shingle of a signature are compared in full.
 
 Defined cases: an item with fewer than five words is contained in a document that has its words in a row; an item or a
 document without words matches nothing. A document without an id is searched like others (its id in a match is null).
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.llm.common import packed, unpacked
+from flowloom.llm.common import packed, staged, unpacked
 from flowloom.llm.shingles import WIDTH, chunks, shingle_hashes, shingle_sets, words
 
 PERCENT = 80
@@ -63,7 +64,7 @@ class Block:
 
     def __init__(self, rows, percent: int):
         self.percent = percent
-        self.ids = [r.item_id for r in rows]
+        self.ids = [r.set_id for r in rows]
         self.sets = [np.array(r.shingles, np.int64).view(np.uint64) for r in rows]
         self.by_width = {}
         for width in sorted({r.width for r in rows}):
@@ -97,11 +98,46 @@ class Block:
                     yield doc, k, found
 
 
-def _blocks(sets: DataFrame, percent: int) -> list[Block]:
+def _distinct_sets(sets: DataFrame) -> DataFrame:
+    """(set_id, width, n, shingles): each set once, by the hash of its shingles."""
+    sets = sets.withColumn("set_id", F.sha2(F.concat_ws(",", F.col("width").cast("string"), F.col("shingles").cast("array<string>")), 256))
+    return sets.select("set_id", "item_id", "width", "n", "shingles")
+
+
+def _blocks(sets: DataFrame, percent: int):
+    """The distinct sets, block by block: (block, whether it is the only one)."""
     total = sets.agg(F.sum("n")).first()[0] or 0
     n = max(1, math.ceil(total / BLOCK_SHINGLES))
-    parts = (sets.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(n)) == k).collect() for k in range(n))
-    return [Block(part, percent) for part in parts if part]
+    for k in range(n):
+        part = sets.where(F.pmod(F.xxhash64("set_id"), F.lit(n)) == k).collect()
+        if part:
+            block, part = Block(part, percent), None
+            yield block, n == 1
+
+
+def _found(docs: DataFrame, shared) -> DataFrame:
+    """(doc_id, set_id, n_item_shingles, n_found) for the sets of one block."""
+
+    def run(batches):
+        block = shared.value
+        for batch in batches:
+            ids, at, rows = batch.column("doc_id").to_pylist(), 0, []
+            for chunk in chunks(batch.column("text").to_pylist()):
+                rows += [(ids[at + d], block.ids[k], len(block.sets[k]), n) for d, k, n in block.search(chunk)]
+                at += len(chunk)
+            if rows:
+                doc_ids, set_ids, sizes, counts = zip(*rows)
+                longs = [pa.array(c, pa.int64()) for c in (doc_ids, sizes, counts)]
+                yield pa.RecordBatch.from_arrays([longs[0], pa.array(set_ids), *longs[1:]], ["doc_id", "set_id", "n_item_shingles", "n_found"])
+
+    return docs.mapInArrow(run, "doc_id long, set_id string, n_item_shingles long, n_found long")
+
+
+def _written_sets(items: DataFrame, item_id: str, item_text: str) -> tuple[DataFrame, DataFrame]:
+    """(set_id, item_id) of all items, and the distinct sets, both in the shared folder."""
+    named = staged(_distinct_sets(item_sets(items, item_id, item_text)), "items")
+    sets = named.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("width", "n", "shingles")])
+    return named.select("set_id", "item_id"), staged(sets, "item-sets")
 
 
 def contained_items(
@@ -109,34 +145,30 @@ def contained_items(
     item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT,
 ) -> DataFrame:
     """(doc_id, item_id, n_item_shingles, n_found): every item contained in a document."""
+    spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    schema = "doc_id long, item_id long, n_item_shingles long, n_found long"
-    found = docs.sparkSession.createDataFrame([], schema)
-    for block in _blocks(item_sets(items, item_id, item_text), percent):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches, shared=shared):
-            block = shared.value
-            for batch in batches:
-                ids, at, rows = batch.column("doc_id").to_pylist(), 0, []
-                for chunk in chunks(batch.column("text").to_pylist()):
-                    rows += [(ids[at + d], block.ids[k], len(block.sets[k]), n) for d, k, n in block.search(chunk)]
-                    at += len(chunk)
-                if rows:
-                    names = ["doc_id", "item_id", "n_item_shingles", "n_found"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
-
-        found = found.union(source.mapInArrow(run, schema))
-    return found
+    named, sets = _written_sets(items, item_id, item_text)
+    found = spark.createDataFrame([], "doc_id long, set_id string, n_item_shingles long, n_found long")
+    for block, only in _blocks(sets, percent):
+        shared = spark.sparkContext.broadcast(block)
+        del block
+        part = _found(source, shared)
+        if not only:
+            part = staged(part, "contained")
+            shared.destroy()
+        found = found.union(part)
+    return found.join(named, "set_id").select("doc_id", "item_id", "n_item_shingles", "n_found")
 
 
 def decontaminate(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", percent: int = PERCENT,
 ) -> DataFrame:
-    """``docs`` without the documents that contain an item: one pass over the texts, no shuffle."""
+    """``docs`` without the documents that contain an item: one pass over the texts for each block, no shuffle of them."""
+    spark = docs.sparkSession
     rows = packed(docs, text=text_col)
-    for block in _blocks(item_sets(items, item_id, item_text), percent):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+    for block, only in _blocks(_written_sets(items, item_id, item_text)[1], percent):
+        shared = spark.sparkContext.broadcast(block)
+        del block
 
         @F.pandas_udf("boolean")
         def clean(texts, shared=shared):
@@ -150,4 +182,7 @@ def decontaminate(
             return pd.Series(keep)
 
         rows = rows.where(clean(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+        if not only:
+            rows = staged(rows, "decontaminated")
+            shared.destroy()
     return unpacked(rows, {})

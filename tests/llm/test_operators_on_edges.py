@@ -98,6 +98,21 @@ def test_decontamination_on_edges(spark):
     assert decontaminate.decontaminate(df, items.limit(0)).count() == len(rows)
 
 
+def test_decontamination_block_by_block(spark, monkeypatch):
+    """Many blocks find what one block finds; a text that stands in many item rows is one set of one block."""
+    text = lambda k: " ".join(f"i{k}x{j}" for j in range(12))
+    items = spark.createDataFrame([(k, text(k)) for k in range(30)] + [(100 + k, text(0)) for k in range(40)] + [(None, text(1))], "item_id long, text string")
+    df = docs(spark, [(k, f"before {text(k)} after") for k in range(0, 60, 3)] + [(None, text(6)), (70, "clean words only")])
+    key = lambda r: tuple(-1 if v is None else v for v in r)
+    found = lambda: sorted(key(r) for r in decontaminate.contained_items(df, items).collect())
+    whole, kept = found(), sorted(key((r.doc_id,)) for r in decontaminate.decontaminate(df, items).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 40)
+    assert found() == whole and len(whole) == 10 + 40 + 1
+    assert sorted(key((r.doc_id,)) for r in decontaminate.decontaminate(df, items).collect()) == kept == sorted((k,) for k in [*range(30, 60, 3), 70])
+    sets = decontaminate._written_sets(items, "item_id", "text")[1]
+    assert sets.count() == 30 and max(len(b.ids) for b, _ in decontaminate._blocks(sets, 80)) < 30
+
+
 def test_mixing_budgets(spark):
     leaves = spark.createDataFrame([("a", "en", "1", 100), ("a", "en", "2", 1000), ("a", "de", "1", 50), ("b", "en", "1", 5000)], "domain string, lang string, source string, tokens long")
     got = {tuple(r)[:3]: r.target for r in mixing.targets(leaves, {"domain": {"a": 1, "b": 1}}, 50, 1).collect()}
