@@ -9,9 +9,15 @@ from flowloom.functions.text import _col
 
 
 def to_time(c: str | Column) -> Column:
-    """Timestamp of a time, epoch seconds or text of either; NULL for text that is none (a plain cast would fail under ANSI)."""
-    seconds = _col(c).cast("string").try_cast("double")
-    return F.coalesce(seconds.try_cast("timestamp"), _col(c).try_cast("timestamp"))
+    """Timestamp of a time, epoch seconds or text of either; NULL for text that is none (a plain cast would fail under ANSI).
+
+    The type is known before the query runs, so only its branch is left in the plan.
+    """
+    c = _col(c)
+    kind = F.typeof(c)
+    seconds = c.cast("string").try_cast("double")
+    text = F.coalesce(seconds.try_cast("timestamp"), c.try_cast("timestamp"))
+    return F.when(kind.isin("timestamp", "timestamp_ntz", "double"), c.try_cast("timestamp")).otherwise(text)
 
 
 def epoch_seconds(c: str | Column, digits: int = 6) -> Column:

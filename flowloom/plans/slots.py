@@ -65,8 +65,8 @@ def tile(start: datetime, end: datetime, step: Timescale) -> list[Slot]:
     """Slots of a range.
 
     A range shorter than a slot widens to the slot around it; one that crosses a slot edge, and a longer
-    one that is not aligned at both ends, is an error. Months and years widen within one unit, need an
-    exact end in the next one, and are cut down to whole units beyond that.
+    one that is not aligned at both ends, is an error. Months and years widen within one unit; beyond it
+    the start widens to its unit and the end must be the first moment of one.
     """
     if end < start:
         raise ValueError("the start must not lie after the end")
