@@ -42,11 +42,13 @@ def shared_out(children: DataFrame, parents: list[str], name: str) -> DataFrame:
     order = group.orderBy(F.col("capacity") / F.col("weight"), name)
     before = F.coalesce(F.sum("capacity").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     weight_left = F.sum("weight").over(order.rowsBetween(0, W.unboundedFollowing))
-    full = F.col("capacity") * weight_left <= (F.col("budget") - before) * F.col("weight")
+    # Tokens times weights exceed a long in large corpora.
+    wide = lambda c: c.cast("decimal(38,0)")
+    full = wide(F.col("capacity")) * weight_left <= wide(F.col("budget") - before) * F.col("weight")
     df = children.withColumn("full", full)
     df = df.withColumn("rest", F.col("budget") - F.sum(F.when(F.col("full"), F.col("capacity")).otherwise(0)).over(group))
     df = df.withColumn("open", F.sum(F.when(~F.col("full"), F.col("weight")).otherwise(0)).over(group))
-    df = df.withColumn("target", F.when(F.col("full"), F.col("capacity")).otherwise(F.expr("(rest * weight) div open")))
+    df = df.withColumn("target", F.when(F.col("full"), F.col("capacity")).otherwise(F.expr("(cast(rest as decimal(38,0)) * weight) div open")))
     spare = F.col("rest") - F.sum(F.when(~F.col("full"), F.col("target")).otherwise(0)).over(group)
     place = F.row_number().over(W.partitionBy(*parents, "full").orderBy(name))
     df = df.withColumn("spare", spare).withColumn("place", place)
