@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,6 +268,84 @@ def test_outlier_statistics_equal_brute_force(spark):
     assert outliers.judged(docs(spark, [])).count() == 0
 
 
+def mcd_by_brute_force(groups):
+    """d2 of all rows of {(lang, source): array of vectors}, by the definition in ``outliers``, in numpy."""
+    floor, k = np.diag(np.square(outliers.FLOOR)), len(outliers.FLOOR)
+
+    def median(x):
+        bins = np.sort(np.floor(x * outliers.RESOLUTION + 0.5), axis=0)
+        return bins[(len(x) + 1) // 2 - 1] / outliers.RESOLUTION
+
+    def blend(own, wider):
+        n, m, s = own
+        return n, (n * m + outliers.PRIOR * wider[1]) / (n + outliers.PRIOR), (n * s + outliers.PRIOR * wider[2]) / (n + outliers.PRIOR)
+
+    def pool(parts):
+        n = sum(p[0] for p in parts)
+        m = sum(p[0] * p[1] for p in parts) / n
+        return n, m, sum(p[0] * (p[2] + np.outer(p[1], p[1])) for p in parts) / n - np.outer(m, m)
+
+    def shrunk(moments):
+        whole = pool(list(moments.values()))
+        wide = {lang: blend(pool([v for g, v in moments.items() if g[0] == lang]), whole) for lang, _ in moments}
+        return {g: blend(v, wide[g[0]]) for g, v in moments.items()}
+
+    def distances(x, estimate, scale):
+        centred = x - estimate[1]
+        return np.einsum("ij,ij->i", centred @ np.linalg.inv(scale * estimate[2] + floor), centred)
+
+    def step(estimates, scale):
+        moments = {}
+        for g, x in groups.items():
+            ring = np.floor(np.log2(distances(x, estimates[g], scale) + 2.0**-20) * outliers.RINGS)
+            own = x[ring <= np.sort(ring)[int(np.ceil(outliers.H * len(x))) - 1]]
+            moments[g] = len(own), own.mean(0), np.cov(own.T, bias=True).reshape(k, k)
+        return shrunk(moments)
+
+    def corr(s):
+        d = np.sqrt(np.outer(np.diag(s), np.diag(s)))
+        return np.divide(s, d, out=np.zeros_like(s), where=d > 0)
+
+    runs = []
+    for start in range(3):
+        moments = {}
+        for g, x in groups.items():
+            m = median(x)
+            v = 1.4826 * median(np.abs(x - m))
+            z = (x - m) / np.sqrt(v**2 + np.square(outliers.FLOOR))
+            signs = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
+            c = [np.zeros((k, k)), corr(np.cov(np.tanh(z).T, bias=True).reshape(k, k)), corr(signs.T @ signs / len(z))][start]
+            np.fill_diagonal(c, 1.0)
+            moments[g] = len(x), m, c * np.outer(v, v)
+        estimates, scale = shrunk(moments), 1.0
+        for _ in range(outliers.FIRST_STEPS):
+            estimates, scale = step(estimates, scale), outliers.CONSISTENCY
+        runs.append(estimates)
+    spread = lambda e: round(np.linalg.slogdet(outliers.CONSISTENCY * e[2] + floor)[1] / 2, 9)
+    estimates = {g: min(runs, key=lambda r: spread(r[g]))[g] for g in groups}
+    for _ in range(outliers.STEPS):
+        estimates = step(estimates, outliers.CONSISTENCY)
+    return {g: distances(x, estimates[g], outliers.CONSISTENCY) for g, x in groups.items()}
+
+
+def test_outlier_distances_equal_brute_force_on_any_partitions(spark):
+    """A large source, a skew one, one of three rows and one of a single row: all by the same rule."""
+    rng = np.random.default_rng(3)
+    sizes = {("en", "a"): 300, ("en", "b"): 120, ("en", "c"): 3, ("de", "a"): 1}
+    groups = {}
+    for i, (g, n) in enumerate(sizes.items()):
+        x = rng.normal(size=(n, 5)) @ rng.normal(size=(5, 5)) * 0.3 + i + 4
+        x[: n // 8] += rng.normal(3, 1, size=(n // 8, 5))
+        groups[g] = np.round(x, 3)
+    rows = [(*g, *map(float, v)) for g, x in groups.items() for v in x]
+    df = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{c} double" for c in outliers.STATISTICS))
+    key = lambda r: (r.lang, r.source, *[r[c] for c in outliers.STATISTICS])
+    got = {key(r): r.d2 for r in outliers.mcd_distances(df.repartition(7)).collect()}
+    want = {(*g, *map(float, v)): d for g, d2 in mcd_by_brute_force(groups).items() for v, d in zip(groups[g], d2)}
+    assert got.keys() == want.keys()
+    assert max(abs(got[r] - want[r]) / (1 + want[r]) for r in want) < 1e-5
+
+
 def test_outliers_are_rejected_and_the_rest_kept(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
