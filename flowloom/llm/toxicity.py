@@ -10,7 +10,8 @@ A window is WINDOW words; all windows of the whole text count. How many windows
 shares, is calibrated on the sample by logistic regression, which sets the thresholds of the savings.
 
 The fit takes a bounded, documented sample: TOXIC toxic and ORDINARY ordinary labelled rows, those of smallest hash of
-doc_id. Dictionaries and calibration are a few kB, whatever the input.
+doc_id. Of the windows of its ordinary rows, wherever in a text, some ORDINARY_WINDOWS of smallest hash train the ordinary
+dictionary; pieces are counted in Spark over all its toxic texts. Dictionaries and calibration are a few kB at any input.
 
 Defined cases: a text without words (or null) has no windows and scores as the calibration of no windows says. Without
 labels of both classes every score is the share of label 1 (0.5 without any label). Labels and rows as in ``quality``.
@@ -18,8 +19,6 @@ labels of both classes every score is the share of label 1 (0.5 without any labe
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -32,6 +31,9 @@ WINDOW = 8
 TOXIC, ORDINARY = 3000, 5000
 CONTEXTS, RATIO, PIECES = 6, 10.0, 3
 ORDINARY_BYTES = 1024
+#: Windows that the ordinary dictionary is trained on, about: those of smallest hash among all windows of the sample.
+ORDINARY_WINDOWS = 60_000
+_FINE = 1 << 30
 PRIMER = 48
 _GRAM, _SIDE = 6, 3
 
@@ -156,22 +158,26 @@ def train(
     from flowloom.llm.common import staged
 
     chosen, counts = sample_ids(docs, labels, label, fit_rows, sample, id_col)
-    share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
+    toxic_share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     if len(counts) < 2:
-        return _constant(share)
+        return _constant(toxic_share)
     texts = staged(sample_texts(docs, chosen, id_col, text_col), "toxic-sample").repartition(64)
     telling = telling_grams(texts)
 
     def found(batches):
         for batch in batches:
             for doc_id, text, mark in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label"))):
-                held = pieces(text, telling) if mark else windows(text)[:: max(1, len(text) // 2000)]
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([mark], pa.int32()), pa.array([held], pa.list_(pa.binary()))], ["doc_id", "label", "held"])
-
-    rows = sorted(texts.mapInArrow(found, "doc_id long, label int, held array<binary>").collect(), key=lambda r: r.doc_id)
-    often = Counter(bytes(p) for r in rows if r.label for p in r.held)
-    toxic = b"".join(sorted((p for p, n in often.items() if n >= PIECES), key=lambda p: (often[p], p)))
-    plain = [bytes(w) for r in rows if not r.label for w in r.held]
+                held = pieces(text, telling) if mark else windows(text)
+                n = len(held)
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([mark] * n, pa.int32()), pa.array(held, pa.binary())], ["doc_id", "place", "label", "held"])
+
+    parts = staged(texts.mapInArrow(found, "doc_id long, place long, label int, held binary"), "toxic-parts")
+    often = {bytes(r.held): r.n for r in parts.where("label = 1").groupBy("held").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= PIECES).collect()}
+    toxic = b"".join(sorted(often, key=lambda p: (often[p], p)))
+    own = parts.where("label = 0")
+    share = min(1.0, ORDINARY_WINDOWS / max(1, own.count()))
+    own = own.where(F.pmod(F.xxhash64("doc_id", "place"), F.lit(_FINE)) < int(share * _FINE))
+    plain = [bytes(r.held) for r in sorted(own.collect(), key=lambda r: (r.doc_id, r.place))]
     try:
         ordinary = zstandard.train_dictionary(ORDINARY_BYTES, plain, d=6, k=50).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: the windows themselves
@@ -184,7 +190,7 @@ def train(
                 yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([mark], pa.int32()), pa.array([model.traits(text).tolist()])], ["doc_id", "label", "x"])
 
     rows = sorted(texts.mapInArrow(measured, "doc_id long, label int, x array<double>").collect(), key=lambda r: r.doc_id)
-    model.weights = _calibrated(np.array([r.x for r in rows]), np.array([r.label for r in rows]), share)
+    model.weights = _calibrated(np.array([r.x for r in rows]), np.array([r.label for r in rows]), toxic_share)
     return model
 
 
