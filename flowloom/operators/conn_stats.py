@@ -15,9 +15,26 @@ from flowloom.functions.times import validity_days
 from flowloom.operators.tables import keep_one
 
 TUPLE = ("id_orig_h", "id_resp_h", "id_resp_p")
+#: Measures of :func:`tls_tuple_profile`.
+PROFILE = (
+    "conn_count", "ssl_agg_count", "dur_mean", "dur_std", "sum_orig_bytes", "sum_resp_bytes", "sum_orig_pkts",
+    "sum_resp_pkts", "mean_cert_fuids", "mean_validity_len", "std_validity_len", "num_cert_invalid",
+    "ratio_cert_age_valid", "unique_cert_fuids", "mean_num_san_dns_domains", "ratio_responder_to_all_bytes",
+    "ratio_established_conn_state", "ratio_conn_to_ssl", "ratio_tls_ssl", "ratio_null_sni", "ratio_self_signed",
+    "all_sni_in_san_dns", "prcnt_outside_std_dev", "periodicity_mean", "periodicity_std",
+)
 #: Differences below this are rounding.
 _NOISE = 1e-9
 _DAY = 86400
+#: Connections a task of a profile's widest steps gets, about; more connections make more tasks.
+TASK_ROWS = 250_000
+
+
+def profile_tasks(df: DataFrame) -> int:
+    """Tasks among which a profile is dealt: as many as its rows need, however few shuffle partitions are set."""
+    session = df.sparkSession
+    least = min(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-df.count() // TASK_ROWS))
 
 
 def addresses_per_host(
@@ -86,14 +103,15 @@ def tls_facts(
     return keep_one(facts, ["uid"])
 
 
-def gap_moments(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
+def gap_moments(df: DataFrame, keys: Sequence[str], ts: str = "ts", tasks: int | None = None) -> DataFrame:
     """Mean and standard deviation of the whole seconds between neighbouring rows of a key, ``periodicity_mean`` and ``_std``.
 
     The mean needs only the ends. Squares are summed within days, over at most 86,400 moments, and between the days of a key,
-    so a hot key is never sorted as a whole.
+    so a hot key is never sorted as a whole. Days and keys are dealt among ``tasks``, by default as many as the rows need.
     """
+    tasks = tasks or profile_tasks(df)
     moments = df.where(F.col(ts).isNotNull()).groupBy(*keys, F.unix_timestamp(ts).alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
-    moments = moments.withColumn("_day", F.floor(F.col("_s") / _DAY))
+    moments = moments.withColumn("_day", F.floor(F.col("_s") / _DAY)).repartition(tasks, *keys, "_day")
     gap = F.col("_s") - F.lag("_s").over(Window.partitionBy(*keys, "_day").orderBy("_s"))
     squared = lambda c: F.sum((F.col(c) * F.col(c)).cast("decimal(38,0)"))
     days = moments.withColumn("_gap", gap).groupBy(*keys, "_day").agg(
@@ -101,7 +119,7 @@ def gap_moments(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame
     )
     hop = F.col("_first") - F.lag("_last").over(Window.partitionBy(*keys).orderBy("_day"))
     none = F.lit(0).cast("decimal(38,0)")
-    whole = days.withColumn("_hop", hop).groupBy(*keys).agg(
+    whole = days.repartition(tasks, *keys).withColumn("_hop", hop).groupBy(*keys).agg(
         F.sum("_n").alias("_n"), (F.max("_last") - F.min("_first")).alias("_span"),
         (F.coalesce(F.sum("_squares"), none) + F.coalesce(squared("_hop"), none)).cast("decimal(38,0)").alias("_squares"),
     )
@@ -121,30 +139,33 @@ def tls_tuple_profile(
 ) -> DataFrame:
     """All measures of an (originator, responder, port): volume, duration, gaps, states, TLS and certificates.
 
-    ``facts`` is :func:`tls_facts`. One join by connection; the rest are aggregates reduced before they move. The share of
-    durations outside one standard deviation comes from the counts of distinct durations, the gaps from distinct seconds.
+    ``facts`` is :func:`tls_facts`. One join by connection, of what TLS needs; the rest are aggregates reduced before they move.
+    The share of durations outside one standard deviation comes from the counts of distinct durations, the gaps from distinct
+    seconds. Each part is finished by itself and meets the others in tasks whose number grows with the connections.
     """
-    seen = facts.withColumnRenamed("uid", "_uid").withColumn("_ssl", F.lit(1))
-    marked = conn.join(seen, F.col(uid) == F.col("_uid"), "left")
+    tasks = profile_tasks(conn)
     rows, tls = F.count(F.lit(1)), F.sum("_ssl")
-    volume = F.sum(orig_bytes) + F.sum(resp_bytes)
-    age = F.unix_timestamp(ts) - F.unix_timestamp("not_before")
+    # Dealt by connection: a hot tuple is reduced in all tasks.
+    volume = conn.repartition(tasks, uid, ts).groupBy(*keys).agg(
+        rows.alias("conn_count"), F.avg(duration).alias("dur_mean"), F.stddev_samp(duration).alias("dur_std"),
+        F.sum(orig_bytes).alias("sum_orig_bytes"), F.sum(resp_bytes).alias("sum_resp_bytes"),
+        F.sum(orig_pkts).alias("sum_orig_pkts"), F.sum(resp_pkts).alias("sum_resp_pkts"),
+        F.try_divide(F.sum(resp_bytes), F.sum(orig_bytes) + F.sum(resp_bytes)).alias("ratio_responder_to_all_bytes"),
+        F.avg(is_established(state).cast("double")).alias("ratio_established_conn_state"),
+    )
+    seen = facts.withColumnRenamed("uid", "_uid").withColumn("_ssl", F.lit(1)).repartition(tasks, "_uid")
+    timed = conn.select(*keys, F.col(uid).alias("_conn"), F.col(ts).alias("_ts"))
+    marked = timed.repartition(tasks, "_conn").join(seen, F.col("_conn") == F.col("_uid"))
+    age = F.unix_timestamp("_ts") - F.unix_timestamp("not_before")
     validity = F.unix_timestamp("not_after") - F.unix_timestamp("not_before")
     days = validity_days("not_before", "not_after")
     count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
-    main = marked.groupBy(*keys).agg(
-        rows.alias("conn_count"), F.count("_ssl").alias("ssl_agg_count"),
-        F.avg(duration).alias("dur_mean"), F.stddev_samp(duration).alias("dur_std"),
-        F.sum(orig_bytes).alias("sum_orig_bytes"), F.sum(resp_bytes).alias("sum_resp_bytes"),
-        F.sum(orig_pkts).alias("sum_orig_pkts"), F.sum(resp_pkts).alias("sum_resp_pkts"),
-        F.avg("cert_fuids").alias("mean_cert_fuids"), F.avg(days).alias("mean_validity_len"),
+    secured = marked.groupBy(*keys).agg(
+        rows.alias("ssl_agg_count"), F.avg("cert_fuids").alias("mean_cert_fuids"), F.avg(days).alias("mean_validity_len"),
         F.stddev_samp(days).alias("std_validity_len"),
-        count((F.col(ts) < F.col("not_before")) | (F.col(ts) > F.col("not_after"))).alias("num_cert_invalid"),
+        count((F.col("_ts") < F.col("not_before")) | (F.col("_ts") > F.col("not_after"))).alias("num_cert_invalid"),
         F.avg(F.try_divide(age, validity)).alias("ratio_cert_age_valid"),
         F.count_distinct("cert_id").alias("unique_cert_fuids"), F.avg("san_domains").alias("mean_num_san_dns_domains"),
-        F.try_divide(F.sum(resp_bytes), volume).alias("ratio_responder_to_all_bytes"),
-        F.avg(is_established(state).cast("double")).alias("ratio_established_conn_state"),
-        F.try_divide(rows, tls).alias("ratio_conn_to_ssl"),
         F.try_divide(count(F.col("is_tls")), tls).alias("ratio_tls_ssl"),
         F.try_divide(count(F.col("null_sni")), tls).alias("ratio_null_sni"),
         F.try_divide(count(F.col("self_signed")), tls).alias("ratio_self_signed"),
@@ -155,11 +176,13 @@ def tls_tuple_profile(
     durations = durations.agg(F.count(F.lit(1)).alias("_n"))
     same = lambda: reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named)])
     far = F.abs(F.col("_d") - F.col("dur_mean")) - F.col("dur_std") > _NOISE
-    outside = durations.join(main.select(*keys, "dur_mean", "dur_std"), same()).groupBy(*keys).agg(
+    outside = durations.join(volume.select(*keys, "dur_mean", "dur_std"), same()).groupBy(*keys).agg(
         (F.lit(100) * F.sum(F.when(far, F.col("_n")).when(~far, 0)) / F.sum("_n")).alias("prcnt_outside_std_dev")
     )
     # The parts meet by key, NULL keys too, as one aggregate over rows that are reduced already.
-    parts = [main, outside, gap_moments(conn, keys, ts)]
+    parts = [*[part.repartition(tasks, *keys) for part in (volume, secured, outside)], gap_moments(conn, keys, ts, tasks)]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     measures = [c for c in together.columns if c not in keys]
-    return together.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])
+    whole = together.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])
+    whole = whole.fillna(0, ["ssl_agg_count", "num_cert_invalid", "unique_cert_fuids"])
+    return whole.withColumn("ratio_conn_to_ssl", F.try_divide("conn_count", "ssl_agg_count")).select(*keys, *PROFILE)

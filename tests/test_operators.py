@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,6 +248,46 @@ def test_tuple_profile(spark):
     assert (r.conn_count, r.ssl_agg_count, r.dur_mean, r.ratio_responder_to_all_bytes, r.ratio_conn_to_ssl) == (2, 1, 2.0, 0.75, 2.0)
 
 
+def profile_input(spark, n=400):
+    """Connections of 40 tuples and a hot one, every third without a TLS record, and a certificate for most records."""
+    conn = spark.createDataFrame(
+        [(i, datetime(2024, 1, 1 + i % 5, i % 24, i % 60), "hot" if i % 3 == 0 else f"o{i % 40}", "r" if i % 7 else None, 443, float(i % 6), 10.0, i % 9, 1, 2, "SF" if i % 2 else "REJ") for i in range(n)],
+        "uid long, ts timestamp, id_orig_h string, id_resp_h string, id_resp_p int, duration double, orig_bytes double, resp_bytes long, orig_pkts long, resp_pkts long, conn_state string")
+    ssl = spark.createDataFrame(
+        [(i, "TLSv12" if i % 4 else "SSLv3", f"n{i % 3}" if i % 5 else None, [f"c{i % 11}", "root"]) for i in range(n) if i % 3 != 1],
+        "uid long, version string, server_name string, cert_chain_fuids array<string>")
+    x509 = spark.createDataFrame(
+        [(f"c{i}", f"i{i % 2}", "i0", datetime(2024, 1, 1), datetime(2024, 1, 3 + i), [f"n{i % 3}"]) for i in range(10)],
+        "id string, certificate_issuer string, certificate_subject string, certificate_not_valid_before timestamp, certificate_not_valid_after timestamp, san_dns array<string>")
+    return conn, ssl, x509
+
+
+def test_profile_without_tls_and_with_null_keys(spark):
+    conn, ssl, x509 = profile_input(spark)
+    got = {(r.id_orig_h, r.id_resp_h): r for r in conn_stats.tls_tuple_profile(conn, conn_stats.tls_facts(ssl, x509)).collect()}
+    lines = [(r.uid, (r.id_orig_h, r.id_resp_h)) for r in conn.collect()]
+    for key, r in got.items():
+        uids = [u for u, k in lines if k == key]
+        tls = [u for u in uids if u % 3 != 1]
+        assert (r.conn_count, r.ssl_agg_count, r.unique_cert_fuids) == (len(uids), len(tls), len({u % 11 for u in tls}))
+        assert r.ratio_conn_to_ssl == (len(uids) / len(tls) if tls else None)
+        assert r.ratio_null_sni == (sum(u % 5 == 0 for u in tls) / len(tls) if tls else None)
+    assert len(got) == len({k for _, k in lines}) and ("hot", None) in got
+    bare = conn_stats.tls_tuple_profile(conn, conn_stats.tls_facts(ssl.where("false"), x509)).where("id_orig_h = 'hot' AND id_resp_h = 'r'").first()
+    assert (bare.ssl_agg_count, bare.num_cert_invalid, bare.unique_cert_fuids, bare.ratio_tls_ssl, bare.mean_cert_fuids) == (0, 0, 0, None, None)
+
+
+def test_profile_tasks_grow_with_the_connections(spark, monkeypatch):
+    """The parts of a profile meet in tasks of so many connections, whatever the number of shuffle partitions is."""
+    conn, ssl, x509 = profile_input(spark)
+    plain = lambda df: {tuple(f"{x:.9f}" if isinstance(x, float) else x for x in r) for r in df.collect()}
+    few = plain(conn_stats.tls_tuple_profile(conn, conn_stats.tls_facts(ssl, x509)))
+    monkeypatch.setattr(conn_stats, "TASK_ROWS", 20, raising=False)
+    many = conn_stats.tls_tuple_profile(conn, conn_stats.tls_facts(ssl, x509))
+    assert many.rdd.getNumPartitions() == 20 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert plain(many) == few
+
+
 # -- reports
 
 
