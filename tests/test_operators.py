@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -288,6 +289,48 @@ def test_profile_tasks_grow_with_the_connections(spark, monkeypatch):
     assert plain(many) == few
 
 
+def test_connections_of_a_profile_move_twice(spark):
+    """To the TLS records, which move too, and from there and from the log to the task of their key."""
+    conn, ssl, x509 = profile_input(spark)
+    facts = conn_stats.tls_facts(ssl, x509)
+    facts = spark.createDataFrame(facts.collect(), facts.schema)
+    plan = conn_stats.tls_tuple_profile(conn, facts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Exchange hashpartitioning") == 4
+
+
+def test_passes_have_every_hash_once():
+    sizes = {h: 10 + h % 7 for h in range(0, 3000, 3)} | {30: 900_000, 2000: 400_000, 2001: 300_000}
+    passes = conn_stats.key_passes(sizes)
+    assert sorted(h for group, _, _ in passes for h in group) == sorted(sizes)
+    assert [sum(sizes[h] for h in group) for group, _, _ in passes] == [n for _, n, _ in passes]
+    assert {h for group, _, hot in passes if hot for h in group} == {30, 2000, 2001}
+    assert conn_stats.key_passes({}) == [] and len(conn_stats.key_passes({h: 9_000 for h in range(16_384)})) == conn_stats.PASSES
+
+
+def shuffles(spark):
+    """Shuffles that have files on the disk."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {n.split("_")[1] for d in folders for _, _, names in os.walk(d) for n in names if n.startswith("shuffle_")}
+
+
+def test_profile_in_passes_leaves_no_shuffles(spark, monkeypatch):
+    """The rows of many connections come by passes, hot keys by themselves, and the disk keeps only the parts that are ready."""
+    conn, ssl, x509 = profile_input(spark, 900)
+    more = [(None, None, "hot", None, None, None, None, None, None, None, None), (7, None, "o7", "r", 443, 2.5, None, 3, None, 1, "SF")]
+    conn = conn.union(spark.createDataFrame(more, conn.schema))
+    plain = lambda df: sorted(str([f"{x:.9f}" if isinstance(x, float) else x for x in r]) for r in df.collect())
+    one = plain(conn_stats.tls_tuple_profile(conn, conn_stats.tls_facts(ssl, x509)))
+    assert len(one) == conn.select(*conn_stats.TUPLE).distinct().count()
+    for name, value in {"PASS_ROWS": 150, "HOT_ROWS": 60, "KEY_HASHES": 64, "TASK_ROWS": 40}.items():
+        monkeypatch.setattr(conn_stats, name, value, raising=False)
+    before = shuffles(spark)
+    many = conn_stats.tls_tuple_profile(conn, conn_stats.tls_facts(ssl, x509))
+    assert len(many.inputFiles()) > 3 and "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+    assert len(shuffles(spark) - before) <= 2  # of the two counts
+    assert plain(many) == one
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 # -- reports
 
 
