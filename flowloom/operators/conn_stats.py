@@ -31,6 +31,8 @@ _DAY = 86400
 TASK_ROWS = 250_000
 #: Connections of one pass of a profile, about, and the most passes: each reads all input once more.
 PASS_ROWS, PASSES = 8_000_000, 8
+#: Bytes of a task that makes TLS facts: its sorts take some twenty times as much memory.
+FACTS_TASK = "8m"
 #: Keys are counted by so many hashes; those with more connections than this may hold a hot key.
 KEY_HASHES, HOT_ROWS = 16_384, 250_000
 
@@ -56,7 +58,8 @@ def key_passes(sizes: dict[int, int]) -> list[tuple[list[int], int, bool]]:
         each = -(-rows // max(1, -(-rows // most)))  # passes of equal size
         group, n = [], 0
         for h in mine:
-            group, n = [*group, h], n + sizes[h]
+            group.append(h)
+            n += sizes[h]
             if n >= each or h == mine[-1]:
                 passes.append((group, n, is_hot))
                 group, n = [], 0
@@ -186,7 +189,7 @@ def tls_tuple_profile(
         tasks = profile_tasks(conn, rows)
         return _profile(conn, facts, keys, hot, tasks, tasks)
     folder = shared_dir(spark, "profile")
-    facts = written(facts, f"{folder}/facts")
+    facts = written(facts, f"{folder}/facts", {"spark.sql.adaptive.advisoryPartitionSizeInBytes": FACTS_TASK})
     records, done = facts.count(), []
     hot_hashes = [h for group, _, hot in passes if hot for h in group]
     for i, (group, rows, hot) in enumerate(passes):

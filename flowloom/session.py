@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,15 +59,27 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/flowloom-{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    """The rows of ``df`` written to ``path`` and read back; the shuffles that made them are removed from the disk."""
-    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(cleanup, None)
-    spark.conf.set(cleanup, "true")
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Runtime settings that hold meanwhile."""
+    before = {key: spark.conf.get(key, None) for key in conf}
     try:
-        df.write.parquet(path)
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
     finally:
-        spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def written(df: DataFrame, path: str, conf: dict[str, str] | None = None) -> DataFrame:
+    """The rows of ``df`` written to ``path`` and read back; the shuffles that made them are removed from the disk.
+
+    ``conf`` holds while they are made.
+    """
+    spark = df.sparkSession
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", **(conf or {})}):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
